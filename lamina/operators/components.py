@@ -48,7 +48,7 @@ def _small_star(edges: DataFrame, few: bool) -> DataFrame:
 def _fingerprint(edges: DataFrame) -> tuple:
     pair = F.xxhash64("u", "v")
     row = edges.agg(
-        F.count(F.lit(1)), F.bit_xor(pair), F.sum(pair.cast("decimal(38,0)"))
+        F.count(F.lit(1)), F.bit_xor(pair), F.sum(pair.cast("decimal(20,0)"))
     ).first()
     return tuple(row)
 

@@ -12,7 +12,7 @@ equi-join on the values that must agree:
 
 * records equal in all columns of a pattern all match each other; each is linked to the
   smallest id among them, one link per record;
-* close values are found by shared keys between the distinct values only.
+* close values are looked for among the distinct values only, by keys close values share.
 
 The links connect the same records as the full set of matching pairs would, so clusters are
 the ones a comparison of all pairs gives. An unknown value never counts as agreement.
@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lamina.operators.components import connected_components
 from lamina.operators.dedup import keep_latest
 from lamina.operators.skew import safe_join
+from lamina.session import cut_lineage
 
 EXACT, CLOSE, DIFFERENT, UNKNOWN = 2, 1, 0, -1
 
@@ -182,11 +183,8 @@ def _deletions(text: Column, times: int) -> Column:
 
 
 def _share_keys(c: Comparison, value: Column) -> Column:
-    """Keys of a value; close values have at least one in common."""
-    if c.kind == "edit":
-        return F.transform(_deletions(value, int(c.limit)), lambda s: F.xxhash64(s))
-    cell = F.floor(value / F.lit(float(c.limit))).cast("long")
-    return F.array(cell, cell + 1)
+    """Keys of a text value; close values have at least one in common."""
+    return F.transform(_deletions(value, int(c.limit)), lambda s: F.xxhash64(s))
 
 
 def _star_links(rows: DataFrame, keys: list[str], id_col: str) -> DataFrame:
@@ -219,21 +217,49 @@ def _near_chain_links(
     return inner.unionByName(crossing)
 
 
+def _close_values(values: DataFrame, c: Comparison) -> DataFrame:
+    """(v, w): pairs of distinct values of an ``edit`` column that are close, in both orders."""
+    keyed = values.withColumn("k", F.explode(_share_keys(c, F.col("v"))))
+    other = keyed.select(F.col("v").alias("w"), "k")
+    pairs = keyed.join(other, "k").filter(F.col("v") != F.col("w"))
+    return pairs.filter(c.close(F.col("v"), F.col("w"))).select("v", "w").distinct()
+
+
 def _key_links(
     rows: DataFrame, same: list[str], close: list[Comparison], id_col: str
 ) -> DataFrame:
-    """Links between distinct values that are close in every ``close`` column."""
+    """Links between groups of records whose values are close in every ``close`` column.
+
+    Text is compared between the distinct values of a column, once per pair of values; groups
+    are then joined on equality with the values found. Numbers meet in neighbouring cells.
+    """
     values = [c.column for c in close]
     reps = rows.groupBy(*same, *values).agg(F.min(id_col).alias("id"))
-    keyed = reps
-    for i, c in enumerate(close):
-        keyed = keyed.withColumn(f"__k{i}", F.explode(_share_keys(c, F.col(c.column))))
-    shared = [*same, *(f"__k{i}" for i in range(len(close)))]
-    left = keyed.select(*shared, F.col("id").alias("id_l"), *[F.col(v).alias(f"{v}_l") for v in values])
-    right = keyed.select(*shared, F.col("id").alias("id_r"), *[F.col(v).alias(f"{v}_r") for v in values])
-    joined = left.join(right, shared).filter("id_l < id_r")
+    left = reps.select(*same, F.col("id").alias("id_l"), *[F.col(v).alias(f"{v}_l") for v in values])
+    right = reps.select(*same, F.col("id").alias("id_r"), *[F.col(v).alias(f"{v}_r") for v in values])
+    meet = list(same)
+    for c in close:
+        mine, theirs = f"{c.column}_l", f"{c.column}_r"
+        if c.kind == "edit":
+            distinct = rows.select(F.col(c.column).alias("v")).distinct()
+            near = cut_lineage(_close_values(distinct, c))  # now of known size
+            if len(close) > 1:  # equal here, close elsewhere
+                near = near.union(distinct.select("v", F.col("v").alias("w")))
+            near = near.select(F.col("v").alias(mine), F.col("w").alias(theirs))
+            left = safe_join(left, near, [mine], "inner")
+            meet.append(theirs)
+        else:
+            cell = F.floor(F.col(mine) / F.lit(float(c.limit)))
+            around = F.explode(F.array(cell - 1, cell, cell + 1))
+            left = left.withColumn(f"__cell_{c.column}", around)
+            right = right.withColumn(
+                f"__cell_{c.column}", F.floor(F.col(theirs) / F.lit(float(c.limit)))
+            )
+            meet.append(f"__cell_{c.column}")
+    joined = safe_join(left, right, meet, "inner").filter("id_l < id_r")
     for c in close:
-        joined = joined.filter(c.close(F.col(f"{c.column}_l"), F.col(f"{c.column}_r")))
+        if c.kind == "near":
+            joined = joined.filter(c.close(F.col(f"{c.column}_l"), F.col(f"{c.column}_r")))
     return joined.select("id_l", "id_r").distinct()
 
 

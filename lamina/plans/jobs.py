@@ -11,7 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from lamina.contracts.gate import enforce
 from lamina.contracts.model import ContractStore
@@ -20,7 +20,7 @@ from lamina.plans import gold, silver
 from lamina.plans.transforms import Input, Transform, run_transform
 from lamina.sources import files
 from lamina.sources.commitlog import Commit, CommitLog
-from lamina.sources.landing import Source, land_all, read_dataset
+from lamina.sources.landing import Source, land_all, read_dataset, read_loads
 from lamina.sources.layout import DERIVED_SOURCE, layer_path, load_path
 
 STAGES = ("bronze", "silver", "gold")
@@ -60,13 +60,10 @@ class Pipeline:
             return files.read_parquet(self.spark, item.path), None
         source, name = item.dataset()
         source = source or DERIVED_SOURCE.get(item.stage, "")
-        loads = self.log.load_ids(item.stage, source, name)
-        committed = self.log.history().filter(
-            (F.col("stage") == item.stage) & (F.col("source") == source)
-            & (F.col("dataset") == name) & F.col("load_id").isin(loads)
-        )
-        rows = committed.agg(F.sum("rows_out")).first()[0]
-        return self.dataset(item.stage, name, source), rows
+        live = self.log.live(item.stage, source, name)
+        loads = list(dict.fromkeys(r["load_id"] for r in live))
+        rows = sum({r["load_id"]: r["rows_out"] or 0 for r in live}.values())
+        return read_loads(self.spark, self.root, item.stage, source, name, loads), rows
 
     def publish(
         self,

@@ -36,7 +36,7 @@ def broadcast_limit(spark: SparkSession) -> int:
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's own size estimate of ``df``; None where the session cannot tell."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:
         return None
 
@@ -68,14 +68,16 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def fresh_dir(spark: SparkSession, prefix: str) -> str:
     """A new, not yet existing path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    Later steps start from files every executor can read, and Catalyst knows their real size.
+    """
+    path = fresh_dir(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

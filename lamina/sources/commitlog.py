@@ -37,47 +37,63 @@ class Commit:
     rows_out: int | None = None
 
 
+PARTITIONS = ("stage", "source", "dataset")
+
+
 class CommitLog:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    """The log below ``path``, one folder per dataset."""
 
-    def append(self, commit: Commit) -> None:
-        # One row in one file: the file appears under its final name only when it is complete.
-        now = datetime.now(timezone.utc)
-        row = Row(**asdict(commit), committed_at=now)
-        self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
 
-    def history(self) -> DataFrame:
-        """All commits; the run metrics of every stage."""
+    def _read(self, *paths: str) -> DataFrame:
+        reader = self.spark.read.schema(SCHEMA).option("basePath", self.path)
         try:
-            return self.spark.read.schema(SCHEMA).parquet(self.path)
+            return reader.parquet(*paths)
         except AnalysisException as missing:
             if "PATH_NOT_FOUND" not in (missing.getCondition() or ""):
                 raise
             return self.spark.createDataFrame([], SCHEMA)
 
-    def _of(self, stage: str, source: str, dataset: str) -> DataFrame:
-        return self.history().filter(
-            (F.col("stage") == stage) & (F.col("source") == source) & (F.col("dataset") == dataset)
+    def append(self, commit: Commit) -> None:
+        # One row in one file: the file appears under its final name only when it is complete.
+        values = {**asdict(commit), "committed_at": datetime.now(timezone.utc)}
+        fields = T.StructType.fromDDL(SCHEMA).fields
+        one = self.spark.range(0, 1, 1, 1).select(
+            *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in fields]
         )
+        one.write.mode("append").partitionBy(*PARTITIONS).parquet(self.path)
+
+    def history(self) -> DataFrame:
+        """All commits; the run metrics of every stage."""
+        return self._read(self.path)
+
+    def commits(self, stage: str, source: str, dataset: str) -> list[Row]:
+        """Commits of one dataset, oldest first: one small row per load."""
+        folder = f"{self.path}/stage={stage}/source={source}/dataset={dataset}"
+        rows = self._read(folder).collect()
+        return sorted(rows, key=lambda r: (r["load_id"], r["committed_at"]))
+
+    def live(self, stage: str, source: str, dataset: str) -> list[Row]:
+        """Loads that make up the dataset now: the last full load and all increments after it."""
+        rows: list[Row] = []
+        for row in self.commits(stage, source, dataset):
+            if row["mode"] == "full":
+                rows = []
+            if row["mode"] != "reset":
+                rows.append(row)
+        return rows
 
     def latest(self, stage: str, source: str, dataset: str) -> Row | None:
-        newest = self._of(stage, source, dataset).orderBy(F.desc("load_id"), F.desc("committed_at"))
-        return newest.first()
+        rows = self.commits(stage, source, dataset)
+        return rows[-1] if rows else None
 
     def next_load_id(self, stage: str, source: str, dataset: str) -> int:
         last = self.latest(stage, source, dataset)
         return 1 if last is None else last["load_id"] + 1
 
     def load_ids(self, stage: str, source: str, dataset: str) -> list[int]:
-        """Loads that make up the dataset now: all since the last full load, oldest first."""
-        rows = self._of(stage, source, dataset).filter("mode <> 'reset'")
-        start = F.max(F.when(F.col("mode") == "full", F.col("load_id"))).alias("start")
-        first = rows.agg(start).first()["start"]
-        if first is not None:
-            rows = rows.filter(F.col("load_id") >= first)
-        found = rows.select("load_id").distinct().collect()
-        return sorted(r["load_id"] for r in found)
+        return list(dict.fromkeys(r["load_id"] for r in self.live(stage, source, dataset)))
 
     def reset(self, stage: str, source: str, dataset: str) -> None:
         """Forget the watermark; the next load takes everything and replaces what was there."""

@@ -149,16 +149,22 @@ def land_all(
     return [land_table(spark, s, t, root, log) for s in sources for t in s.tables]
 
 
-def read_dataset(
-    spark: SparkSession, root: str, log: CommitLog, stage: str, source: str, dataset: str
+def read_loads(
+    spark: SparkSession, root: str, stage: str, source: str, dataset: str, loads: Sequence[int]
 ) -> DataFrame:
-    """Committed rows of a dataset: its last full load and every increment after it."""
-    loads = log.load_ids(stage, source, dataset)
+    """Rows of the named loads of a dataset; columns of all of them."""
     if not loads:
         raise FileNotFoundError(f"nothing committed for {stage}/{source}/{dataset}")
     base = layer_path(root, stage, source, dataset)
     paths = [load_path(base, n) for n in loads]
-    return spark.read.option("mergeSchema", "true").parquet(*paths)
+    return files.read_parquet(spark, paths, merge_schema=len(paths) > 1)
+
+
+def read_dataset(
+    spark: SparkSession, root: str, log: CommitLog, stage: str, source: str, dataset: str
+) -> DataFrame:
+    """Committed rows of a dataset: its last full load and every increment after it."""
+    return read_loads(spark, root, stage, source, dataset, log.load_ids(stage, source, dataset))
 
 
 def current_view(
