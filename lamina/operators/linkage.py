@@ -286,6 +286,9 @@ def candidate_links(df: DataFrame, settings: LinkageSettings) -> DataFrame:
             found.append(_star_links(rows, needed, settings.id))
             if close:
                 found.append(_key_links(rows, same, close, settings.id))
+    if not found:  # not even full agreement reaches the threshold
+        nobody = records.select(F.col(settings.id).alias("id_l"), F.col(settings.id).alias("id_r"))
+        return nobody.filter(F.lit(False))
     return reduce(DataFrame.unionByName, found).distinct()
 
 

@@ -29,8 +29,10 @@ def build_session(app: str = "lamina", master: str | None = None, **conf: str) -
 
 def broadcast_limit(spark: SparkSession) -> int:
     """The session's automatic broadcast threshold in bytes (-1 when it is switched off)."""
-    jvm = spark._jvm.org.apache.spark.network.util.JavaUtils
-    return int(jvm.byteStringAsBytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold")))
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if text.strip().startswith("-"):
+        return -1
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
