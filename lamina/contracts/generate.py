@@ -58,7 +58,9 @@ def generate_contract(
     for f in df.schema.fields:
         nullable = found["__rows"] == 0 or found[f.name] > 0
         columns.append(
-            ColumnSpec(f.name, to_contract_type(f.dataType), nullable, not_null=not nullable)
+            ColumnSpec(
+                f.name, to_contract_type(f.dataType), nullable, f"{f.name} column", not_null=not nullable
+            )
         )
     return Contract(
         version, dataset, stage, owner,

@@ -71,10 +71,9 @@ class ColumnSpec:
         return out
 
     def to_dict(self) -> dict[str, Any]:
-        out: dict[str, Any] = {
-            "name": self.name, "type": self.type, "nullable": self.nullable,
-            "description": self.description or f"{self.name} column",
-        }
+        out: dict[str, Any] = {"name": self.name, "type": self.type, "nullable": self.nullable}
+        if self.description:
+            out["description"] = self.description
         if self.constraints():
             out["constraints"] = self.constraints()
         if self.deprecated:
