@@ -9,14 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lamina.contracts import checks, generate
 from lamina.contracts.compile import compile_contract
 from lamina.contracts.evolve import migrate
 from lamina.contracts.model import ColumnSpec, Contract, Rule
 from lamina.contracts.shipped import CUSTOMER_ANALYTICS, CUSTOMERS, PARTNERS, store
-from lamina.operators import breakdown, dedup, linkage, masking, retention
+from lamina.operators import breakdown, dedup, linkage, masking, ordered, retention
 from lamina.plans import gold, jobs, kpi, silver, transforms
 from lamina.plans.star_inputs import shape_sql, shaped, table
 from lamina.session import fresh_dir
@@ -464,20 +464,19 @@ def duplicate_groups(spark, sf):
 
 
 @query("rank_lag_lead", """SELECT o_custkey, o_orderkey,
-  CAST(rank() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC NULLS LAST) AS INTEGER)
-    AS recency_rank,
-  lag(o_totalprice) OVER w AS previous_price, lead(o_totalprice) OVER w AS next_price
-FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate NULLS LAST, o_orderkey)""")
+  row_number() OVER w AS row_number,
+  rank() OVER (PARTITION BY o_custkey ORDER BY day DESC NULLS LAST) AS rank,
+  lag(o_totalprice) OVER w AS previous_o_totalprice, lead(o_totalprice) OVER w AS next_o_totalprice
+FROM (SELECT o_custkey, o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS day FROM orders) x
+WINDOW w AS (PARTITION BY o_custkey ORDER BY day DESC NULLS LAST, o_orderkey)""")
 def rank_lag_lead(spark, sf):
-    by_customer = Window.partitionBy("o_custkey")
-    w = by_customer.orderBy(F.asc_nulls_last("o_orderdate"), "o_orderkey")
-    newest = by_customer.orderBy(F.desc_nulls_last(F.col("o_orderdate").cast("date")))
-    return table(spark, sf, "orders").select(
-        "o_custkey", "o_orderkey",
-        F.rank().over(newest).alias("recency_rank"),
-        F.lag("o_totalprice").over(w).alias("previous_price"),
-        F.lead("o_totalprice").over(w).alias("next_price"),
+    orders = table(spark, sf, "orders").select(
+        "o_custkey", "o_orderkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("day")
+    )
+    ranked = ordered.ordered_rows(
+        orders, ["o_custkey"], ["day"], ["o_orderkey"], ["o_totalprice"], descending=True
     )
+    return ranked.drop("o_totalprice", "day")
 
 
 @query("stats", """SELECT event_type, count(*) AS n, min(value) AS low, max(value) AS high,

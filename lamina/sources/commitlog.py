@@ -60,9 +60,17 @@ class CommitLog:
         values = {**asdict(commit), "committed_at": datetime.now(timezone.utc)}
         fields = T.StructType.fromDDL(SCHEMA).fields
         one = self.spark.range(0, 1, 1, 1).select(
-            *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in fields]
+            *[
+                F.lit(values[f.name]).cast(f.dataType).alias(f.name)
+                for f in fields if f.name not in PARTITIONS
+            ]
         )
-        one.write.mode("append").partitionBy(*PARTITIONS).parquet(self.path)
+        # Straight into the dataset's own folder, so commits of several tables at a time
+        # do not share a folder for unfinished files.
+        one.write.mode("append").parquet(self._folder(commit.stage, commit.source, commit.dataset))
+
+    def _folder(self, stage: str, source: str, dataset: str) -> str:
+        return f"{self.path}/stage={stage}/source={source}/dataset={dataset}"
 
     def history(self) -> DataFrame:
         """All commits; the run metrics of every stage."""
@@ -70,8 +78,7 @@ class CommitLog:
 
     def commits(self, stage: str, source: str, dataset: str) -> list[Row]:
         """Commits of one dataset, oldest first: one small row per load."""
-        folder = f"{self.path}/stage={stage}/source={source}/dataset={dataset}"
-        rows = self._read(folder).collect()
+        rows = self._read(self._folder(stage, source, dataset)).collect()
         return sorted(rows, key=lambda r: (r["load_id"], r["committed_at"]))
 
     def live(self, stage: str, source: str, dataset: str) -> list[Row]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -143,10 +144,13 @@ def land_table(
 
 
 def land_all(
-    spark: SparkSession, sources: Sequence[Source], root: str, log: CommitLog
+    spark: SparkSession, sources: Sequence[Source], root: str, log: CommitLog, parallel: int = 4
 ) -> list[Commit]:
-    """Land every table of every source."""
-    return [land_table(spark, s, t, root, log) for s in sources for t in s.tables]
+    """Land every table of every source, some at a time so that small tables do not idle the
+    cluster. The first failure is raised after the loads already running have ended."""
+    wanted = [(s, t) for s in sources for t in s.tables]
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return list(pool.map(lambda pair: land_table(spark, *pair, root, log), wanted))
 
 
 def read_loads(
@@ -179,3 +183,30 @@ def current_view(
     """Newest version of every key over all committed loads of a bronze table."""
     rows = read_dataset(spark, root, log, "bronze", source, table)
     return keep_latest(rows, keys, newest_by)
+
+
+def compact(
+    spark: SparkSession,
+    root: str,
+    log: CommitLog,
+    source: str,
+    table: str,
+    keys: Sequence[str],
+    newest_by: Sequence[str],
+) -> Commit:
+    """Replace the loads of a table by one full load of its current view; the watermark stays.
+
+    Keeps the number of files and of superseded rows in check when increments are frequent.
+    """
+    last = log.latest("bronze", source, table)
+    rows = current_view(spark, root, log, source, table, keys, newest_by)
+    load_id = last["load_id"] + 1
+    target = load_path(layer_path(root, "bronze", source, table), load_id)
+    files.write_parquet(rows, target)
+    n = files.read_parquet(spark, target).count()
+    commit = Commit(
+        "bronze", source, table, load_id, "full", last["watermark_column"],
+        last["watermark_value"], last["watermark_type"], n, n,
+    )
+    log.append(commit)
+    return commit

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lamina.sources import catalogue, files, jdbc, layout
 from lamina.sources.commitlog import Commit, CommitLog, decode_watermark, encode_watermark
 from lamina.sources.landing import (
-    Source, current_view, delta_since, land_all, land_table, read_dataset, read_source,
+    Source, compact, current_view, delta_since, land_all, land_table, read_dataset, read_source,
 )
 from lamina.streaming.landing import land_new_files
 
@@ -156,6 +156,12 @@ def test_incremental_landing(spark, folder):
     }
     assert log.watermarks().filter("dataset = 'OCRD'").first()["watermark_value"] == "2024-01-03"
 
+    packed = compact(spark, folder, log, "erp", "OCRD", ["CardCode"], ["UpdateDate"])
+    assert (packed.rows_out, packed.watermark_value) == (2, "2024-01-03")
+    assert log.load_ids("bronze", "erp", "OCRD") == [packed.load_id]
+    assert land_table(spark, source, table, folder, log, later).rows_out == 0
+    assert read_dataset(spark, folder, log, "bronze", "erp", "OCRD").count() == 2
+
     log.reset("bronze", "erp", "OCRD")
     full = land_table(spark, source, table, folder, log, later)
     assert full.mode == "full" and full.rows_out == 4

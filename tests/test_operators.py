@@ -355,3 +355,29 @@ def test_em_recovers_known_probabilities():
     found = linkage.estimate_em(counts)
     assert found.prior == pytest.approx(prior, abs=1e-3)
     assert found.m == pytest.approx(m, abs=1e-3) and found.u == pytest.approx(u, abs=1e-3)
+
+
+# ---------------------------------------------------------------- ordered rows
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_ordered_rows_equal_plain_windows(spark, descending):
+    from pyspark.sql import Window
+
+    from lamina.operators.ordered import ordered_rows
+
+    # One group holds most rows, and within it most rows share one order value.
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 10 < 7, "hot").when(F.col("id") % 10 == 7, None).otherwise((F.col("id") % 40).cast("string")).alias("k"),
+        F.when(F.col("id") % 3 == 0, 50).when(F.col("id") % 31 == 0, None).otherwise(F.col("id") % 97).alias("o"),
+        "id", (F.col("id") * 2).alias("v"),
+    )
+    first = F.desc_nulls_last("o") if descending else F.asc_nulls_last("o")
+    w, r = Window.partitionBy("k").orderBy(first, "id"), Window.partitionBy("k").orderBy(first)
+    want = df.select(
+        "*", F.row_number().over(w).cast("long"), F.rank().over(r).cast("long"),
+        F.lag("v").over(w), F.lead("v").over(w),
+    )
+    got = ordered_rows(df, ["k"], ["o"], ["id"], ["v"], chunks=20, descending=descending)
+    assert got.columns == ["k", "o", "id", "v", "row_number", "rank", "previous_v", "next_v"]
+    assert rows_of(got) == rows_of(want)
