@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -75,6 +76,21 @@ class Comparison:
         return F.abs(left - right) <= F.lit(self.limit)
 
 
+_EQUAL = re.compile(r"""^\s*l\.["`]?(\w+)["`]?\s*=\s*r\.["`]?(\w+)["`]?\s*$""", re.IGNORECASE)
+
+
+def _blocking_columns(rule: str | Sequence[str]) -> list[str]:
+    if not isinstance(rule, str):
+        return list(rule)
+    columns = []
+    for part in re.split(r"\s+and\s+", rule, flags=re.IGNORECASE):
+        found = _EQUAL.match(part)
+        if found is None or found.group(1) != found.group(2):
+            raise ValueError(f"blocking rule must compare a column with itself: {rule}")
+        columns.append(found.group(1))
+    return columns
+
+
 @dataclass(frozen=True)
 class LinkageSettings:
     id: str
@@ -91,6 +107,24 @@ class LinkageSettings:
         if not (0 < self.prior < 1 and 0 < self.min_probability < 1):
             raise ValueError("prior and min_probability must lie between 0 and 1")
 
+    @classmethod
+    def from_config(cls, config: Mapping) -> "LinkageSettings":
+        """Settings from a plain mapping.
+
+        A blocking rule is a list of columns or text such as ``l.a = r.a AND l.b = r.b``; a
+        comparison is a column name (exact) or a mapping with the fields of :class:`Comparison`.
+        """
+        if config.get("link_type", "dedupe_only") != "dedupe_only":
+            raise ValueError("only one dataset can be linked with itself (dedupe_only)")
+        rules = config.get("blocking_rules_to_generate_predictions") or []
+        single = config.get("blocking_rule")
+        parsed = [_blocking_columns(r) for r in ([*rules, single] if single else rules)]
+        comparisons = [
+            Comparison(c) if isinstance(c, str) else Comparison(**c) for c in config["comparisons"]
+        ]
+        options = {k: config[k] for k in ("prior", "min_probability") if k in config}
+        return cls(config["unique_id_column_name"], parsed, comparisons, **options)
+
     @property
     def prior_weight(self) -> float:
         return math.log2(self.prior / (1 - self.prior))

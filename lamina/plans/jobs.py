@@ -17,7 +17,7 @@ from lamina.contracts.gate import enforce
 from lamina.contracts.model import ContractStore
 from lamina.operators.linkage import deduplicate
 from lamina.plans import gold, silver
-from lamina.plans.transforms import Input, Transform, run_transform
+from lamina.plans.transforms import Function, Input, Transform, run_transform
 from lamina.sources import files
 from lamina.sources.commitlog import Commit, CommitLog
 from lamina.sources.landing import Source, land_all, read_dataset, read_loads
@@ -124,6 +124,29 @@ class Pipeline:
         return self.log.history()
 
 
+def pipeline_from_config(
+    spark: SparkSession,
+    root: str,
+    config: Mapping[str, Any],
+    functions: Mapping[str, Function] | None = None,
+    contracts: ContractStore | None = None,
+    checks: Mapping[str, Callable] | None = None,
+    sql_folder: str | None = None,
+) -> Pipeline:
+    """A pipeline from a plain mapping with ``sources``, ``silver`` and ``gold`` lists.
+
+    Reading the mapping from YAML, and filling in secrets, is left to the caller.
+    """
+    def transforms(stage: str) -> list[Transform]:
+        return [Transform.from_config(t, functions or {}, sql_folder) for t in config.get(stage, [])]
+
+    return Pipeline(
+        spark, root,
+        [Source.from_config(s) for s in config.get("sources", [])],
+        transforms("silver"), transforms("gold"), contracts, dict(checks or {}),
+    )
+
+
 # ---------------------------------------------------------------- the delivered datasets
 
 

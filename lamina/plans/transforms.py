@@ -8,7 +8,7 @@ from pathlib import Path
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lamina.operators.linkage import LinkageSettings
 
@@ -58,7 +58,8 @@ class Transform:
             name=name,
             inputs=[Input.from_config(i) for i in config.get("inputs", [])],
             checks=config.get("quality_checks", ()),
-            linkage=config.get("linkage"),
+            linkage=LinkageSettings.from_config(config["linkage"]) if config.get("linkage") else None,
+            newest_by=config.get("newest_by", ()),
         )
         if kind == "python":
             if name not in functions:
@@ -99,3 +100,27 @@ def map_batches(
             yield function(batch)
 
     return df.mapInPandas(each, schema)
+
+
+class GroupTooLarge(ValueError):
+    pass
+
+
+def map_groups(
+    df: DataFrame,
+    keys: Sequence[str],
+    function: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: str,
+    max_rows: int = 1_000_000,
+) -> DataFrame:
+    """Pandas logic over whole groups, for groups known to be small.
+
+    A group is handed to one task as one frame, so the largest one is counted first, and data
+    with a larger group is refused rather than cut. Logic that must take any group belongs in
+    aggregates, joins or :func:`lamina.operators.ordered.ordered_rows`.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    if largest > max_rows:
+        raise GroupTooLarge(f"a group by {list(keys)} has {largest} rows, more than {max_rows}")
+    return df.groupBy(*keys).applyInPandas(function, schema)

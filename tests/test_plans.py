@@ -8,7 +8,7 @@ from lamina.contracts import checks, shipped
 from lamina.contracts.gate import ContractViolation
 from lamina.operators import linkage
 from lamina.plans import gold, jobs, kpi, silver
-from lamina.plans.transforms import Input, Transform, map_batches, run_transform
+from lamina.plans.transforms import GroupTooLarge, Input, Transform, map_batches, map_groups, run_transform
 from lamina.sources.landing import Source
 
 HASH = "a" * 64
@@ -302,3 +302,34 @@ def test_linkage_runs_before_the_gate(spark, folder):
         checks={"names are unique": lambda d: d.select("name").distinct().count() == d.count()},
     )
     assert [c.rows_out for c in pipe.run("silver")["silver"]] == [2]
+
+
+def test_map_groups_refuses_large_groups(spark):
+    df = spark.range(10).withColumn("k", F.col("id") % 2)
+    sums = map_groups(df, ["k"], lambda g: g.groupby("k", as_index=False)["id"].sum(), "k long, id long")
+    assert sorted(tuple(r) for r in sums.collect()) == [(0, 20), (1, 25)]
+    with pytest.raises(GroupTooLarge):
+        map_groups(df, ["k"], lambda g: g, "id long, k long", max_rows=4)
+
+
+def test_pipeline_from_config(spark, folder):
+    erp_lake(spark, f"{folder}/raw")
+    config = {
+        "sources": [{"name": "erp", "type": "sap_b1", "connection": {"source_storage_path": f"{folder}/raw"},
+                     "tables": [{"name": "OINV", "incremental_column": "UpdateDate"}]}],
+        "silver": [{"name": "orders_clean", "type": "sql", "sql": "SELECT * FROM o WHERE DocStatus IS NOT NULL",
+                    "inputs": [{"alias": "o", "stage": "bronze", "source_path": "erp/OINV.parquet"}],
+                    "linkage": {"link_type": "dedupe_only", "unique_id_column_name": "DocEntry",
+                                "blocking_rules_to_generate_predictions": ["l.CardCode = r.CardCode AND l.SlpCode = r.SlpCode"],
+                                "comparisons": ["DocDate", "DocStatus"], "prior": 0.2, "min_probability": 0.99}}],
+        "gold": [{"name": "daily_sales", "type": "sql", "quality_checks": ["some"],
+                  "sql": "SELECT DocDate AS order_date, sum(DocTotal) AS total_revenue, count(*) AS orders_count FROM c GROUP BY DocDate",
+                  "inputs": [{"alias": "c", "stage": "silver", "source_path": "refined/orders_clean.parquet"}]}],
+    }
+    pipe = jobs.pipeline_from_config(spark, f"{folder}/lake", config, checks={"some": lambda d: d.count() == 1})
+    pipe.run()
+    assert pipe.dataset("gold", "daily_sales").first()["orders_count"] == 20  # one per customer
+    with pytest.raises(ValueError, match="itself"):
+        linkage.LinkageSettings.from_config({"unique_id_column_name": "i", "blocking_rule": "l.a = r.b", "comparisons": ["c"]})
+    with pytest.raises(ValueError, match="dedupe_only"):
+        linkage.LinkageSettings.from_config({"link_type": "link_only"})
