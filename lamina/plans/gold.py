@@ -38,26 +38,28 @@ def revenue_metrics(
     per_invoice = lines.groupBy(
         "DocEntry", F.coalesce("Project", F.lit("")).alias("project_code")
     ).agg(F.count(F.lit(1)).alias("n"))
-    factor = F.coalesce("n", F.lit(1)) if grain == "line" else F.lit(1)
     dated = invoices.filter(F.col("DocDate").isNotNull()).select(
         "DocEntry", "DocDate", "CardCode", "SlpCode", money(F.col("DocTotal")).alias("total")
     )
-    detail = (
-        dated.join(per_invoice, "DocEntry", "left")
-        .withColumn("project_code", F.coalesce("project_code", F.lit("")))
-        .withColumn("factor", factor.cast("decimal(12,0)"))
+    if grain == "invoice":
+        dated = dated.distinct()
+    # Copies of a header fold into one row, so that counting rows below counts distinct invoices.
+    headers = dated.groupBy("DocEntry", "DocDate", "CardCode", "SlpCode").agg(
+        F.sum("total").alias("total"), F.count("total").alias("n_totals")
     )
+    times = F.coalesce("n", F.lit(1)) if grain == "line" else F.lit(1).cast("long")
+    detail = headers.join(per_invoice, "DocEntry", "left").withColumn("times", times)
     groups = (
         detail.groupBy(
             F.col("DocDate").alias("metric_date"),
             F.col("CardCode").alias("customer_code"),
-            "project_code",
+            F.coalesce("project_code", F.lit("")).alias("project_code"),
             F.col("SlpCode").alias("sales_employee_code"),
         )
         .agg(
-            F.sum(F.col("total") * F.col("factor")).alias("total_revenue"),
-            F.count_distinct("DocEntry").cast("int").alias("invoice_count"),
-            F.sum(F.when(F.col("total").isNotNull(), F.col("factor"))).alias("n_totals"),
+            F.sum(F.col("total") * F.col("times").cast("decimal(10,0)")).alias("total_revenue"),
+            F.count("DocEntry").cast("int").alias("invoice_count"),
+            F.sum(F.col("n_totals") * F.col("times")).alias("n_totals"),
         )
         .filter(F.col("total_revenue") >= 0)
     )
@@ -86,7 +88,7 @@ def revenue_metrics(
         "sales_employee_code",
         "total_revenue",
         "invoice_count",
-        mean_of(F.col("total_revenue"), F.col("n_totals").cast("long")).alias("avg_invoice_value"),
+        mean_of(F.col("total_revenue"), F.col("n_totals")).alias("avg_invoice_value"),
         F.lit(None).cast("string").alias("revenue_by_service"),
     ).orderBy(F.desc("metric_date"), F.desc("total_revenue"))
 

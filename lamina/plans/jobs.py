@@ -8,7 +8,9 @@ inspection and is never read.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from threading import Lock
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,8 +46,10 @@ class Pipeline:
     gold: Sequence[Transform] = ()
     contracts: ContractStore | None = None
     checks: Mapping[str, Callable] = field(default_factory=dict)
+    parallel: int = 4
 
     def __post_init__(self):
+        self._naming = Lock()
         self.log = CommitLog(self.spark, f"{self.root.rstrip('/')}/_commits")
 
     # ------------------------------------------------------------ inputs and outputs
@@ -94,21 +98,22 @@ class Pipeline:
     # ------------------------------------------------------------ stages
 
     def run_bronze(self) -> list[Commit]:
-        return land_all(self.spark, self.sources, self.root, self.log)
+        return land_all(self.spark, self.sources, self.root, self.log, self.parallel)
 
-    def _run(self, stage: str, transforms: Sequence[Transform]) -> list[Commit]:
-        done = []
-        for transform in transforms:
+    def _build(self, stage: str, transform: Transform) -> Commit:
+        with self._naming:  # input names are views of the session; one transformation at a time
             found = {i.alias: self._input(i) for i in transform.inputs}
-            inputs = {alias: df for alias, (df, _) in found.items()}
-            result = run_transform(self.spark, transform, inputs)
-            if transform.linkage is not None:
-                result = deduplicate(result, transform.linkage, transform.newest_by)
-            known = [n for _, n in found.values() if n is not None]
-            done.append(
-                self.publish(stage, transform.name, result, transform.checks, sum(known) if known else None)
-            )
-        return done
+            result = run_transform(self.spark, transform, {a: df for a, (df, _) in found.items()})
+        if transform.linkage is not None:
+            result = deduplicate(result, transform.linkage, transform.newest_by)
+        known = [n for _, n in found.values() if n is not None]
+        rows_in = sum(known) if known else None
+        return self.publish(stage, transform.name, result, transform.checks, rows_in)
+
+    def _run(self, stage: str, transforms: Sequence[Transform]) -> list[Commit]:
+        """Datasets of one stage do not depend on each other, so several are built at a time."""
+        with ThreadPoolExecutor(max_workers=max(1, self.parallel)) as pool:
+            return list(pool.map(lambda t: self._build(stage, t), transforms))
 
     def run(self, start: str | None = None) -> dict[str, list[Commit]]:
         """Run a stage and all later ones."""

@@ -614,23 +614,24 @@ def stream_landing(spark, sf):
     return files.read_parquet(spark, f"{root}/events").select("event_id", "user_id_Hash", "ts", "value")
 
 
+_LANDED = ("OPRJ", "INV1", "PCH1", "OINV")
+_REFINED = ("sap_oprj_silver", "silver_inv1", "silver_pch1", "silver_oinv")
+
+
 def _pipeline(spark: SparkSession, sf: str) -> jobs.Pipeline:
-    """Bronze from the shapes, then the delivered silver and gold project datasets."""
-    names = {"delivered": ("OPRJ", "INV1", "PCH1", "OINV"), "gold": ("sap_project_profitability_gold",)}
+    """Bronze from the shapes, written as a raw lake; then silver and the gold project dataset."""
+    root = fresh_dir(spark, "medallion")
+    for name in _LANDED:
+        files.write_parquet(shaped(spark, sf, name.lower()), f"{root}/raw/{name.lower()}/{name}.parquet")
+    tables = [catalogue.table_config(name) for name in _LANDED]
+    source = landing.Source("erp", "sap_b1", {"source_storage_path": f"{root}/raw"}, tables)
     pipeline = jobs.Pipeline(
-        spark, fresh_dir(spark, "medallion"),
-        silver=[t for t in jobs.delivered_silver("erp") if t.name in
-                ("sap_oprj_silver", "silver_inv1", "silver_pch1", "silver_oinv")],
-        gold=[t for t in jobs.delivered_gold(AS_OF) if t.name in names["gold"]],
-        contracts=store(),
+        spark, f"{root}/lake", [source],
+        [t for t in jobs.delivered_silver("erp") if t.name in _REFINED],
+        [t for t in jobs.delivered_gold(AS_OF) if t.name == "sap_project_profitability_gold"],
+        store(),
     )
-    source = landing.Source("erp", "sap_b1", {"source_storage_path": sf})
-    for name in names["delivered"]:
-        frame = shaped(spark, sf, name.lower())
-        landing.land_table(
-            spark, source, catalogue.table_config(name), pipeline.root, pipeline.log, frame
-        )
-    pipeline.run("silver")
+    pipeline.run()
     return pipeline
 
 
