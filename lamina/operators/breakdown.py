@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lamina.functions.exprs import money
 from lamina.operators.skew import safe_join
+from lamina.session import cut_lineage
 
 
 def item_totals(df: DataFrame, keys: Sequence[str], item: str, value: str) -> DataFrame:
@@ -27,10 +28,13 @@ def json_breakdown(
     its rows. A group with more than ``part_items`` distinct items comes as several rows, told
     apart by ``part``, whose objects together hold every item exactly once.
     """
-    totals = item_totals(df, keys, item, value).withColumn(
-        "__group", F.xxhash64(*[F.col(k) for k in keys])
+    # Written out, because group sizes and the texts are both derived from the totals.
+    totals = cut_lineage(
+        item_totals(df, keys, item, value).withColumn(
+            "__group", F.xxhash64(*[F.col(k) for k in keys])
+        )
     )
-    large = (
+    large = cut_lineage(
         totals.groupBy("__group")
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > part_items)

@@ -280,7 +280,8 @@ def _key_links(
             if len(close) > 1:  # equal here, close elsewhere
                 near = near.union(distinct.select("v", F.col("v").alias("w")))
             near = near.select(F.col("v").alias(mine), F.col("w").alias(theirs))
-            left = safe_join(left, near, [mine], "inner")
+            seen = rows.select(F.col(c.column).alias(mine))
+            left = safe_join(left, near, [mine], "inner", sketch_from=seen)
             meet.append(theirs)
         else:
             cell = F.floor(F.col(mine) / F.lit(float(c.limit)))
@@ -290,7 +291,8 @@ def _key_links(
                 f"__cell_{c.column}", F.floor(F.col(theirs) / F.lit(float(c.limit)))
             )
             meet.append(f"__cell_{c.column}")
-    joined = safe_join(left, right, meet, "inner").filter("id_l < id_r")
+    # Per key one group on the right, and on the left only the groups close to it.
+    joined = left.join(right, meet).filter("id_l < id_r")
     for c in close:
         if c.kind == "near":
             joined = joined.filter(c.close(F.col(f"{c.column}_l"), F.col(f"{c.column}_r")))
@@ -323,7 +325,8 @@ def candidate_links(df: DataFrame, settings: LinkageSettings) -> DataFrame:
     if not found:  # not even full agreement reaches the threshold
         nobody = records.select(F.col(settings.id).alias("id_l"), F.col(settings.id).alias("id_r"))
         return nobody.filter(F.lit(False))
-    return reduce(DataFrame.unionByName, found).distinct()
+    # Written out: scoring and clustering both read the links several times.
+    return cut_lineage(reduce(DataFrame.unionByName, found).distinct())
 
 
 def scored_links(df: DataFrame, links: DataFrame, settings: LinkageSettings) -> DataFrame:
@@ -337,7 +340,9 @@ def scored_links(df: DataFrame, links: DataFrame, settings: LinkageSettings) ->
             *[F.col(v).alias(f"{v}_{tag}") for v in dict.fromkeys(values)],
         )
 
-    pairs = safe_join(safe_join(links, side("l"), ["id_l"], "inner"), side("r"), ["id_r"], "inner")
+    # Many links share their smaller id, so both lookups may meet hot keys.
+    pairs = safe_join(links, side("l"), ["id_l"], "inner")
+    pairs = safe_join(pairs, side("r"), ["id_r"], "inner", sketch_from=links.select("id_r"))
     return score(compare(pairs, settings.comparisons), settings)
 
 
@@ -345,7 +350,7 @@ def cluster(df: DataFrame, links: DataFrame, id_col: str) -> DataFrame:
     """``df`` with ``cluster_id``, the smallest id of its linked records (its own if alone)."""
     parts = connected_components(links, "id_l", "id_r").withColumnRenamed("node", id_col)
     return (
-        safe_join(df, parts, [id_col])
+        df.join(parts, id_col, "left")
         .withColumn("cluster_id", F.coalesce(F.col("component"), F.col(id_col)))
         .drop("component")
     )

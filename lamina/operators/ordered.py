@@ -8,13 +8,12 @@ Windows run inside the chunks; what crosses a chunk border is carried by one row
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lamina.session import cut_lineage
 
-_CHUNK, _AT = "__chunk", "__at"
+_GROUP, _CHUNK, _AT = "__group", "__chunk", "__at"
 
 
 def ordered_rows(
@@ -39,8 +38,10 @@ def ordered_rows(
     # Written once: the chunk of a row must be the same in everything derived below.
     rows = cut_lineage(ranged.withColumn(_CHUNK, F.spark_partition_id()))
 
-    inside = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
-    by_rank = Window.partitionBy(*keys, _CHUNK).orderBy(*order[: len(order_by)])
+    # One struct column for the group: never NULL itself, equal also where its fields are NULL.
+    rows = rows.withColumn(_GROUP, F.struct(*[F.col(k) for k in keys]))
+    inside = Window.partitionBy(_GROUP, _CHUNK).orderBy(*order)
+    by_rank = Window.partitionBy(_GROUP, _CHUNK).orderBy(*order[: len(order_by)])
     carried = F.struct(*[F.col(v) for v in values]) if values else F.lit(None)
     at = F.struct(*[F.col(c) for c in order_by])
     local = rows.select(
@@ -52,7 +53,7 @@ def ordered_rows(
         at.alias(_AT),
         carried.alias("__own"),
     )
-    borders = local.groupBy(*keys, _CHUNK).agg(
+    borders = local.groupBy(_GROUP, _CHUNK).agg(
         F.count(F.lit(1)).alias("n"),
         F.min_by("__own", "__rn").alias("first"),
         F.max_by("__own", "__rn").alias("last"),
@@ -60,10 +61,10 @@ def ordered_rows(
         F.max("__rank").alias("last_rank"),
     )
     # One row per group and chunk: a group has no more of them than there are partitions.
-    chain = Window.partitionBy(*keys).orderBy(_CHUNK)
+    chain = Window.partitionBy(_GROUP).orderBy(_CHUNK)
     earlier = chain.rowsBetween(Window.unboundedPreceding, -1)
     borders = borders.select(
-        *keys, _CHUNK, "last_rank", "last_at",
+        _GROUP, _CHUNK, "last_rank", "last_at",
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
         F.lag("last").over(chain).alias("prev_last"),
         F.lead("first").over(chain).alias("next_first"),
@@ -75,15 +76,9 @@ def ordered_rows(
     run = F.when(began_here, F.col("before") + F.col("last_rank"))
     borders = borders.withColumn("__run", run)
     borders = borders.withColumn("run_rank", F.last("__run", ignorenulls=True).over(earlier))
-    names = {k: f"__b_{k}" for k in [*keys, _CHUNK]}
-    wanted = ["before", "prev_last", "next_first", "prev_at", "continued", "run_rank"]
-    right = borders.select(*[F.col(k).alias(n) for k, n in names.items()], *wanted)
-    same: Column = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
-    )
-    joined = local.join(right, same)
+    joined = local.join(borders, [_GROUP, _CHUNK])
     spans = F.col("continued") & F.col(_AT).eqNullSafe(F.col("prev_at"))
-    out = joined.select(
+    return joined.select(
         *[F.col(c) for c in df.columns],
         (F.col("before") + F.col("__rn")).cast("long").alias("row_number"),
         F.when(spans, F.col("run_rank")).otherwise(F.col("before") + F.col("__rank"))
@@ -93,4 +88,3 @@ def ordered_rows(
         ],
         *[F.coalesce(F.col("__next"), F.col("next_first"))[v].alias(f"next_{v}") for v in values],
     )
-    return out

@@ -95,14 +95,17 @@ def cost_center_pnl(journal: DataFrame, accounts: DataFrame, centers: DataFrame)
 
     Journal lines are summed per (centre, account) before any name is joined.
     """
-    sums = journal.groupBy("OcrCode", F.col("Account").alias("AcctCode")).agg(
+    posted = journal.withColumnRenamed("Account", "AcctCode")
+    sums = posted.groupBy("OcrCode", "AcctCode").agg(
         F.sum(money(F.col("Credit"))).alias("credit"), F.sum(money(F.col("Debit"))).alias("debit")
     )
-    named = safe_join(sums, accounts.select("AcctCode", "AcctName"), ["AcctCode"])
+    names = accounts.select("AcctCode", "AcctName")
+    named = safe_join(sums, names, ["AcctCode"], sketch_from=posted.select("AcctCode"))
     grouped = named.groupBy("OcrCode", "AcctName").agg(
         F.sum("credit").alias("credit"), F.sum("debit").alias("debit")
     )
-    return safe_join(grouped, centers.select("OcrCode", "OcrName"), ["OcrCode"]).select(
+    centers = centers.select("OcrCode", "OcrName")
+    return safe_join(grouped, centers, ["OcrCode"], sketch_from=posted.select("OcrCode")).select(
         "OcrCode", "OcrName", "AcctName", "credit", "debit",
         (F.col("credit") - F.col("debit")).alias("result"),
     )
