@@ -59,15 +59,19 @@ class Pipeline:
         source = source or DERIVED_SOURCE[stage]
         return read_dataset(self.spark, self.root, self.log, stage, source, name)
 
-    def _input(self, item: Input) -> tuple[DataFrame, int | None]:
+    def _input(self, item: Input, after: int = 0) -> tuple[DataFrame | None, int | None, list[int]]:
+        """Rows, row count and loads of an input; only loads behind ``after`` if any are wanted."""
         if item.stage not in STAGES:
-            return files.read_parquet(self.spark, item.path), None
+            return files.read_parquet(self.spark, item.path), None, []
         source, name = item.dataset()
         source = source or DERIVED_SOURCE.get(item.stage, "")
         live = self.log.live(item.stage, source, name)
-        loads = list(dict.fromkeys(r["load_id"] for r in live))
-        rows = sum({r["load_id"]: r["rows_out"] or 0 for r in live}.values())
-        return read_loads(self.spark, self.root, item.stage, source, name, loads), rows
+        rows = {r["load_id"]: r["rows_out"] or 0 for r in live}
+        loads = [n for n in rows if n > after]
+        if after and not loads:
+            return None, 0, []
+        frame = read_loads(self.spark, self.root, item.stage, source, name, loads)
+        return frame, sum(rows[n] for n in loads), loads
 
     def publish(
         self,
@@ -76,9 +80,15 @@ class Pipeline:
         df: DataFrame,
         checks: Sequence[str] = (),
         rows_in: int | None = None,
+        mode: str = "full",
+        consumed: int | None = None,
         **options: Any,
     ) -> Commit:
-        """Write, check what was written, then commit."""
+        """Write, check what was written, then commit.
+
+        ``mode="incremental"`` adds the rows to the dataset, ``"full"`` replaces it. ``consumed``
+        is the newest input load the rows come from.
+        """
         source = DERIVED_SOURCE[stage]
         last = self.log.latest(stage, source, name)
         load_id = 1 if last is None else last["load_id"] + 1
@@ -86,12 +96,17 @@ class Pipeline:
         files.write_parquet(df, path)
         written = files.read_parquet(self.spark, path)
         if checks:
-            previous = None if last is None else last["rows_out"]
+            full = mode == "full"
             enforce(
-                name, written, checks, store=self.contracts, functions=self.checks,
-                path=path, previous_rows=previous, **options,
+                name, written, checks, store=self.contracts, functions=self.checks, path=path,
+                previous_rows=last["rows_out"] if full and last is not None else None,
+                load_mode="full_load" if full else "incremental", **options,
             )
-        commit = Commit(stage, source, name, load_id, "full", rows_in=rows_in, rows_out=written.count())
+        commit = Commit(
+            stage, source, name, load_id, mode,
+            None if consumed is None else "load_id", None if consumed is None else str(consumed),
+            None if consumed is None else "bigint", rows_in, written.count(),
+        )
         self.log.append(commit)
         return commit
 
@@ -100,20 +115,43 @@ class Pipeline:
     def run_bronze(self) -> list[Commit]:
         return land_all(self.spark, self.sources, self.root, self.log, self.parallel)
 
-    def _build(self, stage: str, transform: Transform) -> Commit:
+    def _build(self, stage: str, transform: Transform) -> Commit | None:
+        mode, after = "full", 0
+        if transform.incremental:
+            mode, after = self._progress(stage, transform)
         with self._naming:  # input names are views of the session; one transformation at a time
-            found = {i.alias: self._input(i) for i in transform.inputs}
-            result = run_transform(self.spark, transform, {a: df for a, (df, _) in found.items()})
+            found = {i.alias: self._input(i, after) for i in transform.inputs}
+            frames = {alias: df for alias, (df, _, _) in found.items()}
+            if any(df is None for df in frames.values()):
+                return None  # nothing new
+            result = run_transform(self.spark, transform, frames)
         if transform.linkage is not None:
             result = deduplicate(result, transform.linkage, transform.newest_by)
-        known = [n for _, n in found.values() if n is not None]
-        rows_in = sum(known) if known else None
-        return self.publish(stage, transform.name, result, transform.checks, rows_in)
+        known = [n for _, n, _ in found.values() if n is not None]
+        loads = [n for _, _, ids in found.values() for n in ids]
+        return self.publish(
+            stage, transform.name, result, transform.checks, sum(known) if known else None, mode,
+            max(loads) if transform.incremental and loads else None,
+        )
+
+    def _progress(self, stage: str, transform: Transform) -> tuple[str, int]:
+        """How to go on with an incremental dataset: the mode and the last input load it holds."""
+        item = transform.inputs[0]
+        last = self.log.latest(stage, DERIVED_SOURCE[stage], transform.name)
+        if item.stage not in STAGES or last is None or last["watermark_column"] != "load_id":
+            return "full", 0
+        consumed = int(last["watermark_value"])
+        source, name = item.dataset()
+        live = self.log.live(item.stage, source or DERIVED_SOURCE.get(item.stage, ""), name)
+        # A newer full load replaces rows this dataset was built from.
+        replaced = any(r["mode"] == "full" and r["load_id"] > consumed for r in live)
+        return ("full", 0) if replaced else ("incremental", consumed)
 
     def _run(self, stage: str, transforms: Sequence[Transform]) -> list[Commit]:
         """Datasets of one stage do not depend on each other, so several are built at a time."""
         with ThreadPoolExecutor(max_workers=max(1, self.parallel)) as pool:
-            return list(pool.map(lambda t: self._build(stage, t), transforms))
+            built = pool.map(lambda t: self._build(stage, t), transforms)
+            return [commit for commit in built if commit is not None]
 
     def run(self, start: str | None = None) -> dict[str, list[Commit]]:
         """Run a stage and all later ones."""
@@ -188,7 +226,7 @@ def delivered_silver(erp: str, crm: str | None = None) -> list[Transform]:
         out.append(
             Transform(
                 f"silver_{table.lower()}", _bronze(erp, table),
-                lambda _, t, a=alias: silver.pass_through(t[a]),
+                lambda _, t, a=alias: silver.pass_through(t[a]), incremental=True,
             )
         )
     return out

@@ -492,7 +492,8 @@ def stats(spark, sf):
     )
 
 
-@query("text_json_nested", """SELECT event_id, lower(event_type) AS kind, length(event_type) AS n,
+@query("text_json_nested", """SELECT event_id, lower(event_type) AS kind,
+  CAST(length(event_type) AS INTEGER) AS n,
   regexp_matches(event_type, '^s') AS starts_with_s, event_type LIKE '%ic%' AS has_ic,
   CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
   CAST(date_trunc('month', ts) AS DATE) AS month, abs(value - 100) AS distance,

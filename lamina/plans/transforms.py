@@ -37,7 +37,9 @@ class Input:
 class Transform:
     """One dataset to build: from a function or from SQL over the input names.
 
-    ``parameters`` are bound to ``:name`` markers of the SQL text.
+    ``parameters`` are bound to ``:name`` markers of the SQL text. ``incremental`` promises that
+    the transformation treats each row of its one input by itself: then only loads that came in
+    since the last run are read, and their rows are added to what is there.
     """
 
     name: str
@@ -48,6 +50,11 @@ class Transform:
     checks: Sequence[str] = ()
     linkage: LinkageSettings | None = None
     newest_by: Sequence[str] = ()
+    incremental: bool = False
+
+    def __post_init__(self):
+        if self.incremental and (len(self.inputs) != 1 or self.linkage is not None):
+            raise ValueError(f"{self.name}: an incremental transformation has one input and no linkage")
 
     @classmethod
     def from_config(
@@ -60,6 +67,7 @@ class Transform:
             checks=config.get("quality_checks", ()),
             linkage=LinkageSettings.from_config(config["linkage"]) if config.get("linkage") else None,
             newest_by=config.get("newest_by", ()),
+            incremental=config.get("incremental", False),
         )
         if kind == "python":
             if name not in functions:

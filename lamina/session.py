@@ -65,9 +65,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current.get()
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="lamina-checkpoint-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lamina-checkpoint-"))
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
 def fresh_dir(spark: SparkSession, prefix: str) -> str:

@@ -275,6 +275,8 @@ def test_whole_pipeline(spark, folder):
     # Nothing new: increments are empty, derived datasets are rebuilt with the same rows.
     again = pipe.run()
     assert {c.rows_out for c in again["bronze"]} == {0}
+    assert {c.rows_out for c in again["silver"] if c.dataset.startswith("silver_")} == {0}
+    assert pipe.dataset("silver", "silver_oinv").count() == 100
     assert pipe.dataset("gold", "sap_customer_analytics_gold").count() == 20
 
 
@@ -333,3 +335,31 @@ def test_pipeline_from_config(spark, folder):
         linkage.LinkageSettings.from_config({"unique_id_column_name": "i", "blocking_rule": "l.a = r.b", "comparisons": ["c"]})
     with pytest.raises(ValueError, match="dedupe_only"):
         linkage.LinkageSettings.from_config({"link_type": "link_only"})
+
+
+def test_incremental_transformation(spark, folder):
+    from lamina.sources.landing import land_table
+
+    step = Transform("t", [Input("rows", "s/T")], lambda s, t: t["rows"].filter("id < 100"), incremental=True)
+    pipe = jobs.Pipeline(spark, folder, silver=[step], checks={"few": lambda d: d.count() < 4})
+    source, table = Source("s", "sap_b1", {"source_storage_path": ""}), {"name": "T", "incremental_column": "id"}
+
+    def land(n):
+        land_table(spark, source, table, folder, pipe.log, spark.range(n))
+
+    land(3)
+    first = pipe.run("silver")["silver"]
+    assert [(c.mode, c.rows_in, c.rows_out, c.watermark_value) for c in first] == [("full", 3, 3, "1")]
+    assert pipe.run("silver")["silver"] == []  # nothing new
+    land(5)
+    land(6)
+    more = pipe.run("silver")["silver"]
+    assert [(c.mode, c.rows_in, c.rows_out, c.watermark_value) for c in more] == [("incremental", 3, 3, "3")]
+    assert sorted(r["id"] for r in pipe.dataset("silver", "t").collect()) == list(range(6))
+    pipe.log.reset("bronze", "s", "T")
+    land(2)
+    again = pipe.run("silver")["silver"]
+    assert [(c.mode, c.rows_out) for c in again] == [("full", 2)]
+    assert pipe.dataset("silver", "t").count() == 2
+    with pytest.raises(ValueError, match="one input"):
+        Transform("t", [], incremental=True)
