@@ -8,25 +8,40 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lamina.session import fits_broadcast
 
-SALTS = 64
-HOT_SHARE = 1.0 / 256
+ROWS_PER_TASK = 1_000_000  # rows of one key a single task is meant to take
+MAX_HOT_KEYS = 10_000      # bound of the hot-key list, and so of what is broadcast
+NO_KEY_SALTS = 65_536      # rows without a key match nothing, so spreading them costs nothing
 
-_HASH, _HOT, _SALT = "__key_hash", "__key_hot", "__salt"
+_HASH, _SALT, _SALTS = "__key_hash", "__salt", "__salts"
 
 
 def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
 
 
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Hashes of all keys holding at least ``share`` of the rows of ``df``.
+def hot_keys(
+    df: DataFrame,
+    keys: Sequence[str],
+    rows_per_task: int = ROWS_PER_TASK,
+    max_hot_keys: int = MAX_HOT_KEYS,
+) -> DataFrame:
+    """(key hash, salts) of all keys too large for one task.
 
-    One mergeable frequent-item sketch over the key columns; it finds every such key, may add a
-    few others, and never holds more than ``1 / share`` entries, so the result may be broadcast
-    whatever the size of ``df``.
+    A mergeable frequent-item sketch names every key holding at least ``1 / max_hot_keys`` of the
+    rows, and never more than ``max_hot_keys`` in all; an exact count of just those decides how
+    many tasks each needs. Only key columns are read. The result may be broadcast whatever the
+    size of ``df``, and all salts together are no more than its tasks plus its hot keys.
     """
-    sketch = df.select(_key_hash(keys).alias(_HASH)).stat.freqItems([_HASH], share)
-    return sketch.select(F.explode(f"{_HASH}_freqItems").alias(_HASH)).distinct()
+    hashed = df.select(_key_hash(keys).alias(_HASH))
+    sketch = hashed.stat.freqItems([_HASH], 1.0 / max_hot_keys)
+    candidates = sketch.select(F.explode(f"{_HASH}_freqItems").alias(_HASH)).distinct()
+    return (
+        hashed.join(F.broadcast(candidates), _HASH, "left_semi")
+        .groupBy(_HASH)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > rows_per_task)
+        .select(_HASH, F.ceil(F.col("n") / rows_per_task).cast("int").alias(_SALTS))
+    )
 
 
 def salted_join(
@@ -34,16 +49,16 @@ def salted_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    salts: int = SALTS,
-    share: float = HOT_SHARE,
+    rows_per_task: int = ROWS_PER_TASK,
     sketch_from: DataFrame | None = None,
 ) -> DataFrame:
-    """``left`` joined to ``right`` (left or inner), hot left keys spread over ``salts`` tasks.
+    """``left`` joined to ``right`` (left or inner), hot left keys spread over several tasks.
 
-    Rows of ``right`` under a hot key are repeated once per salt, all other rows once. The salt
-    is a pure function of the row and its input partition: a recomputed task assigns it again
-    the same way, and exact copies of one row in different partitions still spread.
-    Left rows with a NULL key can match nothing and are spread like hot ones.
+    A hot key gets as many salts as its rows fill tasks; rows of ``right`` under it are repeated
+    once per salt, all other rows stay single. The salt is a pure function of the row and its
+    input partition: a recomputed task assigns it again the same way, and exact copies of one
+    row in different partitions still spread.
+    Left rows with a NULL key can match nothing and are spread too.
 
     Hot keys are looked for in ``left``, or in ``sketch_from`` where that has the same keys and
     is cheaper to read, such as the table ``left`` was derived from.
@@ -51,29 +66,27 @@ def salted_join(
     if how not in ("left", "inner"):
         raise ValueError(f"salted_join supports left and inner, not {how}")
     keys = list(on)
-    hot = F.broadcast(hot_key_hashes(sketch_from or left, keys, share).withColumn(_HOT, F.lit(True)))
+    hot = F.broadcast(hot_keys(sketch_from or left, keys, rows_per_task))
 
-    spread = F.pmod(
-        F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]) + F.spark_partition_id(), F.lit(salts)
-    ).cast("int")
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns], F.spark_partition_id())
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | F.col(f"`{k}`").isNull()
+    salts = F.when(no_key, F.lit(NO_KEY_SALTS)).otherwise(F.coalesce(_SALTS, F.lit(1)))
     left_side = (
         left.withColumn(_SALT, spread)
         .withColumn(_HASH, _key_hash(keys))
         .join(hot, _HASH, "left")
-        .withColumn(_SALT, F.when(F.col(_HOT) | no_key, F.col(_SALT)).otherwise(F.lit(0)))
-        .drop(_HASH, _HOT)
+        .withColumn(_SALT, F.pmod(F.col(_SALT), salts).cast("int"))
+        .drop(_HASH, _SALTS)
     )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     right_side = (
         right.withColumn(_HASH, _key_hash(keys))
         .join(hot, _HASH, "left")
         .withColumn(
-            _SALT, F.explode(F.when(F.col(_HOT), every_salt).otherwise(F.array(F.lit(0))))
+            _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(_SALTS, F.lit(1)) - 1))
         )
-        .drop(_HASH, _HOT)
+        .drop(_HASH, _SALTS)
     )
     return left_side.join(right_side, [*keys, _SALT], how).drop(_SALT)
 

@@ -136,8 +136,9 @@ def test_salted_join_equals_plain_join(spark, how):
         [("hot", 1), ("hot", 2), *[(str(i), i) for i in range(30)], (None, 9)], "k string, w int"
     )
     want = Counter(tuple(r) for r in left.join(right, "k", how).collect())
-    got = Counter(tuple(r) for r in skew.salted_join(left, right, ["k"], how).collect())
-    assert got == want
+    for rows in (100, 1_000_000):
+        got = skew.salted_join(left, right, ["k"], how, rows_per_task=rows)
+        assert Counter(tuple(r) for r in got.collect()) == want
     wider = skew.safe_join(left, right, ["k"], how, limit=0)
     assert Counter(tuple(r) for r in wider.collect()) == want
     assert "__salt" in plan_of(wider)
@@ -147,10 +148,26 @@ def test_salted_join_equals_plain_join(spark, how):
         skew.salted_join(left, right, ["k"], "full")
 
 
-def test_hot_keys_are_found_and_bounded(spark):
-    found = [r[0] for r in skew.hot_key_hashes(skewed(spark), ["k"], 0.05).collect()]
-    hot = spark.sql("SELECT xxhash64('hot')").first()[0]
-    assert hot in found and len(found) <= 20
+def test_hot_keys_get_salts_by_their_size(spark):
+    found = {r[0]: r[1] for r in skew.hot_keys(skewed(spark), ["k"], 500).collect()}
+    assert found == {spark.sql("SELECT xxhash64('hot')").first()[0]: 4}  # 2000 rows
+    assert len(skew.hot_keys(skewed(spark), ["k"], 1, max_hot_keys=20).collect()) <= 20
+    assert skew.hot_keys(skewed(spark), ["k"]).count() == 0
+
+
+def test_a_hot_key_is_spread_over_tasks(spark):
+    left, right = skewed(spark), spark.createDataFrame([("hot", 1)], "k string, w int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = skew.salted_join(left, right, ["k"], "left", rows_per_task=100)
+        shares = joined.groupBy(F.spark_partition_id().alias("p"), "k").count().filter("k = 'hot' or k is null")
+        rows = shares.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(r["count"] for r in rows) < 1000 and len({r["p"] for r in rows}) == 8
 
 
 # ---------------------------------------------------------------- breakdown, retention
