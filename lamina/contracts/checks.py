@@ -289,6 +289,17 @@ def _growth(df: DataFrame, rate: float, previous_rows: int) -> DataFrame:
 # ---------------------------------------------------------------- whole contract
 
 
+@dataclass(frozen=True)
+class Piece:
+    """Checks computed together. ``parts`` are the same checks one by one, for when the whole
+    cannot run."""
+
+    label: str
+    severity: str
+    build: Callable[[], DataFrame]
+    parts: tuple["Piece", ...] = ()
+
+
 def plan_checks(
     df: DataFrame,
     contract: Contract,
@@ -298,8 +309,8 @@ def plan_checks(
     previous_rows: int | None = None,
     validate_sla: bool = True,
     email_like: bool = False,
-) -> list[tuple[str, str, Callable[[], DataFrame]]]:
-    """The contract's checks as independent pieces: (label, severity, builder)."""
+) -> list[Piece]:
+    """The contract's checks as pieces that can run independently."""
     spark, present = df.sparkSession, set(df.columns)
     rules = [r for r in contract.rules if r.applies(load_mode)]
     columns = [c for c in contract.columns if c.name in present]
@@ -307,7 +318,7 @@ def plan_checks(
     unique = [(f"{c.name}.unique", "unique", "error", c.name) for c in columns if c.unique]
     volumes: list[tuple] = []
     static = _schema_rows(df, contract)
-    pieces: list[tuple[str, str, Callable[[], DataFrame]]] = []
+    pieces: list[Piece] = []
 
     def failed(rule: Rule, text: str, severity: str | None = None) -> None:
         static.append(
@@ -343,9 +354,8 @@ def plan_checks(
             else:
                 view = f"contract_{uuid.uuid4().hex}"
                 data = df if rule.sampling_rate is None else df.sample(rule.sampling_rate, SAMPLE_SEED)
-                pieces.append(
-                    (rule.name, rule.severity, lambda d=data, r=rule, v=view: _custom_sql(d, r, v))
-                )
+                build = lambda d=data, r=rule, v=view: _custom_sql(d, r, v)
+                pieces.append(Piece(rule.name, rule.severity, build))
         else:
             failed(rule, f"unknown rule type {rule.type}", "warning")
 
@@ -355,31 +365,37 @@ def plan_checks(
             volumes.append(("completeness", "sla", "error", complete["min_row_count"]))
         if "expected_growth_rate" in complete and previous_rows is not None:
             rate = complete["expected_growth_rate"]
-            pieces.append(("expected_growth", "warning", lambda: _growth(df, rate, previous_rows)))
+            growth = lambda: _growth(df, rate, previous_rows)
+            pieces.append(Piece("expected_growth", "warning", growth))
         fresh = contract.sla.get("freshness") or {}
         if path is not None and "max_age_hours" in fresh:
             hours = fresh["max_age_hours"]
-            pieces.append(("freshness", "error", lambda: freshness(spark, path, hours, as_of)))
+            pieces.append(Piece("freshness", "error", lambda: freshness(spark, path, hours, as_of)))
+
+    def counted(label: str, data: DataFrame, checks: list[RowCheck], rows: list[tuple]) -> Piece:
+        parts = [
+            Piece(c.name, c.severity, lambda c=c: _counted(data, [c], [])) for c in checks
+        ] + [Piece(v[0], v[2], lambda v=v: _counted(data, [], [v])) for v in rows]
+        return Piece(label, "error", lambda: _counted(data, checks, rows), tuple(parts))
 
     sampled: dict[float | None, list[RowCheck]] = {}
     for check in row_checks:
         sampled.setdefault(check.sampling_rate, []).append(check)
     whole = sampled.pop(None, [])
     if whole or volumes:
-        pieces.append(("row checks", "error", lambda: _counted(df, whole, volumes)))
+        pieces.append(counted("row checks", df, whole, volumes))
     for rate, checks in sampled.items():
-        part = df.sample(rate, SAMPLE_SEED)
-        pieces.append((f"sample {rate}", "error", lambda p=part, c=checks: _counted(p, c, [])))
+        pieces.append(counted(f"sample {rate}", df.sample(rate, SAMPLE_SEED), checks, []))
     if unique:
-        pieces.append(("uniqueness", "error", lambda: _uniqueness(df, unique)))
-    pieces.append(("schema", "error", lambda: _static(spark, static)))
+        pieces.append(Piece("uniqueness", "error", lambda: _uniqueness(df, unique)))
+    pieces.append(Piece("schema", "error", lambda: _static(spark, static)))
     return pieces
 
 
 def validate(df: DataFrame, contract: Contract, **options: Any) -> DataFrame:
     """All checks of a contract as one lazy DataFrame; options as in :func:`plan_checks`."""
-    pieces = [build() for _, _, build in plan_checks(df, contract, **options)]
-    return reduce(DataFrame.unionByName, pieces)
+    built = [piece.build() for piece in plan_checks(df, contract, **options)]
+    return reduce(DataFrame.unionByName, built)
 
 
 @dataclass(frozen=True)
@@ -413,15 +429,23 @@ def evaluate(df: DataFrame, contract: Contract, **options: Any) -> Outcome:
     except PySparkException:
         pass
     rows: list = []
-    for label, severity, build in plan_checks(df, contract, **options):
+
+    def attempt(piece: Piece) -> None:
         try:
-            rows += build().collect()
+            rows.extend(piece.build().collect())
         except PySparkException as wrong:
-            text = f"{label}: error executing validation: {wrong}"
+            if len(piece.parts) > 1:
+                for part in piece.parts:
+                    attempt(part)
+                return
+            text = f"{piece.label}: error executing validation: {wrong}"
             rows.append(
-                dict(check=label, kind="error", severity=severity, passed=False,
+                dict(check=piece.label, kind="error", severity=piece.severity, passed=False,
                      observed=None, expected=None, message=text)
             )
+
+    for piece in plan_checks(df, contract, **options):
+        attempt(piece)
     return Outcome(contract.dataset, tuple(rows))
 
 

@@ -173,9 +173,16 @@ def daily_sales(orders: DataFrame, day: str = "order_date", amount: str = "order
 
 
 def monthly_revenue(
-    invoices: DataFrame, partners: DataFrame, as_of: Any = None, months: int = 12
+    invoices: DataFrame,
+    partners: DataFrame,
+    as_of: Any = None,
+    months: int = 12,
+    stamped: bool = False,
 ) -> DataFrame:
-    """Revenue per month and known customer over the last months; unknown customers share one group."""
+    """Revenue per month and known customer over the last months; unknown customers share one group.
+
+    ``stamped`` adds the time of processing as ``processed_at``.
+    """
     recent = invoices.filter(F.col("DocDate") >= F.add_months(as_of_date(as_of), -months)).select(
         "CardCode", "DocDate", "DocNum", "DocStatus", money(F.col("DocTotal")).alias("total")
     )
@@ -195,9 +202,10 @@ def monthly_revenue(
             F.sum(closed).alias("closed_revenue"),
         )
     )
-    return groups.withColumn(
+    out = groups.withColumn(
         "avg_invoice_value", mean_of(F.col("total_revenue"), F.col("n_totals"))
     ).drop("n_totals")
+    return out.withColumn("processed_at", F.current_timestamp()) if stamped else out
 
 
 def customer_summary(

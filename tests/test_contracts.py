@@ -178,12 +178,18 @@ def test_a_rule_that_cannot_run_fails_alone(spark):
     rules = [
         Rule("syntax", "custom_sql", query="SELEC 1"),
         Rule("runtime", "custom_sql", "warning", query="SELECT SUM(CAST(kind AS INT)) FROM {dataset}", expected=0),
-        Rule("fine", "not_null", column="n"),
+        Rule("row by row", "violations", "warning", where="CAST(kind AS INT) > 1"),
+        Rule("found", "not_null", column="n"),
+        Rule("fine", "violations", where="n > 1000"),
+        Rule("many", "volume", min_rows=1),
     ]
     outcome = checks.evaluate(sample(spark), contract([], rules))
-    got = {r["check"]: r["passed"] for r in outcome.rows}
-    assert got["syntax"] is False and got["runtime"] is False and got["fine"] is False
-    assert len(outcome.errors) == 2 and len(outcome.warnings) == 2  # extra columns, runtime
+    got = {r["check"]: (r["passed"], r["observed"]) for r in outcome.rows if r["kind"] != "schema"}
+    assert got == {
+        "syntax": (False, None), "runtime": (False, None), "row by row": (False, None),
+        "found": (False, "1"), "fine": (True, "0"), "many": (True, "4"),
+    }
+    assert len(outcome.errors) == 2 and len(outcome.warnings) == 3  # extra columns and two rules
 
 
 def test_load_mode_and_sampling(spark):
