@@ -228,12 +228,16 @@ def _custom_sql(df: DataFrame, rule: Rule, view: str) -> DataFrame:
     answer = spark.sql(query)
     value = F.first(answer.columns[0]).alias("value")
     observed = F.col("value")
-    if rule.expected is None:
-        passed = F.lit(True)
-    elif isinstance(rule.expected, (bool, str)):
-        passed = F.coalesce(observed.cast("string") == F.lit(str(rule.expected).lower() if isinstance(rule.expected, bool) else rule.expected), F.lit(False))
+    expected = rule.expected
+    if expected is None:
+        equal = F.lit(True)
+    elif isinstance(expected, bool):
+        equal = observed.cast("boolean") == F.lit(expected)
+    elif isinstance(expected, str):
+        equal = observed.cast("string") == F.lit(expected)
     else:
-        passed = F.coalesce(observed.cast("double") == F.lit(float(rule.expected)), F.lit(False))
+        equal = observed.cast("double") == F.lit(float(expected))
+    passed = F.coalesce(equal, F.lit(False))
     message = F.concat(
         F.lit(f"{rule.name}: query returned "),
         F.coalesce(observed.cast("string"), F.lit("NULL")),

@@ -46,18 +46,17 @@ def compile_contract(contract: Contract) -> Callable[[DataFrame], DataFrame]:
     """
     keys = [c.name for c in contract.columns if c.unique]
     dated = [c.name for c in contract.columns if c.type in ("DATE", "TIMESTAMP")]
+    # The processing time is the same for all rows and orders nothing.
+    newest_by = [name for name in dated[:1] if name != "processed_at"]
+    others = [
+        c.name for c in contract.columns if c.name not in (*keys, *newest_by, "processed_at")
+    ]
     condition = _row_condition(contract)
 
     def transform(df: DataFrame) -> DataFrame:
         out = df.select(*[_source_column(c) for c in contract.columns])
         if condition is not None:
             out = out.filter(condition)
-        if keys:
-            stamp = "processed_at" if dated[:1] == ["processed_at"] else None
-            newest_by = [] if stamp else dated[:1]
-            out = keep_latest(out, keys, newest_by) if stamp is None else keep_latest(
-                out, keys, [], [c.name for c in contract.columns if c.name not in (*keys, stamp)]
-            )
-        return out
+        return keep_latest(out, keys, newest_by, others) if keys else out
 
     return transform

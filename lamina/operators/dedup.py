@@ -46,7 +46,7 @@ def keep_latest(
     if tie_break is None:
         order += tie_breakers(df, [*keys, *newest_by])
     else:
-        order += [F.asc_nulls_last(f"`{c}`") for c in tie_break]
+        order += [F.asc_nulls_last(_order_value(df.schema[c])) for c in tie_break]
     if not order:
         order = [F.asc_nulls_last(f"`{keys[0]}`")]
     window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order)
