@@ -7,24 +7,13 @@ Windows run inside the chunks; what crosses a chunk border is carried by one row
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lamina.session import cut_lineage, estimated_bytes
+from lamina.session import cut_lineage
 
 _GROUP, _CHUNK, _AT = "__group", "__chunk", "__at"
-_CHUNK_BYTES = 256 * 1024 * 1024
-_MOST_CHUNKS = 100_000
-
-
-def _chunk_count(df: DataFrame) -> int | None:
-    """Partitions for ``df`` by its size; None where the session's own number is enough."""
-    size = estimated_bytes(df) or 0
-    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = math.ceil(size / _CHUNK_BYTES)
-    return min(wanted, _MOST_CHUNKS) if wanted > usual else None
 
 
 def ordered_rows(
@@ -40,12 +29,13 @@ def ordered_rows(
 
     Rows of a group are ordered by ``order_by``, then ``tie_break``, NULLs last; ``rank`` looks
     at ``order_by`` only. The order must be total for the other columns to be well defined.
+    ``chunks`` is the number of pieces the whole table is cut into, by default the session's
+    ``spark.sql.shuffle.partitions``; one piece should fit a task.
     """
     direction = F.desc_nulls_last if descending else F.asc_nulls_last
     order = [direction(c) for c in order_by] + [F.asc_nulls_last(c) for c in tie_break]
     group = [F.asc_nulls_last(k) for k in keys]
     split = [*group, *order]
-    chunks = chunks or _chunk_count(df)
     ranged = df.repartitionByRange(chunks, *split) if chunks else df.repartitionByRange(*split)
     # Written once: the chunk of a row must be the same in everything derived below.
     rows = cut_lineage(ranged.withColumn(_CHUNK, F.spark_partition_id()))
