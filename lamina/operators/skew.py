@@ -66,7 +66,8 @@ def salted_join(
     if how not in ("left", "inner"):
         raise ValueError(f"salted_join supports left and inner, not {how}")
     keys = list(on)
-    hot = F.broadcast(hot_keys(sketch_from or left, keys, rows_per_task))
+    source = left if sketch_from is None else sketch_from
+    hot = F.broadcast(hot_keys(source, keys, rows_per_task))
 
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns], F.spark_partition_id())
     no_key = F.lit(False)
