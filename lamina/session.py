@@ -74,11 +74,53 @@ def fresh_dir(spark: SparkSession, prefix: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared storage, whatever file system it is on."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+_steps: list[str] = []  # copies that may still be read
+
+
+def _written(df: DataFrame) -> tuple[str, DataFrame]:
+    path = fresh_dir(df.sparkSession, "step")
+    df.write.parquet(path)
+    _steps.append(path)
+    return path, df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
-    Later steps start from files every executor can read, and Catalyst knows their real size.
+    Later steps start from files every executor can read, and Catalyst knows their real size. The
+    copy stays until ``drop_steps``, because whoever got the frame may read it at any time.
     """
-    path = fresh_dir(df.sparkSession, "step")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _written(df)[1]
+
+
+def drop_steps(spark: SparkSession) -> int:
+    """Deletes all copies made by ``cut_lineage`` so far; for the end of a job. Returns their number."""
+    paths, _steps[:] = list(_steps), []
+    for path in paths:
+        remove_dir(spark, path)
+    return len(paths)
+
+
+class StepFolder:
+    """Copies of an iteration's rounds, of which only the newest is kept."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._paths: list[str] = []
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        path, copy = _written(df)
+        self._paths.append(path)
+        return copy
+
+    def drop_older(self) -> None:
+        for path in self._paths[:-1]:
+            remove_dir(self._spark, path)
+            _steps.remove(path)
+        self._paths = self._paths[-1:]
