@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lamina.llm import langid, licenses, pii, quality
+from lamina.llm import langid, licenses, pii, quality, simhash
 from lamina.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_mod("doc_id", 5) == 0
     model = quality.train(docs, labels.filter(~held_out))
     return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op10_simhash")
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
