@@ -165,10 +165,10 @@ def train(
     labelled = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).filter("text is not null and lang is not null")
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    sample = labelled.select("id", "lang").withColumn("n", F.row_number().over(first)).filter(
-        F.col("n") <= rows_per_language
-    )
+    sample = labelled.select("id", "lang", F.pmod(F.hash("id"), F.lit(64)).alias("part"))
+    for keys in (["lang", "part"], ["lang"]):  # in parts first: one language may have most rows
+        first = Window.partitionBy(*keys).orderBy(F.xxhash64("id"), "id")
+        sample = sample.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= rows_per_language)
     chosen = labelled.join(F.broadcast(sample.select("id", "lang").distinct()), ["id", "lang"])
 
     def count(batch):
