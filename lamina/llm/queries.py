@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lamina.llm import langid, licenses, linededup, pii, quality, simhash
+from lamina.llm import decontaminate, langid, licenses, linededup, mixing, pii, quality, simhash
 from lamina.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,30 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = linededup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+_WORDS_SQL = r"""regexp_extract_all(lower(text), '[0-9a-z\x{80}-\x{10FFFF}]+')"""
+CONTAMINATED_SQL = f"""
+WITH d AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark WHERE item_id IS NOT NULL),
+ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM d),
+bs AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM b),
+sizes AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS n_shared, any_value(n_item) AS n_item, count(*) / any_value(n_item) AS containment
+FROM ds JOIN bs USING (s) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(n_item) - 1e-9
+"""
+
+
+@query("op8_decontamination", CONTAMINATED_SQL)
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_shared", "n_item",
+        (F.col("n_shared") / F.col("n_item")).alias("containment"),
+    )
+
+
+@query("op6_mixing", mixing.mix_sql("documents"))
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
