@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lamina.llm import decontaminate, langid, licenses, linededup, mixing, pii, quality, simhash
+from lamina.llm import ann, decontaminate, langid, licenses, linededup, mixing, pii, quality, simhash
 from lamina.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_mixing", mixing.mix_sql("documents"))
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query("op1_nearest")
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
