@@ -36,13 +36,13 @@ def text_chunks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, list[
         yield first, held
 
 
-def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function: Callable, schema: str, rows: int = BATCH_ROWS) -> DataFrame:
     """``function(batch) -> dict of columns`` over Arrow batches small enough for long texts.
 
     The session's batch size is set because one batch of its default 10,000 rows of long texts
     would not fit a worker.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     target = pa_schema(schema)
 
     def run(batches):

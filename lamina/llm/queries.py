@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lamina.llm import ann, decontaminate, langid, licenses, linededup, mixing, pii, quality, simhash
+from lamina.llm import ann, decontaminate, langid, licenses, linededup, mixing, pii, pitmanyor, quality, simhash
 from lamina.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_nearest")
 def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op3_pitman_yor")
+def op3_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.score_texts(table(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2)
