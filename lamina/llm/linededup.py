@@ -1,7 +1,7 @@
 """Near-duplicate lines: MinHash over character shingles, banding, exact Jaccard, components.
 
 Only DataFrame functions. A line's shingles are runs of characters aligned to words: from the
-start of each word to the fourth character of the next one (every ideograph counts as a word). One
+start of each word to the fourth character of the second next (every ideograph counts as a word). One
 pass hashes each shingle once; the k-th signature value is the shingle nearest to the k-th of
 twelve evenly spread points (smallest exclusive-or), so all values come from one hash.
 """
@@ -15,7 +15,7 @@ from lamina.session import cut_lineage
 
 SIMILARITY = 0.8
 MIN_CHARS = 20   # shorter lines are never taken for duplicates
-NEXT_CHARS = 4   # characters of the next word in a shingle
+LAST_CHARS = 4   # characters of a shingle's third word
 BANDS, BAND_ROWS = 6, 2  # at similarity 0.8 a pair misses all bands with probability 0.36 ** 6 = 0.002
 BROADCAST_LINES = 4_000_000  # line hashes (8 bytes each) a broadcast may hold; beyond, they are shuffled
 
@@ -49,20 +49,26 @@ def _words(line: Column) -> Column:
     return F.split(F.when(wide, spaced).otherwise(line), " ")
 
 
-def _shingle_pairs(words: Column, count: Column) -> Column:
-    return F.arrays_zip(words.alias("word"), F.slice(words, F.lit(2), count).alias("after"))
+def _triples(words: Column, count: Column) -> Column:
+    shifted = [F.slice(words, F.lit(i), count).alias(name) for i, name in ((2, "second"), (3, "third"))]
+    return F.arrays_zip(words.alias("first"), *shifted)
+
+
+def _shingle(triple: Column) -> Column:
+    """A 32-bit hash of one shingle."""
+    return F.hash(triple["first"], triple["second"], F.substring(triple["third"], 1, LAST_CHARS))
 
 
 def _exploded(lines: DataFrame) -> DataFrame:
     """(h, x): line hash and the hash of each of its shingles."""
     split = lines.select(F.xxhash64("line").alias("h"), _words(F.col("line")).alias("words"))
-    pairs = split.select("h", F.explode(_shingle_pairs(F.col("words"), F.size("words"))).alias("p"))
-    return pairs.select("h", F.xxhash64("p.word", F.substring("p.after", 1, NEXT_CHARS)).alias("x"))
+    triples = split.select("h", F.explode(_triples(F.col("words"), F.size("words"))).alias("t"))
+    return triples.select("h", _shingle(F.col("t")).alias("x"))
 
 
 def _banded(lines: DataFrame) -> DataFrame:
     """(key, h, head): lines that share a band with another, with the bucket's smallest line."""
-    points = [(k << 60) - ((1 << 64) if k >= 8 else 0) for k in range(BANDS * BAND_ROWS)]
+    points = [(k << 28) - ((1 << 32) if k >= 8 else 0) for k in range(BANDS * BAND_ROWS)]
     signed = _exploded(lines).groupBy("h").agg(
         *[F.min(F.col("x").bitwiseXOR(F.lit(p))).alias(f"m{k}") for k, p in enumerate(points)]
     )
@@ -86,13 +92,8 @@ def _shingle_sets(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     hashed = lines.select(F.xxhash64("line").alias("h"), "line")
     chosen = hashed.join(F.broadcast(wanted) if few else wanted, "h", "left_semi")
     words = chosen.groupBy("h").agg(F.first("line").alias("line")).select("h", _words(F.col("line")).alias("words"))
-    pairs = words.select("h", _shingle_pairs(F.col("words"), F.size("words")).alias("pairs"))
-    sets = pairs.select(
-        "h",
-        F.array_distinct(
-            F.transform("pairs", lambda p: F.xxhash64(p["word"], F.substring(p["after"], 1, NEXT_CHARS)))
-        ).alias("shingles"),
-    )
+    triples = words.select("h", _triples(F.col("words"), F.size("words")).alias("triples"))
+    sets = triples.select("h", F.array_distinct(F.transform("triples", _shingle)).alias("shingles"))
     return sets.withColumn("n", F.size("shingles"))
 
 

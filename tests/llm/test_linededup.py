@@ -8,7 +8,7 @@ from lamina.session import StepFolder  # noqa: F401
 
 def _shingles(line):
     words = line.split(" ")
-    return {(a, b[:4] if b is not None else None) for a, b in zip(words, words[1:] + [None])}
+    return {(a, b, c[:4]) for a, b, c in zip(words, words[1:] + [""], words[2:] + ["", ""])}
 
 
 def _brute(rows, similarity=0.8, min_chars=20):
