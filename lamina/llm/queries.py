@@ -33,12 +33,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
     name = lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])
     base = F.filter("found", lambda x: x["kind"].isin(*pii.BASE_KINDS))
+    count = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long")
     return found.select(
         "doc_id",
-        *[
-            F.size(F.filter("found", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}")
-            for k in pii.BASE_KINDS
-        ],
+        *[count(k).alias(f"n_{k}") for k in pii.BASE_KINDS],
         F.sha2(F.concat_ws(",", F.transform(base, name)), 256).alias("base_sha256"),
         F.concat_ws(",", F.transform("found", name)).alias("spans"),
         F.coalesce(F.array_max(F.transform("found", lambda x: x["score"])), F.lit(0.0)).alias("max_score"),
