@@ -105,7 +105,7 @@ def mix(
         "step", F.when(F.col("weight") > 0, F.col("block") % F.col("weight"))
     )
     table = _spread(spark, slots, "rank int, step long, first long")
-    slot = F.floor(F.col("block") / F.col("weight")) * total + F.col("first")
+    slot = F.floor(F.try_divide("block", "weight")) * total + F.col("first")
     return blocks.join(table, ["rank", "step"], "left").select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "block", slot.cast("long").alias("slot"),
         (F.col("number") % block_docs).cast("int").alias("place"),
