@@ -10,11 +10,14 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.errors import PySparkException
+from pyspark.errors import (
+    AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException,
+    IllegalArgumentException, NumberFormatException, ParseException, PySparkException, SparkRuntimeException,
+)
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lamina.contracts.model import ColumnSpec, Contract, Rule
@@ -26,7 +29,6 @@ RESULT = (
     "check string, kind string, severity string, passed boolean, "
     "observed string, expected string, message string"
 )
-SAMPLE_SEED = 17
 
 # A rule that counts the rows meeting a condition needs no query of its own.
 _COUNT_WHERE = re.compile(
@@ -44,7 +46,6 @@ class RowCheck:
     severity: str
     violated: Column
     text: str
-    sampling_rate: float | None = None
 
 
 def _col(name: str) -> Column:
@@ -62,35 +63,35 @@ def column_checks(spec: ColumnSpec, email_like: bool = False) -> list[RowCheck]:
         found.append(RowCheck(f"{spec.name}.{kind}", kind, severity, violated, text))
 
     if not spec.nullable:
-        add("nullable", c.isNull(), "NULL values in a column declared NOT NULL")
+        add("nullable", c.isNull(), "rows without a value that must be there")
     if spec.not_null:
-        add("not_null", c.isNull(), "NULL values")
+        add("not_null", c.isNull(), "rows without a value")
     if spec.min_value is not None:
-        add("min_value", c < F.lit(spec.min_value), f"values below minimum {spec.min_value}")
+        add("min_value", c < F.lit(spec.min_value), f"rows under the lower limit {spec.min_value}")
     if spec.max_value is not None:
-        add("max_value", c > F.lit(spec.max_value), f"values above maximum {spec.max_value}")
+        add("max_value", c > F.lit(spec.max_value), f"rows over the upper limit {spec.max_value}")
     if spec.allowed_values is not None:
         allowed = list(spec.allowed_values)
-        add("allowed_values", none_of(c, allowed), f"values not in {allowed}")
+        add("allowed_values", none_of(c, allowed), f"rows with anything but {allowed}")
     if spec.pattern is not None:
         if email_like:
             if "@" in spec.pattern:
                 odd = c.isNotNull() & ~c.like("%@%.%")
-                add("pattern", odd, "values that may not match the pattern", "warning")
+                add("pattern", odd, "rows that look unlike the pattern", "warning")
         else:
             odd = c.isNotNull() & ~c.rlike(spec.pattern)
-            add("pattern", odd, f"values not matching {spec.pattern}", "warning")
+            add("pattern", odd, f"rows unlike {spec.pattern}", "warning")
     return found
 
 
 def _rule_check(df: DataFrame, rule: Rule) -> RowCheck | None:
     """The rule as a row check, where it is one."""
-    kind, text = rule.type, "rows violating the rule"
+    kind, text = rule.type, "rows against the rule"
     if rule.type == "not_null" and rule.column:
-        violated, text = _col(rule.column).isNull(), f"NULL values in column {rule.column}"
+        violated, text = _col(rule.column).isNull(), f"rows without {rule.column}"
     elif rule.type == "pattern" and rule.column and rule.pattern:
         c = _col(rule.column)
-        violated, text = c.isNotNull() & ~c.rlike(rule.pattern), f"values not matching {rule.pattern}"
+        violated, text = c.isNotNull() & ~c.rlike(rule.pattern), f"rows unlike {rule.pattern}"
     elif rule.type == "violations" and rule.where:
         violated = F.expr(rule.where)
     elif rule.type == "custom_sql" and rule.query and rule.expected == 0:
@@ -104,7 +105,7 @@ def _rule_check(df: DataFrame, rule: Rule) -> RowCheck | None:
             return None
     else:
         return None
-    return RowCheck(rule.name, kind, rule.severity, violated, text, rule.sampling_rate)
+    return RowCheck(rule.name, kind, rule.severity, violated, text)
 
 
 # ---------------------------------------------------------------- result rows
@@ -139,9 +140,9 @@ def _schema_rows(df: DataFrame, contract: Contract) -> list[tuple]:
     extra = [n for n in actual if n not in expected]
     rows = [
         ("missing_columns", "schema", "error", not missing, str(len(missing)), "0",
-         f"Missing required columns: {missing}" if missing else None),
+         f"the data lacks {missing}" if missing else None),
         ("extra_columns", "schema", "warning", not extra, str(len(extra)), "0",
-         f"Extra columns found (not in contract): {extra}" if extra else None),
+         f"the contract does not know {extra}" if extra else None),
     ]
     for c in contract.columns:
         if c.name in actual:
@@ -149,7 +150,7 @@ def _schema_rows(df: DataFrame, contract: Contract) -> list[tuple]:
             shown = actual[c.name].simpleString()
             rows.append(
                 (f"{c.name}.type", "schema", "error", fits, shown, c.type,
-                 None if fits else f"Column {c.name} is {shown}, contract requires {c.type}")
+                 None if fits else f"{c.name} has type {shown} where {c.type} is declared")
             )
         if c.deprecated:
             hint = f", use {c.replacement}" if c.replacement else ""
@@ -157,15 +158,17 @@ def _schema_rows(df: DataFrame, contract: Contract) -> list[tuple]:
             gone = c.name not in actual
             rows.append(
                 (f"{c.name}.deprecated", "schema", "warning", gone, str(int(not gone)), "0",
-                 None if gone else f"Column {c.name} is deprecated{due}{hint}")
+                 None if gone else f"{c.name} is on its way out{due}{hint}")
             )
     return rows
 
 
-def _counted(df: DataFrame, checks: list[RowCheck], volumes: list[tuple]) -> DataFrame:
+def _counted(
+    df: DataFrame, checks: list[RowCheck], volumes: list[tuple], published_rows: int = 0
+) -> DataFrame:
     """One aggregate for all row checks and row-count checks. ``volumes``: (name, kind,
-    severity, minimum)."""
-    counts = [F.count(F.lit(1)).alias("rows")]
+    severity, minimum); rows published before count too."""
+    counts = [(F.count(F.lit(1)) + published_rows).alias("rows")]
     counts += [F.count_if(c.violated).alias(f"c{i}") for i, c in enumerate(checks)]
     results = []
     for i, c in enumerate(checks):
@@ -175,7 +178,7 @@ def _counted(df: DataFrame, checks: list[RowCheck], volumes: list[tuple]) -> Dat
     for name, kind, severity, minimum in volumes:
         n = F.col("rows")
         message = F.concat(
-            F.lit(f"{name}: row count "), n.cast("string"), F.lit(f" is below minimum {minimum}")
+            F.lit(f"{name}: rows: "), n.cast("string"), F.lit(f", at least {minimum} wanted")
         )
         results.append(_result(name, kind, severity, n >= minimum, n, minimum, message))
     return _rows(df.agg(*counts), results)
@@ -205,15 +208,30 @@ def duplicate_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def _uniqueness(df: DataFrame, wanted: list[tuple[str, str, str, str]]) -> DataFrame:
+def _with_published(df: DataFrame, published: DataFrame, column: str) -> DataFrame:
+    """The column's new values, and once more those that are published already."""
+    new = df.select(_col(column))
+    return new.union(published.select(_col(column)).join(new.distinct(), column, "left_semi"))
+
+
+def _uniqueness(
+    df: DataFrame, wanted: list[tuple[str, str, str, str]], published: DataFrame | None = None
+) -> DataFrame:
     """``wanted``: (check, kind, severity, column)."""
     columns = list(dict.fromkeys(column for *_, column in wanted))
     results = []
     for name, kind, severity, column in wanted:
         n = F.col(f"d{columns.index(column)}")
-        message = F.concat(F.lit(f"{name}: "), n.cast("string"), F.lit(f" duplicate values in column {column}"))
+        message = F.concat(F.lit(f"{name}: "), n.cast("string"), F.lit(f" values of {column} come more than once"))
         results.append(_result(name, kind, severity, n == 0, n, 0, message))
-    return _rows(duplicate_counts(df, columns), results)
+    if published is None:
+        return _rows(duplicate_counts(df, columns), results)
+    each = [
+        duplicate_counts(_with_published(df, published, c), [c]).withColumnRenamed("d0", f"d{i}")
+        for i, c in enumerate(columns)
+    ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), each)
+    return _rows(stacked.agg(*[F.max(f"d{i}").alias(f"d{i}") for i in range(len(columns))]), results)
 
 
 def _custom_sql(df: DataFrame, rule: Rule, view: str) -> DataFrame:
@@ -239,9 +257,9 @@ def _custom_sql(df: DataFrame, rule: Rule, view: str) -> DataFrame:
         equal = observed.cast("double") == F.lit(float(expected))
     passed = F.coalesce(equal, F.lit(False))
     message = F.concat(
-        F.lit(f"{rule.name}: query returned "),
+        F.lit(f"{rule.name}: the query gave "),
         F.coalesce(observed.cast("string"), F.lit("NULL")),
-        F.lit(f", expected {rule.expected}"),
+        F.lit(f" instead of {rule.expected}"),
     )
     result = _result(rule.name, rule.type, rule.severity, passed, observed, rule.expected, message)
     return _rows(answer.agg(value), [result])
@@ -270,21 +288,32 @@ def freshness(spark: SparkSession, path: str, max_age_hours: float, as_of: Any =
     passed = F.coalesce(age <= F.lit(float(max_age_hours)), F.lit(False))
     message = F.coalesce(
         F.concat(
-            F.lit("data is "), F.format_number(age, 1),
-            F.lit(f" hours old, max allowed is {max_age_hours} hours"),
+            F.lit("newest file is "), F.format_number(age, 1),
+            F.lit(f" hours old; {max_age_hours} are allowed"),
         ),
-        F.lit(f"no data found at {path}"),
+        F.lit(f"no file below {path}"),
     )
     result = _result(name, "sla", "error", passed, F.format_number(age, 1), max_age_hours, message)
     return _rows(newest, [result])
 
 
+def data_freshness(df: DataFrame, column: str, max_age_hours: float, as_of: Any = None) -> DataFrame:
+    """Age in hours of the newest value of a time column against the allowed age; no value fails."""
+    now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    newest = df.agg(F.max(_col(column)).cast("timestamp").alias("newest"))
+    age = F.round((now.cast("double") - F.col("newest").cast("double")) / 3600.0, 1)
+    passed = F.coalesce(age <= F.lit(float(max_age_hours)), F.lit(False))
+    message = F.concat(F.lit(f"newest {column} is "), F.coalesce(age.cast("string"), F.lit("unknown")), F.lit(" hours back"))
+    result = _result(f"{column}.freshness", "sla", "error", passed, age, float(max_age_hours), message)
+    return _rows(newest, [result])
+
+
 def _growth(df: DataFrame, rate: float, previous_rows: int) -> DataFrame:
     """Warns when the row count grew by less than the expected rate since the last load."""
     n = F.col("rows")
     needed = F.lit(previous_rows * (1 + rate))
     message = F.concat(
-        n.cast("string"), F.lit(f" rows after {previous_rows}; expected growth of {rate}")
+        n.cast("string"), F.lit(f" rows, {previous_rows} before; growth by {rate} was planned")
     )
     result = _result("expected_growth", "sla", "warning", n >= needed, n, rate, message)
     return _rows(df.agg(F.count(F.lit(1)).alias("rows")), [result])
@@ -313,8 +342,14 @@ def plan_checks(
     previous_rows: int | None = None,
     validate_sla: bool = True,
     email_like: bool = False,
+    published: DataFrame | None = None,
+    published_rows: int = 0,
 ) -> list[Piece]:
-    """The contract's checks as pieces that can run independently."""
+    """The contract's checks as pieces that can run independently.
+
+    ``published`` are the rows an increment is added to, ``published_rows`` their number: a key must
+    not be there already, and row counts are those of the whole.
+    """
     spark, present = df.sparkSession, set(df.columns)
     rules = [r for r in contract.rules if r.applies(load_mode)]
     columns = [c for c in contract.columns if c.name in present]
@@ -332,15 +367,15 @@ def plan_checks(
     for rule in rules:
         check = _rule_check(df, rule) if rule.column is None or rule.column in present else None
         if rule.type in ("uniqueness", "not_null", "pattern") and not rule.column:
-            failed(rule, f"{rule.type} rule requires column")
+            failed(rule, f"a {rule.type} rule names its column")
         elif rule.column is not None and rule.column not in present:
-            failed(rule, f"column {rule.column} does not exist")
+            failed(rule, f"there is no {rule.column}")
         elif check is not None:
             try:
                 df.agg(F.count_if(check.violated))
                 row_checks.append(check)
             except PySparkException as wrong:
-                failed(rule, f"error executing validation: {wrong}")
+                failed(rule, f"could not be evaluated: {wrong}")
         elif rule.type == "uniqueness":
             unique.append((rule.name, rule.type, rule.severity, rule.column))
         elif rule.type == "volume":
@@ -350,18 +385,17 @@ def plan_checks(
             found = present_columns(df, rule.columns)
             static.append(
                 (rule.name, rule.type, rule.severity, not found, str(len(found)), "0",
-                 f"{rule.name}: columns {found} must not be present" if found else None)
+                 f"{rule.name}: {found} may not be in the data" if found else None)
             )
         elif rule.type == "custom_sql":
             if not rule.query:
-                failed(rule, "custom_sql rule requires query")
+                failed(rule, "a custom_sql rule has a query")
             else:
                 view = f"contract_{uuid.uuid4().hex}"
-                data = df if rule.sampling_rate is None else df.sample(rule.sampling_rate, SAMPLE_SEED)
-                build = lambda d=data, r=rule, v=view: _custom_sql(d, r, v)
+                build = lambda r=rule, v=view: _custom_sql(df, r, v)
                 pieces.append(Piece(rule.name, rule.severity, build))
         else:
-            failed(rule, f"unknown rule type {rule.type}", "warning")
+            failed(rule, f"{rule.type} is no rule type", "warning")
 
     if validate_sla:
         complete = contract.sla.get("completeness") or {}
@@ -376,22 +410,15 @@ def plan_checks(
             hours = fresh["max_age_hours"]
             pieces.append(Piece("freshness", "error", lambda: freshness(spark, path, hours, as_of)))
 
-    def counted(label: str, data: DataFrame, checks: list[RowCheck], rows: list[tuple]) -> Piece:
-        parts = [
-            Piece(c.name, c.severity, lambda c=c: _counted(data, [c], [])) for c in checks
-        ] + [Piece(v[0], v[2], lambda v=v: _counted(data, [], [v])) for v in rows]
-        return Piece(label, "error", lambda: _counted(data, checks, rows), tuple(parts))
-
-    sampled: dict[float | None, list[RowCheck]] = {}
-    for check in row_checks:
-        sampled.setdefault(check.sampling_rate, []).append(check)
-    whole = sampled.pop(None, [])
-    if whole or volumes:
-        pieces.append(counted("row checks", df, whole, volumes))
-    for rate, checks in sampled.items():
-        pieces.append(counted(f"sample {rate}", df.sample(rate, SAMPLE_SEED), checks, []))
+    if row_checks or volumes:
+        parts = [Piece(c.name, c.severity, lambda c=c: _counted(df, [c], [])) for c in row_checks] + [
+            Piece(v[0], v[2], lambda v=v: _counted(df, [], [v], published_rows)) for v in volumes
+        ]
+        pieces.append(
+            Piece("row checks", "error", lambda: _counted(df, row_checks, volumes, published_rows), tuple(parts))
+        )
     if unique:
-        pieces.append(Piece("uniqueness", "error", lambda: _uniqueness(df, unique)))
+        pieces.append(Piece("uniqueness", "error", lambda: _uniqueness(df, unique, published)))
     pieces.append(Piece("schema", "error", lambda: _static(spark, static)))
     return pieces
 
@@ -426,30 +453,36 @@ class Outcome:
         return f"{self.dataset}: {state} ({len(self.errors)} errors, {len(self.warnings)} warnings)"
 
 
+# Errors of a rule or of the data it meets. Anything else, such as a lost cluster, is raised.
+RULE_ERRORS = (
+    AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException,
+    IllegalArgumentException, NumberFormatException, ParseException, SparkRuntimeException,
+)
+
+
 def evaluate(df: DataFrame, contract: Contract, **options: Any) -> Outcome:
-    """Run all checks. A rule that cannot run fails by itself and leaves the others standing."""
-    try:
-        return Outcome(contract.dataset, tuple(validate(df, contract, **options).collect()))
-    except PySparkException:
-        pass
+    """Run all checks together; if one cannot run, one by one, so that it fails by itself."""
+    pieces = plan_checks(df, contract, **options)
     rows: list = []
 
     def attempt(piece: Piece) -> None:
         try:
             rows.extend(piece.build().collect())
-        except PySparkException as wrong:
+        except RULE_ERRORS as wrong:
             if len(piece.parts) > 1:
                 for part in piece.parts:
                     attempt(part)
                 return
-            text = f"{piece.label}: error executing validation: {wrong}"
             rows.append(
                 dict(check=piece.label, kind="error", severity=piece.severity, passed=False,
-                     observed=None, expected=None, message=text)
+                     observed=None, expected=None, message=f"{piece.label} could not be evaluated: {wrong}")
             )
 
-    for piece in plan_checks(df, contract, **options):
-        attempt(piece)
+    try:
+        return Outcome(contract.dataset, tuple(reduce(DataFrame.unionByName, [p.build() for p in pieces]).collect()))
+    except RULE_ERRORS:
+        for piece in pieces:
+            attempt(piece)
     return Outcome(contract.dataset, tuple(rows))
 
 
@@ -470,7 +503,7 @@ def quarantine(df: DataFrame, contract: Contract) -> DataFrame:
         if rule.column is None or rule.column in df.columns:
             check = _rule_check(df, rule)
             if check is not None:
-                checks.append(replace(check, sampling_rate=None))
+                checks.append(check)
     checks = [c for c in checks if c.severity == "error"]
     names = F.array(*[F.when(c.violated, F.lit(c.name)) for c in checks])
     return df.withColumn("failed_checks", F.array_compact(names)).filter(F.size("failed_checks") > 0)

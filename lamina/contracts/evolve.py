@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lamina.contracts.model import ColumnSpec, Contract
 from lamina.contracts.types import same_type, to_spark_type
@@ -172,12 +172,39 @@ class MigrationRefused(ValueError):
     pass
 
 
-def migrate(df: DataFrame, contract: Contract, mode: str | None = None) -> DataFrame:
+def _lost(df: DataFrame, contract: Contract) -> dict[str, Column]:
+    """Per column that changes its type: whether a row's value would be lost."""
+    actual = {f.name: f.dataType for f in df.schema.fields}
+    return {
+        s.name: F.col(f"`{s.name}`").isNotNull() & F.col(f"`{s.name}`").try_cast(to_spark_type(s.type)).isNull()
+        for s in contract.columns
+        if s.name in actual and not same_type(s.type, actual[s.name])
+    }
+
+
+def failed_casts(df: DataFrame, contract: Contract) -> DataFrame:
+    """(column_name, failed): per column that changes its type, the values that do not convert."""
+    lost = _lost(df, contract)
+    if not lost:
+        return df.sparkSession.createDataFrame([], "column_name string, failed long")
+    counts = df.agg(*[F.count_if(c).alias(n) for n, c in lost.items()])
+    rows = F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(f"`{n}`").alias("failed")) for n in lost])
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def unconvertible(df: DataFrame, contract: Contract) -> DataFrame:
+    """Rows with a value that does not convert, and the names of those columns."""
+    names = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in _lost(df, contract).items()]))
+    return df.withColumn("failed_columns", names.cast("array<string>")).filter(F.size("failed_columns") > 0)
+
+
+def migrate(df: DataFrame, contract: Contract, mode: str | None = None, failed: str = "refuse") -> DataFrame:
     """``df`` in the shape of ``contract``: columns added as NULL, cast, dropped and reordered.
 
     ``strict`` refuses any difference; ``lenient`` adds nullable columns and refuses the rest;
-    ``auto`` does everything. Casts that fail on a value give NULL, to be caught by the checks.
-    The result is one projection, so it costs one pass when written and nothing until then.
+    ``auto`` does everything. Values that do not convert are counted first, in one pass over the
+    columns that change their type, and refuse the migration, unless ``failed="null"`` accepts them
+    as NULL; ``unconvertible`` returns the rows that hold them.
     """
     mode = mode or contract.evolution.get("migration_strategy", "strict")
     if mode not in ("strict", "lenient", "auto"):
@@ -201,4 +228,8 @@ def migrate(df: DataFrame, contract: Contract, mode: str | None = None) -> DataF
         refused.append(f"unexpected {extra}")
     if refused:
         raise MigrationRefused(f"{mode} migration of {contract.dataset} refused: {', '.join(refused)}")
+    if failed != "null":
+        bad = [f"{r['failed']} values of {r['column_name']}" for r in failed_casts(df, contract).filter("failed > 0").collect()]
+        if bad:
+            raise MigrationRefused(f"{contract.dataset}: {', '.join(bad)} do not convert")
     return df.select(*columns)

@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame
 from lamina.contracts.checks import Outcome, evaluate
 from lamina.contracts.model import Contract, ContractStore
 
-SHOWN_ERRORS = 3
-
 
 class ContractViolation(RuntimeError):
     """Raised when a dataset may not be published."""
@@ -37,11 +35,7 @@ def _contract_result(label: str, df: DataFrame, contract: Contract, options: Map
     outcome = evaluate(df, contract, **options)
     if outcome.passed:
         return GateResult(label, True, f"{len(outcome.rows)} checks passed")
-    errors = outcome.errors
-    text = "; ".join(errors[:SHOWN_ERRORS])
-    if len(errors) > SHOWN_ERRORS:
-        text += f" ... and {len(errors) - SHOWN_ERRORS} more errors"
-    return GateResult(label, False, text)
+    return GateResult(label, False, "; ".join(outcome.errors))
 
 
 def _function_result(name: str, check: Callable, df: DataFrame) -> GateResult:

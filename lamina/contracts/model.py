@@ -105,7 +105,6 @@ class Rule:
     columns: tuple[str, ...] = ()
     run_on: str | None = None
     skip_if: str | None = None
-    sampling_rate: float | None = None
 
     @classmethod
     def from_dict(cls, raw: Mapping[str, Any]) -> "Rule":

@@ -33,7 +33,8 @@ _DECIMAL = re.compile(r"^(?:DECIMAL|NUMERIC)\s*\(\s*(\d+)\s*,\s*(\d+)\s*\)$")
 
 
 def to_spark_type(name: str) -> T.DataType:
-    """Spark type of a contract type; arrays, structs and maps in Spark's own notation."""
+    """Spark type of a contract type; arrays, structs and maps in Spark's own notation. A name that
+    is no type is an error."""
     text = name.strip()
     upper = text.upper()
     decimal = _DECIMAL.match(upper)
@@ -42,7 +43,9 @@ def to_spark_type(name: str) -> T.DataType:
     if "<" in text:
         return T.DataType.fromDDL(text)
     base = upper.split("(")[0].strip()
-    return SPARK_TYPES.get(base, T.StringType())
+    if base not in SPARK_TYPES:
+        raise ValueError(f"{name} is not a contract type")
+    return SPARK_TYPES[base]
 
 
 def to_contract_type(data_type: T.DataType) -> str:
@@ -60,7 +63,7 @@ def to_contract_type(data_type: T.DataType) -> str:
     for name, known in SPARK_TYPES.items():
         if isinstance(data_type, type(known)):
             return name
-    return "VARCHAR"
+    raise ValueError(f"no contract type for {data_type.simpleString()}")
 
 
 def same_type(contract_type: str, actual: T.DataType) -> bool:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import Any
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def present(col: Column) -> Column:
@@ -68,10 +68,8 @@ def or_zero(col: Column, type_name: str) -> Column:
 
 
 def clamp_percent(col: Column) -> Column:
-    """Value forced into 0..100; NULL counts as 0."""
-    value = col.cast("decimal(18,2)")
-    zero, hundred = F.lit(0).cast("decimal(18,2)"), F.lit(100).cast("decimal(18,2)")
-    return F.least(hundred, F.greatest(zero, F.coalesce(value, zero)))
+    """Value forced into 0..100, in its own scale; NULL counts as 0."""
+    return F.least(F.lit(100), F.greatest(F.lit(0), F.coalesce(col, F.lit(0))))
 
 
 def label(test: Column, yes: str, no: str) -> Column:
@@ -109,6 +107,14 @@ def as_of_date(as_of: Any = None) -> Column:
     return F.lit(as_of).cast("date")
 
 
-def money(col: Column) -> Column:
-    """Exact decimal form used before any sum, so that sums do not depend on row order."""
-    return col.cast("decimal(18,2)")
+BINARY_AMOUNT = T.DecimalType(28, 8)  # what floating-point amounts are summed as
+
+
+def money(df: DataFrame, name: str) -> Column:
+    """A column in the exact form used before any sum, so that sums do not depend on row order.
+
+    Decimals keep their own precision and scale and whole numbers stay whole; only floating-point
+    amounts need a decimal type, of eight places.
+    """
+    kind, column = df.schema[name].dataType, F.col(f"`{name}`")
+    return column.cast(BINARY_AMOUNT) if isinstance(kind, (T.DoubleType, T.FloatType)) else column

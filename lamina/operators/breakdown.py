@@ -1,4 +1,4 @@
-"""Per-group breakdown of a total by item, as rows or as JSON text."""
+"""Per-group breakdown of a total by item."""
 
 from __future__ import annotations
 
@@ -7,45 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from lamina.functions.exprs import money
-from lamina.operators.skew import safe_join
-from lamina.session import cut_lineage
 
 
 def item_totals(df: DataFrame, keys: Sequence[str], item: str, value: str) -> DataFrame:
-    """(keys, item, total): the breakdown in long form; NULL items count as ''."""
+    """(keys, item, total): one row per group and item; NULL items count as ''."""
     return (
         df.groupBy(*keys, F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"))
-        .agg(F.sum(money(F.col(value))).alias("total"))
+        .agg(F.sum(money(df, value)).alias("total"))
     )
 
 
-def json_breakdown(
-    df: DataFrame, keys: Sequence[str], item: str, value: str, part_items: int = 10_000
-) -> DataFrame:
-    """One JSON object ``{item: total}`` per group, items in text order.
+def json_breakdown(df: DataFrame, keys: Sequence[str], item: str, value: str) -> DataFrame:
+    """``item_totals`` with each total as a JSON object ``{item: total}``.
 
-    Totals are summed per item first, so a group's text grows with its distinct items, not with
-    its rows. A group with more than ``part_items`` distinct items comes as several rows, told
-    apart by ``part``, whose objects together hold every item exactly once.
+    A group of any size is a set of rows; no text grows with the number of its items.
     """
-    # Written out, because group sizes and the texts are both derived from the totals.
-    totals = cut_lineage(
-        item_totals(df, keys, item, value).withColumn(
-            "__group", F.xxhash64(*[F.col(k) for k in keys])
-        )
-    )
-    large = cut_lineage(
-        totals.groupBy("__group")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > part_items)
-        .select("__group", F.ceil(F.col("n") / part_items).alias("parts"))
-    )
-    parted = safe_join(totals, large, ["__group"]).withColumn(
-        "part",
-        F.pmod(F.xxhash64("item"), F.coalesce(F.col("parts"), F.lit(1))).cast("int"),
-    )
-    entries = F.sort_array(F.collect_list(F.struct("item", "total")))
-    return parted.groupBy(*keys, "part").agg(
-        F.to_json(F.map_from_entries(entries)).alias("breakdown"),
-        F.count(F.lit(1)).alias("items"),
-    )
+    totals = item_totals(df, keys, item, value)
+    return totals.select(*keys, "item", F.to_json(F.create_map("item", "total")).alias("breakdown"))

@@ -281,7 +281,7 @@ def _key_links(
                 near = near.union(distinct.select("v", F.col("v").alias("w")))
             near = near.select(F.col("v").alias(mine), F.col("w").alias(theirs))
             seen = rows.select(F.col(c.column).alias(mine))
-            left = safe_join(left, near, [mine], "inner", sketch_from=seen)
+            left = safe_join(left, near, [mine], "inner", counted_from=seen)
             meet.append(theirs)
         else:
             cell = F.floor(F.col(mine) / F.lit(float(c.limit)))
@@ -342,7 +342,7 @@ def scored_links(df: DataFrame, links: DataFrame, settings: LinkageSettings) ->
 
     # Many links share their smaller id, so both lookups may meet hot keys.
     pairs = safe_join(links, side("l"), ["id_l"], "inner")
-    pairs = safe_join(pairs, side("r"), ["id_r"], "inner", sketch_from=links.select("id_r"))
+    pairs = safe_join(pairs, side("r"), ["id_r"], "inner", counted_from=links.select("id_r"))
     return score(compare(pairs, settings.comparisons), settings)
 
 

@@ -11,7 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lamina.session import cut_lineage
+from lamina.session import cut_lineage, estimated_bytes
+
+CHUNK_BYTES = 32 << 20
 
 _GROUP, _CHUNK, _AT = "__group", "__chunk", "__at"
 
@@ -29,9 +31,12 @@ def ordered_rows(
 
     Rows of a group are ordered by ``order_by``, then ``tie_break``, NULLs last; ``rank`` looks
     at ``order_by`` only. The order must be total for the other columns to be well defined.
-    ``chunks`` is the number of pieces the whole table is cut into, by default the session's
-    ``spark.sql.shuffle.partitions``; one piece should fit a task.
+    ``chunks`` is the number of pieces the whole table is cut into, by default one for each
+    CHUNK_BYTES of its estimated size; one piece should fit a task.
     """
+    if chunks is None:
+        size = estimated_bytes(df)
+        chunks = None if size is None else max(1, -(-size // CHUNK_BYTES))
     direction = F.desc_nulls_last if descending else F.asc_nulls_last
     order = [direction(c) for c in order_by] + [F.asc_nulls_last(c) for c in tie_break]
     group = [F.asc_nulls_last(k) for k in keys]

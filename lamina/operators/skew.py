@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lamina.session import fits_broadcast
 
 ROWS_PER_TASK = 1_000_000  # rows of one key a single task is meant to take
-MAX_HOT_KEYS = 10_000      # bound of the hot-key list, and so of what is broadcast
 NO_KEY_SALTS = 65_536      # rows without a key match nothing, so spreading them costs nothing
 
 _HASH, _SALT, _SALTS = "__key_hash", "__salt", "__salts"
@@ -19,25 +18,15 @@ def _key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
 
 
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    rows_per_task: int = ROWS_PER_TASK,
-    max_hot_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """(key hash, salts) of all keys too large for one task.
 
-    A mergeable frequent-item sketch names every key holding at least ``1 / max_hot_keys`` of the
-    rows, and never more than ``max_hot_keys`` in all; an exact count of just those decides how
-    many tasks each needs. Only key columns are read. The result may be broadcast whatever the
-    size of ``df``, and all salts together are no more than its tasks plus its hot keys.
+    Every key is counted; counts are combined before their shuffle, and only key columns are
+    read. At most one key in ``rows_per_task`` rows can be in the list, so it may be broadcast: a
+    million million rows have at most a million hot keys, of twelve bytes each.
     """
-    hashed = df.select(_key_hash(keys).alias(_HASH))
-    sketch = hashed.stat.freqItems([_HASH], 1.0 / max_hot_keys)
-    candidates = sketch.select(F.explode(f"{_HASH}_freqItems").alias(_HASH)).distinct()
     return (
-        hashed.join(F.broadcast(candidates), _HASH, "left_semi")
-        .groupBy(_HASH)
+        df.groupBy(_key_hash(keys).alias(_HASH))
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > rows_per_task)
         .select(_HASH, F.ceil(F.col("n") / rows_per_task).cast("int").alias(_SALTS))
@@ -50,7 +39,7 @@ def salted_join(
     on: Sequence[str],
     how: str = "left",
     rows_per_task: int = ROWS_PER_TASK,
-    sketch_from: DataFrame | None = None,
+    counted_from: DataFrame | None = None,
 ) -> DataFrame:
     """``left`` joined to ``right`` (left or inner), hot left keys spread over several tasks.
 
@@ -60,13 +49,13 @@ def salted_join(
     row in different partitions still spread.
     Left rows with a NULL key can match nothing and are spread too.
 
-    Hot keys are looked for in ``left``, or in ``sketch_from`` where that has the same keys and
+    Keys are counted in ``left``, or in ``counted_from`` where that has the same keys and
     is cheaper to read, such as the table ``left`` was derived from.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"salted_join supports left and inner, not {how}")
     keys = list(on)
-    source = left if sketch_from is None else sketch_from
+    source = left if counted_from is None else counted_from
     hot = F.broadcast(hot_keys(source, keys, rows_per_task))
 
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns], F.spark_partition_id())
@@ -98,7 +87,7 @@ def safe_join(
     on: Sequence[str],
     how: str = "left",
     limit: int | None = None,
-    sketch_from: DataFrame | None = None,
+    counted_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join with a lookup side of unknown size.
 
@@ -107,4 +96,4 @@ def safe_join(
     """
     if fits_broadcast(right, limit):
         return left.join(right, list(on), how)
-    return salted_join(left, right, on, how, sketch_from=sketch_from)
+    return salted_join(left, right, on, how, counted_from=counted_from)

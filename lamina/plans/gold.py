@@ -39,7 +39,7 @@ def revenue_metrics(
         "DocEntry", F.coalesce("Project", F.lit("")).alias("project_code")
     ).agg(F.count(F.lit(1)).alias("n"))
     dated = invoices.filter(F.col("DocDate").isNotNull()).select(
-        "DocEntry", "DocDate", "CardCode", "SlpCode", money(F.col("DocTotal")).alias("total")
+        "DocEntry", "DocDate", "CardCode", "SlpCode", money(invoices, "DocTotal").alias("total")
     )
     if grain == "invoice":
         dated = dated.distinct()
@@ -48,7 +48,11 @@ def revenue_metrics(
         F.sum("total").alias("total"), F.count("total").alias("n_totals")
     )
     times = F.coalesce("n", F.lit(1)) if grain == "line" else F.lit(1).cast("long")
-    detail = headers.join(per_invoice, "DocEntry", "left").withColumn("times", times)
+    # A header without a key has no lines; such headers stay out of the join, where they would meet.
+    keyed = headers.filter(F.col("DocEntry").isNotNull()).join(per_invoice, "DocEntry", "left")
+    detail = keyed.unionByName(
+        headers.filter(F.col("DocEntry").isNull()), allowMissingColumns=True
+    ).withColumn("times", times)
     groups = (
         detail.groupBy(
             F.col("DocDate").alias("metric_date"),
@@ -70,14 +74,14 @@ def revenue_metrics(
             F.col("CardName_Hash").alias("customer_name_hash"),
         ),
         ["customer_code"],
-        sketch_from=invoices.select(F.col("CardCode").alias("customer_code")),
+        counted_from=invoices.select(F.col("CardCode").alias("customer_code")),
     )
     # No project has an empty code: as NULL these rows need no partner and can be spread.
     named = safe_join(
         named.withColumn("PrjCode", F.when(F.col("project_code") != "", F.col("project_code"))),
         projects.select("PrjCode", F.col("PrjName_Hash").alias("project_name_hash")),
         ["PrjCode"],
-        sketch_from=lines.select(F.col("Project").alias("PrjCode")),
+        counted_from=lines.select(F.col("Project").alias("PrjCode")),
     )
     return named.select(
         "metric_date",
@@ -103,12 +107,12 @@ def customer_analytics(partners: DataFrame, invoices: DataFrame, as_of: Any = No
         invoices.filter(F.col("CardCode").isNotNull())
         .groupBy("CardCode")
         .agg(
-            F.sum(money(F.col("DocTotal"))).alias("revenue"),
+            F.sum(money(invoices, "DocTotal")).alias("revenue"),
             F.max("DocDate").alias("last_invoice_date"),
         )
     )
     customers = partners.filter(F.col("CardType") == "C")
-    revenue = F.coalesce("revenue", F.lit(0).cast("decimal(28,2)"))
+    revenue = F.coalesce("revenue", F.lit(0))
     return (
         customers.join(history, "CardCode", "left")
         .select(
@@ -133,17 +137,15 @@ def project_profitability(
     projects: DataFrame, revenue_lines: DataFrame, cost_lines: DataFrame, as_of: Any = None
 ) -> DataFrame:
     """Revenue, cost and margin per project; both kinds of lines go through one aggregate."""
-    amount, nothing = money(F.col("LineTotal")), F.lit(None).cast("decimal(18,2)")
-    flows = revenue_lines.select("Project", amount.alias("revenue"), nothing.alias("cost")).unionByName(
-        cost_lines.select("Project", nothing.alias("revenue"), amount.alias("cost"))
-    )
+    earned = revenue_lines.select("Project", money(revenue_lines, "LineTotal").alias("revenue"))
+    spent = cost_lines.select("Project", money(cost_lines, "LineTotal").alias("cost"))
+    flows = earned.unionByName(spent, allowMissingColumns=True)
     totals = (
         flows.filter(present(F.col("Project")))
         .groupBy(F.col("Project").alias("PrjCode"))
         .agg(F.sum("revenue").alias("revenue"), F.sum("cost").alias("cost"))
     )
-    zero = F.lit(0).cast("decimal(28,2)")
-    revenue, cost = F.coalesce("revenue", zero), F.coalesce("cost", zero)
+    revenue, cost = F.coalesce("revenue", F.lit(0)), F.coalesce("cost", F.lit(0))
     return (
         projects.join(totals, "PrjCode", "left")
         .select(
@@ -167,7 +169,7 @@ def project_profitability(
 
 def daily_sales(orders: DataFrame, day: str = "order_date", amount: str = "order_total") -> DataFrame:
     return orders.groupBy(F.col(day).alias("order_date")).agg(
-        F.sum(money(F.col(amount))).alias("total_revenue"),
+        F.sum(money(orders, amount)).alias("total_revenue"),
         F.count(F.lit(1)).alias("orders_count"),
     )
 
@@ -184,22 +186,23 @@ def monthly_revenue(
     ``stamped`` adds the time of processing as ``processed_at``.
     """
     recent = invoices.filter(F.col("DocDate") >= F.add_months(as_of_date(as_of), -months)).select(
-        "CardCode", "DocDate", "DocNum", "DocStatus", money(F.col("DocTotal")).alias("total")
+        F.col("CardCode").alias("code"), F.trunc("DocDate", "month").alias("month"), "DocNum", "DocStatus",
+        money(invoices, "DocTotal").alias("total"),
+    )
+    closed = F.when(F.col("DocStatus") == "C", F.col("total")).otherwise(F.lit(0))
+    # One row per customer, month and invoice number: what may share a group after the join.
+    reduced = recent.groupBy("code", "month", "DocNum").agg(
+        F.sum("total").alias("total"), F.count("total").alias("n"), F.sum(closed).alias("closed")
     )
-    known = partners.select("CardCode", F.col("CardName_Hash").alias("customer_hash")).withColumn(
-        "customer_code", F.col("CardCode")
+    known = partners.select(F.col("CardCode").alias("code"), F.col("CardName_Hash").alias("customer_hash")).withColumn(
+        "customer_code", F.col("code")
     )
-    closed = F.when(F.col("DocStatus") == "C", F.col("total")).otherwise(F.lit(0).cast("decimal(18,2)"))
     groups = (
-        safe_join(recent, known, ["CardCode"])
-        .groupBy(
-            F.trunc("DocDate", "month").alias("revenue_month"), "customer_code", "customer_hash"
-        )
+        safe_join(reduced, known, ["code"])
+        .groupBy(F.col("month").alias("revenue_month"), "customer_code", "customer_hash")
         .agg(
-            F.count_distinct("DocNum").alias("invoice_count"),
-            F.sum("total").alias("total_revenue"),
-            F.count("total").alias("n_totals"),
-            F.sum(closed).alias("closed_revenue"),
+            F.count_distinct("DocNum").alias("invoice_count"), F.sum("total").alias("total_revenue"),
+            F.sum("n").alias("n_totals"), F.sum("closed").alias("closed_revenue"),
         )
     )
     out = groups.withColumn(
@@ -217,7 +220,7 @@ def customer_summary(
     """Number, sum, mean, first and last order per customer."""
     grouped = orders.groupBy(F.col(customer).alias("customer_id")).agg(
         F.count(F.lit(1)).alias("total_orders"),
-        F.sum(money(F.col(amount))).alias("total_spent"),
+        F.sum(money(orders, amount)).alias("total_spent"),
         F.count(amount).alias("n_amounts"),
         F.min(day).alias("first_order_date"),
         F.max(day).alias("last_order_date"),

@@ -2,7 +2,8 @@
 
 Silver and gold datasets are written to their own load directory, checked there, and become
 visible by a row in the commit log only when all checks pass. A rejected load stays on disk for
-inspection and is never read.
+inspection and is never read. Where the keys of a dataset are known, reading it gives the newest
+version of each key over all its loads; ``compact`` folds them into one.
 """
 
 from __future__ import annotations
@@ -13,16 +14,17 @@ from dataclasses import dataclass, field
 from threading import Lock
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from lamina.contracts.gate import enforce
 from lamina.contracts.model import ContractStore
 from lamina.operators.linkage import deduplicate
 from lamina.plans import gold, silver
 from lamina.plans.transforms import Function, Input, Transform, run_transform
-from lamina.sources import files
+from lamina.sources import catalogue, files
 from lamina.sources.commitlog import Commit, CommitLog
-from lamina.sources.landing import Source, land_all, read_dataset, read_loads
+from lamina.sources.landing import Source, compact, current_rows, land_all, read_loads
+from lamina.session import drop_steps, step_copies
 from lamina.sources.layout import DERIVED_SOURCE, layer_path, load_path
 
 STAGES = ("bronze", "silver", "gold")
@@ -54,10 +56,34 @@ class Pipeline:
 
     # ------------------------------------------------------------ inputs and outputs
 
+    def _versions(self, stage: str, source: str, name: str) -> tuple[list[str], list[str]]:
+        """Keys of a dataset whose later loads replace rows of earlier ones, and what orders them."""
+        if stage == "bronze":
+            tables = [t for s in self.sources if s.name == source for t in s.tables if t["name"] == name]
+            found = tables[0] if tables else {}
+            column = found.get("incremental_column")
+            return list(found.get("keys", ())), [column] if column else []
+        made = [t for t in (self.silver if stage == "silver" else self.gold) if t.name == name]
+        return (list(made[0].keys), list(made[0].newest_by)) if made else ([], [])
+
+    def _rows(self, stage: str, source: str, name: str, loads: Sequence[Row]) -> DataFrame:
+        keys, newest_by = self._versions(stage, source, name)
+        if keys and len(loads) > 1:
+            return current_rows(self.spark, self.root, loads, keys, newest_by)
+        return read_loads(self.spark, self.root, loads)
+
     def dataset(self, stage: str, name: str, source: str | None = None) -> DataFrame:
-        """Committed rows of a dataset."""
+        """Committed rows of a dataset: of rows with one key the newest, where keys are known."""
+        source = source or DERIVED_SOURCE[stage]
+        return self._rows(stage, source, name, self.log.live(stage, source, name))
+
+    def compact(self, stage: str, name: str, source: str | None = None) -> Commit:
+        """Replace the loads of a dataset with known keys by one load of its current rows."""
         source = source or DERIVED_SOURCE[stage]
-        return read_dataset(self.spark, self.root, self.log, stage, source, name)
+        keys, newest_by = self._versions(stage, source, name)
+        if not keys:
+            raise ValueError(f"{stage}/{source}/{name} has no keys")
+        return compact(self.spark, self.root, self.log, source, name, keys, newest_by, stage)
 
     def _input(self, item: Input, after: int = 0) -> tuple[DataFrame | None, int | None, list[int]]:
         """Rows, row count and loads of an input; only loads behind ``after`` if any are wanted."""
@@ -65,13 +91,11 @@ class Pipeline:
             return files.read_parquet(self.spark, item.path), None, []
         source, name = item.dataset()
         source = source or DERIVED_SOURCE.get(item.stage, "")
-        live = self.log.live(item.stage, source, name)
-        rows = {r["load_id"]: r["rows_out"] or 0 for r in live}
-        loads = [n for n in rows if n > after]
+        loads = [r for r in self.log.live(item.stage, source, name) if r["load_id"] > after]
         if after and not loads:
             return None, 0, []
-        frame = read_loads(self.spark, self.root, item.stage, source, name, loads)
-        return frame, sum(rows[n] for n in loads), loads
+        frame = self._rows(item.stage, source, name, loads)
+        return frame, sum(r["rows_out"] or 0 for r in loads), [r["load_id"] for r in loads]
 
     def publish(
         self,
@@ -97,15 +121,20 @@ class Pipeline:
         written = files.read_parquet(self.spark, path)
         if checks:
             full = mode == "full"
+            # An increment joins what is published, unless its rows replace those of the same keys.
+            before = [] if full else self.log.live(stage, source, name)
+            adds = before and not self._versions(stage, source, name)[0]
             enforce(
                 name, written, checks, store=self.contracts, functions=self.checks, path=path,
                 previous_rows=last["rows_out"] if full and last is not None else None,
-                load_mode="full_load" if full else "incremental", **options,
+                load_mode="full_load" if full else "incremental",
+                published=read_loads(self.spark, self.root, before) if adds else None,
+                published_rows=sum(r["rows_out"] or 0 for r in before), **options,
             )
         commit = Commit(
             stage, source, name, load_id, mode,
             None if consumed is None else "load_id", None if consumed is None else str(consumed),
-            None if consumed is None else "bigint", rows_in, written.count(),
+            None if consumed is None else "bigint", rows_in, written.count(), written.schema.json(),
         )
         self.log.append(commit)
         return commit
@@ -160,7 +189,11 @@ class Pipeline:
             "silver": lambda: self._run("silver", self.silver),
             "gold": lambda: self._run("gold", self.gold),
         }
-        return {stage: steps[stage]() for stage in execution_order(start)}
+        before = step_copies()
+        try:
+            return {stage: steps[stage]() for stage in execution_order(start)}
+        finally:
+            drop_steps(self.spark, before)  # copies made on the way; what is published stays
 
     def metrics(self) -> DataFrame:
         """Rows in and out of every committed load."""
@@ -227,6 +260,7 @@ def delivered_silver(erp: str, crm: str | None = None) -> list[Transform]:
             Transform(
                 f"silver_{table.lower()}", _bronze(erp, table),
                 lambda _, t, a=alias: silver.pass_through(t[a]), incremental=True,
+                keys=catalogue.KEYS[table], newest_by=[catalogue.STRATEGIES[table].delta_column],
             )
         )
     return out

@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from lamina.functions.exprs import mean_of, money, safe_ratio
 from lamina.operators.skew import safe_join
 
-_ZERO = "decimal(28,2)"
-
 
 def side_by_side(*figures: DataFrame) -> DataFrame:
     """Columns of several one-row results in one row (a union and an aggregate, not a cross join)."""
@@ -19,8 +17,8 @@ def side_by_side(*figures: DataFrame) -> DataFrame:
 
 
 def _total(df: DataFrame, amount: str, name: str) -> DataFrame:
-    total = F.coalesce(F.sum(money(F.col(amount))), F.lit(0).cast(_ZERO))
-    return df.agg(total.cast(_ZERO).alias(name))
+    total = F.coalesce(F.sum(money(df, amount)), F.lit(0))
+    return df.agg(total.alias(name))
 
 
 # ---------------------------------------------------------------- revenue
@@ -31,14 +29,14 @@ def total_revenue(invoices: DataFrame) -> DataFrame:
 
 
 def revenue_by_service(lines: DataFrame, items: DataFrame) -> DataFrame:
-    totals = lines.groupBy("ItemCode").agg(F.sum(money(F.col("LineTotal"))).alias("revenue"))
+    totals = lines.groupBy("ItemCode").agg(F.sum(money(lines, "LineTotal")).alias("revenue"))
     return totals.join(items.select("ItemCode", "ItemName"), "ItemCode", "left").select(
         "ItemCode", "ItemName", "revenue"
     )
 
 
 def revenue_by_customer(invoices: DataFrame, partners: DataFrame) -> DataFrame:
-    totals = invoices.groupBy("CardCode").agg(F.sum(money(F.col("DocTotal"))).alias("revenue"))
+    totals = invoices.groupBy("CardCode").agg(F.sum(money(invoices, "DocTotal")).alias("revenue"))
     return totals.join(partners.select("CardCode", "CardName_Hash"), "CardCode", "left").select(
         "CardCode", "CardName_Hash", "revenue"
     )
@@ -46,7 +44,7 @@ def revenue_by_customer(invoices: DataFrame, partners: DataFrame) -> DataFrame:
 
 def revenue_by_project(lines: DataFrame, projects: DataFrame) -> DataFrame:
     totals = lines.groupBy(F.col("Project").alias("PrjCode")).agg(
-        F.sum(money(F.col("LineTotal"))).alias("revenue")
+        F.sum(money(lines, "LineTotal")).alias("revenue")
     )
     return totals.join(projects.select("PrjCode", "PrjName_Hash"), "PrjCode", "left").select(
         F.col("PrjCode").alias("Project"), "PrjName_Hash", "revenue"
@@ -56,7 +54,7 @@ def revenue_by_project(lines: DataFrame, projects: DataFrame) -> DataFrame:
 def deal_size(invoices: DataFrame) -> DataFrame:
     """Mean invoice total."""
     sums = invoices.agg(
-        F.sum(money(F.col("DocTotal"))).alias("total_revenue"), F.count("DocTotal").alias("invoices")
+        F.sum(money(invoices, "DocTotal")).alias("total_revenue"), F.count("DocTotal").alias("invoices")
     )
     return sums.withColumn("avg_deal_size", mean_of(F.col("total_revenue"), F.col("invoices")))
 
@@ -76,11 +74,9 @@ def gross_margin(invoices: DataFrame, purchases: DataFrame) -> DataFrame:
 
 def service_margin(lines: DataFrame, cost_lines: DataFrame, items: DataFrame) -> DataFrame:
     """Revenue, cost and margin per item; both kinds of lines go through one aggregate."""
-    amount, nothing = money(F.col("LineTotal")), F.lit(None).cast("decimal(18,2)")
-    flows = lines.select("ItemCode", amount.alias("revenue"), nothing.alias("cost")).unionByName(
-        cost_lines.select("ItemCode", nothing.alias("revenue"), amount.alias("cost"))
-    )
-    zero = F.lit(0).cast(_ZERO)
+    earned = lines.select("ItemCode", money(lines, "LineTotal").alias("revenue"))
+    spent = cost_lines.select("ItemCode", money(cost_lines, "LineTotal").alias("cost"))
+    flows, zero = earned.unionByName(spent, allowMissingColumns=True), F.lit(0)
     totals = flows.groupBy("ItemCode").agg(
         F.coalesce(F.sum("revenue"), zero).alias("revenue"), F.coalesce(F.sum("cost"), zero).alias("cost")
     )
@@ -97,15 +93,15 @@ def cost_center_pnl(journal: DataFrame, accounts: DataFrame, centers: DataFrame)
     """
     posted = journal.withColumnRenamed("Account", "AcctCode")
     sums = posted.groupBy("OcrCode", "AcctCode").agg(
-        F.sum(money(F.col("Credit"))).alias("credit"), F.sum(money(F.col("Debit"))).alias("debit")
+        F.sum(money(journal, "Credit")).alias("credit"), F.sum(money(journal, "Debit")).alias("debit")
     )
     names = accounts.select("AcctCode", "AcctName")
-    named = safe_join(sums, names, ["AcctCode"], sketch_from=posted.select("AcctCode"))
+    named = safe_join(sums, names, ["AcctCode"], counted_from=posted.select("AcctCode"))
     grouped = named.groupBy("OcrCode", "AcctName").agg(
         F.sum("credit").alias("credit"), F.sum("debit").alias("debit")
     )
     centers = centers.select("OcrCode", "OcrName")
-    return safe_join(grouped, centers, ["OcrCode"], sketch_from=posted.select("OcrCode")).select(
+    return safe_join(grouped, centers, ["OcrCode"], counted_from=posted.select("OcrCode")).select(
         "OcrCode", "OcrName", "AcctName", "credit", "debit",
         (F.col("credit") - F.col("debit")).alias("result"),
     )
@@ -168,13 +164,13 @@ def revenue_per_employee(invoices: DataFrame, employees: DataFrame) -> DataFrame
 
 def top_customers(invoices: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` customers with the highest revenue (ties by code)."""
-    totals = invoices.groupBy("CardCode").agg(F.sum(money(F.col("DocTotal"))).alias("revenue"))
+    totals = invoices.groupBy("CardCode").agg(F.sum(money(invoices, "DocTotal")).alias("revenue"))
     return totals.orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("CardCode")).limit(n)
 
 
 def customer_concentration(invoices: DataFrame, n: int = 10) -> DataFrame:
     """Share of the ``n`` largest customers in revenue."""
-    top = top_customers(invoices, n).agg(F.sum("revenue").cast(_ZERO).alias("top_revenue"))
+    top = top_customers(invoices, n).agg(F.sum("revenue").alias("top_revenue"))
     both = side_by_side(top, _total(invoices, "DocTotal", "revenue"))
     return both.withColumn("concentration", safe_ratio(F.col("top_revenue"), F.col("revenue")))
 
@@ -186,23 +182,23 @@ def new_vs_repeat(invoices: DataFrame) -> DataFrame:
     of a per-customer minimum, which combines before the shuffle, instead of ranking all invoices.
     """
     dated = invoices.filter(F.col("CardCode").isNotNull() & F.col("DocDate").isNotNull())
-    first = F.min(F.struct("DocDate", "DocEntry", money(F.col("DocTotal")).alias("total")))
+    first = F.min(F.struct("DocDate", "DocEntry", money(invoices, "DocTotal").alias("total")))
     per_customer = dated.groupBy("CardCode").agg(
         first.alias("first"),
         F.count(F.lit(1)).alias("n"),
-        F.sum(money(F.col("DocTotal"))).alias("total"),
+        F.sum(money(invoices, "DocTotal")).alias("total"),
     )
-    zero = F.lit(0).cast(_ZERO)
+    zero = F.lit(0)
     sums = per_customer.agg(
         F.count(F.lit(1)).alias("n_new"),
-        F.coalesce(F.sum("first.total"), zero).cast(_ZERO).alias("r_new"),
+        F.coalesce(F.sum("first.total"), zero).alias("r_new"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_all"),
-        F.coalesce(F.sum("total"), zero).cast(_ZERO).alias("r_all"),
+        F.coalesce(F.sum("total"), zero).alias("r_all"),
     )
     kinds = F.array(
         F.struct(F.lit("new").alias("kind"), F.col("n_new").alias("invoices"),
-                 F.col("r_new").cast("decimal(29,2)").alias("revenue")),
+                 F.col("r_new").alias("revenue")),
         F.struct(F.lit("repeat").alias("kind"), (F.col("n_all") - F.col("n_new")).alias("invoices"),
-                 (F.col("r_all") - F.col("r_new")).cast("decimal(29,2)").alias("revenue")),
+                 (F.col("r_all") - F.col("r_new")).alias("revenue")),
     )
     return sums.select(F.explode(kinds).alias("k")).select("k.*")

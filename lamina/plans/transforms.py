@@ -8,7 +8,7 @@ from pathlib import Path
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from lamina.operators.linkage import LinkageSettings
 
@@ -39,7 +39,8 @@ class Transform:
 
     ``parameters`` are bound to ``:name`` markers of the SQL text. ``incremental`` promises that
     the transformation treats each row of its one input by itself: then only loads that came in
-    since the last run are read, and their rows are added to what is there.
+    since the last run are read, and their rows are added to what is there. With ``keys``, a row
+    added later replaces the one of the same key: whoever reads the dataset gets its current rows.
     """
 
     name: str
@@ -51,6 +52,7 @@ class Transform:
     linkage: LinkageSettings | None = None
     newest_by: Sequence[str] = ()
     incremental: bool = False
+    keys: Sequence[str] = ()
 
     def __post_init__(self):
         if self.incremental and (len(self.inputs) != 1 or self.linkage is not None):
@@ -68,6 +70,7 @@ class Transform:
             linkage=LinkageSettings.from_config(config["linkage"]) if config.get("linkage") else None,
             newest_by=config.get("newest_by", ()),
             incremental=config.get("incremental", False),
+            keys=config.get("keys", ()),
         )
         if kind == "python":
             if name not in functions:
@@ -108,27 +111,3 @@ def map_batches(
             yield function(batch)
 
     return df.mapInPandas(each, schema)
-
-
-class GroupTooLarge(ValueError):
-    pass
-
-
-def map_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    function: Callable[[pd.DataFrame], pd.DataFrame],
-    schema: str,
-    max_rows: int = 1_000_000,
-) -> DataFrame:
-    """Pandas logic over whole groups, for groups known to be small.
-
-    A group is handed to one task as one frame, so the largest one is counted first, and data
-    with a larger group is refused rather than cut. Logic that must take any group belongs in
-    aggregates, joins or :func:`lamina.operators.ordered.ordered_rows`.
-    """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest > max_rows:
-        raise GroupTooLarge(f"a group by {list(keys)} has {largest} rows, more than {max_rows}")
-    return df.groupBy(*keys).applyInPandas(function, schema)

@@ -74,6 +74,11 @@ def fresh_dir(spark: SparkSession, prefix: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     """Deletes a folder of the shared storage, whatever file system it is on."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -99,11 +104,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return _written(df)[1]
 
 
-def drop_steps(spark: SparkSession) -> int:
-    """Deletes all copies made by ``cut_lineage`` so far; for the end of a job. Returns their number."""
-    paths, _steps[:] = list(_steps), []
+def step_copies() -> set[str]:
+    """The copies there are now."""
+    return set(_steps)
+
+
+def drop_steps(spark: SparkSession, but: set[str] = frozenset()) -> int:
+    """Deletes copies made by ``cut_lineage``, except ``but``; for the end of a job that made them.
+    Returns their number."""
+    paths = [p for p in _steps if p not in but]
     for path in paths:
         remove_dir(spark, path)
+        _steps.remove(path)
     return len(paths)
 
 

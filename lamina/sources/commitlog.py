@@ -11,15 +11,15 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from lamina.operators.dedup import keep_latest
+from lamina.session import path_exists
 
 SCHEMA = (
     "stage string, source string, dataset string, load_id long, mode string, "
     "watermark_column string, watermark_value string, watermark_type string, "
-    "rows_in long, rows_out long, committed_at timestamp"
+    "rows_in long, rows_out long, schema_json string, committed_at timestamp"
 )
 
 
@@ -35,6 +35,7 @@ class Commit:
     watermark_type: str | None = None
     rows_in: int | None = None
     rows_out: int | None = None
+    schema_json: str | None = None
 
 
 PARTITIONS = ("stage", "source", "dataset")
@@ -47,13 +48,10 @@ class CommitLog:
         self.spark, self.path = spark, path.rstrip("/")
 
     def _read(self, *paths: str) -> DataFrame:
-        reader = self.spark.read.schema(SCHEMA).option("basePath", self.path)
-        try:
-            return reader.parquet(*paths)
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in (missing.getCondition() or ""):
-                raise
+        there = [p for p in paths if path_exists(self.spark, p)]
+        if not there:
             return self.spark.createDataFrame([], SCHEMA)
+        return self.spark.read.schema(SCHEMA).option("basePath", self.path).parquet(*there)
 
     def append(self, commit: Commit) -> None:
         # One row in one file: the file appears under its final name only when it is complete.

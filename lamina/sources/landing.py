@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from lamina.operators.dedup import keep_latest
 from lamina.operators.masking import MaskingRule, apply_masking
@@ -15,12 +17,15 @@ from lamina.sources import catalogue, files, jdbc
 from lamina.sources.commitlog import Commit, CommitLog, decode_watermark, encode_watermark
 from lamina.sources.layout import layer_path, load_path, raw_table_path
 
+LOAD = "__load"  # the load a row came with
+
 
 @dataclass(frozen=True)
 class Source:
     """One configured source. ``tables`` hold ``name`` and, where they apply, ``query``,
-    ``incremental_column``, ``source_file_pattern``, ``split_column``, ``partitions`` and
-    ``inclusive``."""
+    ``incremental_column``, ``source_file_pattern``, ``split_column``, ``partitions``,
+    ``inclusive`` and ``keys``: what tells rows apart, so that of several versions of a row the
+    newest counts."""
 
     name: str
     type: str
@@ -137,7 +142,7 @@ def land_table(
         value, type_name = encode_watermark(newest, rows.schema[column].dataType)
     commit = Commit(
         "bronze", source.name, name, load_id, "incremental" if last else "full",
-        column, value, type_name, found["rows"], found["rows"],
+        column, value, type_name, found["rows"], found["rows"], masked.schema.json(),
     )
     log.append(commit)
     return commit
@@ -153,36 +158,52 @@ def land_all(
         return list(pool.map(lambda pair: land_table(spark, *pair, root, log), wanted))
 
 
-def read_loads(
-    spark: SparkSession, root: str, stage: str, source: str, dataset: str, loads: Sequence[int]
-) -> DataFrame:
-    """Rows of the named loads of a dataset; columns of all of them."""
+def read_loads(spark: SparkSession, root: str, loads: Sequence[Row], numbered: bool = False) -> DataFrame:
+    """Rows of the given loads (rows of the log) of one dataset; columns of all of them.
+
+    Loads are read with the schemas in the log, all loads of one schema together, so no file is
+    opened to find out its columns. ``numbered`` adds the load of each row as ``LOAD``.
+    """
     if not loads:
-        raise FileNotFoundError(f"nothing committed for {stage}/{source}/{dataset}")
-    base = layer_path(root, stage, source, dataset)
-    paths = [load_path(base, n) for n in loads]
-    return files.read_parquet(spark, paths, merge_schema=len(paths) > 1)
+        raise FileNotFoundError("nothing committed")
+    first = loads[0]
+    base = layer_path(root, first["stage"], first["source"], first["dataset"])
+    by_schema: dict[str, list[str]] = {}
+    for row in loads:
+        by_schema.setdefault(row["schema_json"], []).append(load_path(base, row["load_id"]))
+    frames = []
+    for schema, paths in by_schema.items():
+        kind = T.StructType.fromJson(json.loads(schema)) if schema else None
+        frame = files.read_parquet(spark, list(dict.fromkeys(paths)), kind, merge_schema=kind is None)
+        if numbered:
+            place = F.regexp_extract(F.col("_metadata.file_path"), r"/load_id=(\d+)/[^/]*$", 1)
+            frame = frame.select("*", place.cast("long").alias(LOAD))
+        frames.append(frame)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def current_rows(
+    spark: SparkSession, root: str, loads: Sequence[Row], keys: Sequence[str], newest_by: Sequence[str] = ()
+) -> DataFrame:
+    """Newest version of every key over the given loads: by ``newest_by``, then by the later load."""
+    rows = read_loads(spark, root, loads, numbered=True)
+    known = [c for c in newest_by if c in rows.columns]
+    return keep_latest(rows, keys, [*known, LOAD]).drop(LOAD)
 
 
 def read_dataset(
     spark: SparkSession, root: str, log: CommitLog, stage: str, source: str, dataset: str
 ) -> DataFrame:
     """Committed rows of a dataset: its last full load and every increment after it."""
-    return read_loads(spark, root, stage, source, dataset, log.load_ids(stage, source, dataset))
+    return read_loads(spark, root, log.live(stage, source, dataset))
 
 
 def current_view(
-    spark: SparkSession,
-    root: str,
-    log: CommitLog,
-    source: str,
-    table: str,
-    keys: Sequence[str],
-    newest_by: Sequence[str],
+    spark: SparkSession, root: str, log: CommitLog, source: str, table: str, keys: Sequence[str],
+    newest_by: Sequence[str], stage: str = "bronze",
 ) -> DataFrame:
-    """Newest version of every key over all committed loads of a bronze table."""
-    rows = read_dataset(spark, root, log, "bronze", source, table)
-    return keep_latest(rows, keys, newest_by)
+    """Newest version of every key over all committed loads of a dataset."""
+    return current_rows(spark, root, log.live(stage, source, table), keys, newest_by)
 
 
 def compact(
@@ -193,20 +214,21 @@ def compact(
     table: str,
     keys: Sequence[str],
     newest_by: Sequence[str],
+    stage: str = "bronze",
 ) -> Commit:
     """Replace the loads of a table by one full load of its current view; the watermark stays.
 
     Keeps the number of files and of superseded rows in check when increments are frequent.
     """
-    last = log.latest("bronze", source, table)
-    rows = current_view(spark, root, log, source, table, keys, newest_by)
+    last = log.latest(stage, source, table)
+    rows = current_view(spark, root, log, source, table, keys, newest_by, stage)
     load_id = last["load_id"] + 1
-    target = load_path(layer_path(root, "bronze", source, table), load_id)
+    target = load_path(layer_path(root, stage, source, table), load_id)
     files.write_parquet(rows, target)
     n = files.read_parquet(spark, target).count()
     commit = Commit(
-        "bronze", source, table, load_id, "full", last["watermark_column"],
-        last["watermark_value"], last["watermark_type"], n, n,
+        stage, source, table, load_id, "full", last["watermark_column"],
+        last["watermark_value"], last["watermark_type"], n, n, rows.schema.json(),
     )
     log.append(commit)
     return commit

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 DEFAULT_TEMPLATE = "{stage}/{source}/{table}"
 
 #: Source folder of each layer that holds derived datasets (fixed values).
@@ -23,13 +21,6 @@ def load_path(dataset: str, load_id: int) -> str:
     return f"{dataset.rstrip('/')}/load_id={load_id}"
 
 
-def resolve_input(stage: str | None, path: str, stage_roots: Mapping[str, str]) -> str:
-    """Path of an input: below its stage's root where one is known, else as given."""
-    if stage in stage_roots:
-        return f"{stage_roots[stage].rstrip('/')}/{path.lstrip('/')}"
-    return path
-
-
 def raw_table_path(base: str, table: str, pattern: str | None = None) -> str:
     """Path of a raw extract: ``{base}/{table in lower case}/{pattern}``.
 

@@ -9,23 +9,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from lamina.operators.masking import MaskingRule, apply_masking
-from lamina.sources.layout import load_path
+from lamina.sources.commitlog import Commit, CommitLog
+from lamina.sources.layout import layer_path, load_path
 
 
 def land_new_files(
     spark: SparkSession,
     source_dir: str,
     schema: T.StructType,
-    target: str,
+    root: str,
+    source: str,
+    table: str,
     checkpoint: str,
+    log: CommitLog,
     rule: MaskingRule | None = None,
     file_glob: str = "*.parquet",
     files_per_batch: int = 10_000,
 ) -> int:
     """Land all files that appeared since the last call; returns the number of batches run.
 
-    Each micro-batch owns one ``load_id`` directory and replaces it, so a batch that is repeated
-    after a failure does not land its rows twice.
+    Each micro-batch owns one load directory and replaces it, and becomes visible by one row in the
+    commit log. A batch that is repeated after a failure does not land or commit its rows twice.
     """
     stream = (
         spark.readStream.schema(schema)
@@ -33,10 +37,21 @@ def land_new_files(
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(source_dir)
     )
+    target = layer_path(root, "bronze", source, table)
     batches = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        apply_masking(batch, rule).write.mode("overwrite").parquet(load_path(target, batch_id))
+        load_id = batch_id + 1
+        masked = apply_masking(batch, rule)
+        masked.write.mode("overwrite").parquet(load_path(target, load_id))
+        if load_id not in log.load_ids("bronze", source, table):
+            n = spark.read.schema(masked.schema).parquet(load_path(target, load_id)).count()
+            log.append(
+                Commit(
+                    "bronze", source, table, load_id, "incremental", rows_in=n, rows_out=n,
+                    schema_json=masked.schema.json(),
+                )
+            )
         batches.append(batch_id)
 
     query = (

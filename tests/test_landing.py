@@ -31,8 +31,6 @@ def test_paths():
     assert layout.raw_table_path("abfss://raw/sap/", "OCRD") == "abfss://raw/sap/ocrd/OCRD.parquet"
     assert layout.raw_table_path("/b", "OINV", "dt=*/x.parquet") == "/b/oinv/dt=*/x.parquet"
     assert layout.raw_table_path("/b", "OINV", "s3://other/p.parquet") == "s3://other/p.parquet"
-    assert layout.resolve_input("bronze", "crm/c", {"bronze": "/lake/bronze"}) == "/lake/bronze/crm/c"
-    assert layout.resolve_input("silver", "/abs/c", {"bronze": "/lake/bronze"}) == "/abs/c"
 
 
 def test_raw_layouts(spark, folder):
@@ -231,14 +229,20 @@ def test_tables_of_a_source_have_their_own_watermark(spark, folder):
 
 
 def test_stream_lands_each_file_once(spark, folder):
-    source, target, state = f"{folder}/in", f"{folder}/out", f"{folder}/state"
-    schema = spark.range(1).schema
+    source, state = f"{folder}/in", f"{folder}/state"
+    schema, log = spark.range(1).schema, CommitLog(spark, f"{folder}/_commits")
+
+    def land():
+        return land_new_files(spark, source, schema, folder, "app", "t", state, log)
+
     spark.range(5).coalesce(1).write.parquet(source)
-    assert land_new_files(spark, source, schema, target, state) == 1
-    assert land_new_files(spark, source, schema, target, state) == 0
+    assert land() == 1
+    assert land() == 0
     spark.range(5, 8).coalesce(1).write.mode("append").parquet(source)
-    assert land_new_files(spark, source, schema, target, state) == 1
-    assert rows_of(spark.read.parquet(target).select("id")) == [(i,) for i in range(8)]
+    assert land() == 1
+    landed = read_dataset(spark, folder, log, "bronze", "app", "t")
+    assert rows_of(landed.select("id")) == [(i,) for i in range(8)]
+    assert [r["rows_out"] for r in log.commits("bronze", "app", "t")] == [5, 3]
 
 
 def test_timestamps_keep_microseconds(spark, folder):
