@@ -19,6 +19,8 @@ LAST_CHARS = 4   # characters of a shingle's third word
 BANDS, BAND_ROWS = 6, 2  # at similarity 0.8 a pair misses all bands with probability 0.36 ** 6 = 0.002
 BROADCAST_LINES = 4_000_000  # line hashes (8 bytes each) a broadcast may hold; beyond, they are shuffled
 
+BROADCAST_SHINGLES = 1_000_000  # most of the common shingles (16 bytes each) that are broadcast
+
 _DOC, _DROPPED = "__row_hash", "__dropped_lines"
 
 
@@ -98,44 +100,75 @@ def _shingle_sets(lines: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have at least this Jaccard similarity."""
+    """The rows of ``pairs`` whose lines a and b have shingle sets of at least this Jaccard similarity."""
     both = pairs.join(sets.select(F.col("h").alias("a"), F.col("shingles").alias("sa")), "a").join(
         sets.select(F.col("h").alias("b"), F.col("shingles").alias("sb")), "b"
     )
     common = F.size(F.array_intersect("sa", "sb"))
-    return both.filter(common >= similarity * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+    return both.filter(common >= similarity * (F.size("sa") + F.size("sb") - common)).drop("sa", "sb")
+
+
+def _common_shingles(sets: DataFrame) -> DataFrame:
+    """(x, times): shingles that come several times in one sixteenth of the lines, the commonest first."""
+    some = sets.filter(F.pmod(F.xxhash64(F.lit("sample"), "h"), F.lit(16)) == 0)
+    counted = some.select(F.explode("shingles").alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("times"))
+    return cut_lineage(counted.filter("times > 1").orderBy(F.desc("times"), "x").limit(BROADCAST_SHINGLES))
 
 
-def line_links(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b): verified links between hashes of different lines.
+def _rare_shingles(lines: DataFrame, similarity: float) -> DataFrame:
+    """(h, n, component, x): the shingles by which a line can meet a similar one.
 
-    Each member of a bucket is first compared with the bucket's smallest line. Only members that
-    are still in different components then meet each other, so a family of near copies costs one
-    comparison per member, while no pair that banding proposes and that could join two components
-    is left out.
+    Under any common order of shingles, two lines of at least this similarity share one among the
+    first n - ceil(similarity * n) + 1 of each. The order puts rare shingles first, so lines that have
+    a passage in common, but little else, do not meet. Which shingles count as common is found on
+    a sample; that changes how many lines meet, not which similar ones do.
+    """
+    exploded = lines.select("h", "n", "component", F.explode("shingles").alias("x"))
+    ranked = exploded.join(F.broadcast(_common_shingles(lines)), "x", "left")
+    order = Window.partitionBy("h").orderBy(F.coalesce("times", F.lit(0)), "x")
+    last = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9) + 1
+    return ranked.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= last).select(
+        "h", "n", "component", "x"
+    )
+
+
+def line_components(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(h, component) of hashes of different lines that hang together by verified links.
+
+    Each member of a bucket is first compared with the bucket's smallest line only. Where that
+    leaves several components in a bucket, its members meet again, across components, by their
+    rare shingles, which finds every similar pair among them. So neither a family of near copies nor a
+    crowd of lines around one passage is compared pair by pair.
     """
     banded = cut_lineage(_banded(lines))
     sets = cut_lineage(_shingle_sets(lines, banded.select("h").distinct()))
     star = banded.filter("h <> head").select(F.col("head").alias("a"), F.col("h").alias("b")).distinct()
-    first = cut_lineage(_verified(star, sets, similarity))
+    first = cut_lineage(connected_components(_verified(star, sets, similarity), "a", "b"))
+    grouped = first.select(F.col("node").alias("h"), "component")
 
-    grouped = connected_components(first, "a", "b").select(F.col("node").alias("h"), "component")
-    placed = (
-        banded.join(grouped, "h", "left").join(sets.select("h", "n"), "h")
-        .select("key", "h", "n", F.coalesce("component", "h").alias("component"))
-    )
     bucket = Window.partitionBy("key")
-    open_ones = placed.withColumn("low", F.min("component").over(bucket)).withColumn(
-        "high", F.max("component").over(bucket)
-    ).filter("low <> high")
-    left = open_ones.select("key", F.col("h").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    right = open_ones.select("key", F.col("h").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    fits = (F.col("na") >= similarity * F.col("nb")) & (F.col("nb") >= similarity * F.col("na"))
-    rest = (
-        left.join(right, "key").filter((F.col("ca") < F.col("cb")) & fits)
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    open_ones = (
+        banded.join(grouped, "h", "left").select("key", "h", F.coalesce("component", "h").alias("component"))
+        .withColumn("low", F.min("component").over(bucket)).withColumn("high", F.max("component").over(bucket))
+        .filter("low <> high").select("h", "component").distinct()
     )
-    return first.union(_verified(rest, sets, similarity))
+    rare = _rare_shingles(sets.join(open_ones, "h"), similarity)
+    meeting = Window.partitionBy("x")
+    several = rare.withColumn("low", F.min("component").over(meeting)).withColumn(
+        "high", F.max("component").over(meeting)
+    ).filter("low <> high").drop("low", "high")
+    several = cut_lineage(several)
+    left = several.select("x", F.col("h").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    right = several.select("x", F.col("h").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+    fits = (F.col("na") >= similarity * F.col("nb")) & (F.col("nb") >= similarity * F.col("na"))
+    pairs = left.join(right, "x").filter((F.col("ca") < F.col("cb")) & fits).select("a", "b", "ca", "cb").distinct()
+    joins = _verified(pairs, sets, similarity).select("ca", "cb").distinct()
+    merged = connected_components(joins, "ca", "cb").withColumnRenamed("component", "whole")
+    # A line that was alone, but joins a component now, is a component of itself so far.
+    known = grouped.union(merged.select("node", "node")).distinct()
+    return known.join(merged, F.col("component") == F.col("node"), "left").select(
+        "h", F.coalesce("whole", "component").alias("component")
+    ).groupBy("h").agg(F.min("component").alias("component"))
 
 
 def dedup_lines(
@@ -153,8 +186,7 @@ def dedup_lines(
     """
     lines = _lines(docs, id_col, text_col, min_chars)
     places = cut_lineage(lines.select("doc", "id", "line_no", F.xxhash64("line").alias("h")))
-    links = cut_lineage(line_links(lines, similarity))
-    grouped = connected_components(links, "a", "b").select(F.col("node").alias("h"), "component")
+    grouped = cut_lineage(line_components(lines, similarity))
     classed = places.join(grouped, "h", "left").select(
         "doc", F.struct("id", "doc", "line_no").alias("place"), F.coalesce("component", "h").alias("class")
     )
