@@ -27,7 +27,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lamina.operators.components import connected_components
 from lamina.operators.dedup import keep_latest
@@ -251,6 +251,72 @@ def _near_chain_links(
     return inner.unionByName(crossing)
 
 
+def _near_grid_links(rows: DataFrame, same: list[str], x: Comparison, y: Comparison, id_col: str) -> DataFrame:
+    """Links for two ``near`` columns, by a grid of cells as wide and high as the limits.
+
+    Records of one cell are all close: one link each. Cells side by side share a row or column of
+    the grid, so they touch exactly when their edges along the other column are close. Cells that
+    touch at a corner do so if some record of one has a record of the other within both limits: a
+    sweep along x with the running extreme of y finds one without pairing any.
+    """
+    a, b = F.col(x.column), F.col(y.column)
+    grid = rows.select(
+        *same, a.alias("x"), b.alias("y"), F.col(id_col).alias("id"),
+        F.floor(a / F.lit(float(x.limit))).alias("cx"), F.floor(b / F.lit(float(y.limit))).alias("cy"),
+    )
+    found = [_star_links(grid, [*same, "cx", "cy"], "id")]
+    for along, cell, c in (("x", "cx", x), ("y", "cy", y)):
+        edge = F.struct(F.col(along).alias("v"), "id")
+        cells = grid.groupBy(*same, "cx", "cy").agg(F.min(edge).alias("lo"), F.max(edge).alias("hi"))
+        below = cells.withColumn(cell, F.col(cell) + 1).drop("lo")
+        touching = cells.drop("hi").join(below, [*same, "cx", "cy"]).filter(c.close(F.col("lo.v"), F.col("hi.v")))
+        found.append(_link(touching, "lo.id", "hi.id"))
+    for sign in (1, -1):  # the corner above to the right, then below to the right
+        turned = grid.withColumn("y", F.col("y") * sign).withColumn("cy", F.col("cy") * sign)
+        # Per value of x only the record nearest to the corner counts.
+        point = F.struct("y", "id")
+        lower = turned.groupBy(*same, "cx", "cy", "x").agg(F.max(point).alias("p")).withColumn("upper", F.lit(False))
+        upper = turned.groupBy(*same, "cx", "cy", "x").agg(F.min(point).alias("p")).withColumn("upper", F.lit(True))
+        upper = upper.withColumn("cx", F.col("cx") - 1).withColumn("cy", F.col("cy") - 1)
+        reach = F.when(F.col("upper"), F.col("x")).otherwise(F.col("x") + F.lit(x.limit))
+        sweep = Window.partitionBy(*same, "cx", "cy").orderBy(F.desc("reach"), "upper")
+        best = F.max(F.when(~F.col("upper"), F.struct("p.y", "p.id", "x"))).over(sweep)
+        met = (
+            lower.unionByName(upper).withColumn("reach", reach).withColumn("best", best)
+            .filter(F.col("upper") & F.col("best").isNotNull())
+            .filter(x.close(F.col("x"), F.col("best.x")) & y.close(F.col("p.y"), F.col("best.y")))
+        )
+        found.append(_link(met, "p.id", "best.id"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _link(df: DataFrame, one: str, other: str) -> DataFrame:
+    linked = df.select(F.least(one, other).alias("id_l"), F.greatest(one, other).alias("id_r"))
+    return linked.filter("id_l <> id_r")
+
+
+def _edit_near_links(rows: DataFrame, same: list[str], text: Comparison, number: Comparison, id_col: str) -> DataFrame:
+    """Links for an ``edit`` and a ``near`` column: per pair of close texts, one link for each pair of
+    touching cells of the numbers."""
+    chained = _near_chain_links(rows, [*same, text.column], number, id_col)
+    celled = rows.withColumn("__cell", F.floor(F.col(number.column) / F.lit(float(number.limit))))
+    edge = F.struct(F.col(number.column).alias("v"), F.col(id_col).alias("id"))
+    cells = celled.groupBy(*same, F.col(text.column).alias("v"), "__cell").agg(
+        F.min(edge).alias("lo"), F.max(edge).alias("hi")
+    )
+    near = cut_lineage(_close_values(rows.select(F.col(text.column).alias("v")).distinct(), text))
+    seen = rows.select(F.col(text.column).alias("v"))
+    mine = safe_join(cells, near, ["v"], "inner", counted_from=seen).drop("v").withColumnRenamed("w", "v")
+    mine = mine.withColumnsRenamed({"lo": "lo_l", "hi": "hi_l", "__cell": "__mine"}).withColumn(
+        "__cell", F.explode(F.array(F.col("__mine"), F.col("__mine") + 1))
+    )
+    met = mine.join(cells, [*same, "v", "__cell"]).filter(
+        (F.col("__cell") == F.col("__mine")) | number.close(F.col("hi_l.v"), F.col("lo.v"))
+    )
+    # Both orders of a pair of texts are there, so the cell below is met from the other side.
+    return chained.unionByName(_link(met, "hi_l.id", "lo.id"))
+
+
 def _close_values(values: DataFrame, c: Comparison) -> DataFrame:
     """(v, w): pairs of distinct values of an ``edit`` column that are close, in both orders."""
     keyed = values.withColumn("k", F.explode(_share_keys(c, F.col("v"))))
@@ -302,7 +368,9 @@ def _key_links(
 def candidate_links(df: DataFrame, settings: LinkageSettings) -> DataFrame:
     """(id_l, id_r) with id_l < id_r: matching pairs that connect all matching records.
 
-    The number of links grows with the records, not with the square of a block.
+    With up to two close columns that are numbers, or a text and a number, the links grow with
+    the records and the pairs of close distinct texts. Two close texts, or three close columns,
+    meet group by group: there the links grow with the pairs of different records that are close.
     """
     records = df.select(*settings.columns())
     found: list[DataFrame] = []
@@ -319,8 +387,15 @@ def candidate_links(df: DataFrame, settings: LinkageSettings) -> DataFrame:
             if len(close) == 1 and close[0].kind == "near":
                 found.append(_near_chain_links(rows, same, close[0], settings.id))
                 continue
+            kinds = sorted(c.kind for c in close)
+            if kinds == ["near", "near"]:
+                found.append(_near_grid_links(rows, same, *close, settings.id))
+                continue
             found.append(_star_links(rows, needed, settings.id))
-            if close:
+            if kinds == ["edit", "near"]:
+                text, number = sorted(close, key=lambda c: c.kind)
+                found.append(_edit_near_links(rows, same, text, number, settings.id))
+            elif close:
                 found.append(_key_links(rows, same, close, settings.id))
     if not found:  # not even full agreement reaches the threshold
         nobody = records.select(F.col(settings.id).alias("id_l"), F.col(settings.id).alias("id_r"))
@@ -437,13 +512,15 @@ def estimate_em(
     m: float = 0.9,
     u: float = 0.1,
     tolerance: float = 1e-9,
-    max_rounds: int = 500,
 ) -> Estimate:
-    """Agreement probabilities and prior from pattern counts; unknown levels carry no evidence."""
+    """Agreement probabilities and prior from pattern counts; unknown levels carry no evidence.
+
+    Rounds go on until no value moves by ``tolerance`` or more.
+    """
     width = len(next(iter(counts)))
     ms, us, lam, floor = [m] * width, [u] * width, prior, 1e-12
     rounds = 0
-    for rounds in range(1, max_rounds + 1):
+    for rounds in itertools.count(1):
         in_match = in_rest = 0.0
         agree_m, agree_u, known_m, known_u = ([0.0] * width for _ in range(4))
         for pattern, n in counts.items():

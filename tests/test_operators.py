@@ -249,7 +249,8 @@ def people(n=220, seed=5):
         block = "big" if rnd.random() < 0.7 else rnd.choice(["s1", "s2", None])
         rows.append(
             (i, block, None if rnd.random() < 0.1 else name, rnd.choice(["p", "q", None]),
-             None if rnd.random() < 0.1 else round(rnd.uniform(0, 40) * 2) / 2)
+             None if rnd.random() < 0.1 else round(rnd.uniform(0, 40) * 2) / 2,
+             None if rnd.random() < 0.1 else round(rnd.uniform(-6, 6) * 4) / 4)
         )
     return rows
 
@@ -262,6 +263,8 @@ SETTINGS = {
     "near only": [linkage.Comparison("age", "near", 1.5), linkage.Comparison("city")],
     "two close": [linkage.Comparison("name", "edit", 1, {2: 0.5, 1: 0.48, 0: 0.02}, {2: 0.02, 1: 0.03, 0: 0.95}),
                   linkage.Comparison("age", "near", 1.0, {2: 0.5, 1: 0.48, 0: 0.02}, {2: 0.02, 1: 0.05, 0: 0.93})],
+    "two near": [linkage.Comparison("age", "near", 2.0, {2: 0.5, 1: 0.48, 0: 0.02}, {2: 0.02, 1: 0.05, 0: 0.93}),
+                 linkage.Comparison("height", "near", 1.5, {2: 0.5, 1: 0.48, 0: 0.02}, {2: 0.02, 1: 0.05, 0: 0.93})],
 }
 
 
@@ -295,7 +298,7 @@ def pair_weight(settings, columns, a, b):
 @pytest.mark.parametrize("kind", sorted(SETTINGS))
 @pytest.mark.parametrize("low", [0.05, 0.5, 0.95])
 def test_links_connect_what_all_pairs_would(spark, kind, low):
-    columns = ["id", "block", "name", "city", "age"]
+    columns = ["id", "block", "name", "city", "age", "height"]
     rows = people()
     try:
         settings = linkage.LinkageSettings("id", [["block"]], SETTINGS[kind], 0.02, low)
@@ -306,7 +309,7 @@ def test_links_connect_what_all_pairs_would(spark, kind, low):
         (a[0], b[0]) for a, b in itertools.combinations(rows, 2)
         if a[1] is not None and a[1] == b[1] and pair_weight(settings, columns, a, b) >= settings.min_weight
     ]
-    df = spark.createDataFrame(rows, "id long, block string, name string, city string, age double")
+    df = spark.createDataFrame(rows, "id long, block string, name string, city string, age double, height double")
     links = linkage.candidate_links(df, settings).collect()
     pairs = [tuple(r) for r in links]
     assert len(pairs) == len(set(pairs)) and all(a < b for a, b in pairs)
@@ -325,6 +328,17 @@ def test_links_stay_linear_in_a_hot_group(spark):
     assert linkage.candidate_links(df, settings).count() == 499
 
 
+@pytest.mark.parametrize("kind", ["two near", "two close"])
+def test_links_stay_linear_with_two_close_columns(spark, kind):
+    settings = linkage.LinkageSettings("id", [["block"]], SETTINGS[kind], 0.02, 0.5)
+    n = 600
+    rows = [(i, "b", "same", "p", (i % 40) / 40, (i % 31) / 31) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, block string, name string, city string, age double, height double")
+    links = [tuple(r) for r in linkage.candidate_links(df, settings).collect()]
+    assert len(links) < 8 * n
+    assert set(components_by_hand(range(n), links).values()) == {0}
+
+
 def test_several_rules_and_survivors(spark):
     settings = linkage.LinkageSettings(
         "id", [["block"], ["city"]], [linkage.Comparison("name")], 0.2, 0.9
@@ -350,7 +364,7 @@ def test_settings_are_checked():
 
 
 def test_pattern_counts_with_unknown_values(spark):
-    rows = people(150, 9)
+    rows = [r[:5] for r in people(150, 9)]
     df = spark.createDataFrame(rows, "id long, block string, name string, city string, age double")
     want = Counter()
     for a, b in itertools.combinations(rows, 2):
