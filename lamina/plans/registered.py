@@ -683,6 +683,32 @@ def medallion_metrics(spark, sf):
     return _pipeline(spark, sf).metrics().select("stage", "dataset", "rows_out")
 
 
+@query("medallion_full", f"""WITH {shape_sql("ocrd", "oslp", "oprj", "inv1", "pch1", "oinv")},
+{_partner_sql("ocrd")}, {_PROJECT_SQL}, {_EMPLOYEE_SQL}
+SELECT 'silver' AS stage, 'sap_ocrd_silver' AS dataset, count(*) AS rows_out FROM silver_ocrd
+UNION ALL SELECT 'silver', 'sap_oprj_silver', count(*) FROM silver_oprj
+UNION ALL SELECT 'silver', 'sap_oslp_silver', count(*) FROM silver_oslp
+UNION ALL SELECT 'silver', 'silver_inv1', count(*) FROM inv1
+UNION ALL SELECT 'silver', 'silver_pch1', count(*) FROM pch1
+UNION ALL SELECT 'silver', 'silver_oinv', count(*) FROM oinv
+UNION ALL SELECT 'gold', 'sap_customer_analytics_gold', count(*) FROM silver_ocrd WHERE CardType = 'C'
+UNION ALL SELECT 'gold', 'sap_project_profitability_gold', count(*) FROM silver_oprj
+UNION ALL SELECT 'gold', 'sap_revenue_metrics_gold', count(*) FROM ({_revenue_sql("coalesce(n, 1)")}) r""")
+def medallion_full(spark, sf):
+    """All ERP datasets of the silver and gold layers, each behind its contract."""
+    root = fresh_dir(spark, "full")
+    names = ("OCRD", "OSLP", "OPRJ", "INV1", "PCH1", "OINV")
+    for name in names:
+        files.write_parquet(shaped(spark, sf, name.lower()), f"{root}/raw/{name.lower()}/{name}.parquet")
+    tables = [catalogue.table_config(name) for name in names]
+    pipeline = jobs.Pipeline(
+        spark, f"{root}/lake", [landing.Source("erp", "sap_b1", {"source_storage_path": f"{root}/raw"}, tables)],
+        jobs.delivered_silver("erp"), jobs.delivered_gold(AS_OF), store(),
+    )
+    pipeline.run()
+    return pipeline.metrics().filter("stage <> 'bronze'").select("stage", "dataset", "rows_out")
+
+
 _CHANGED = """SELECT * REPLACE (
   CASE WHEN DocEntry % 5 = 0 AND UpdateDate < DATE '1998-06-30' THEN DocTotal + 100 ELSE DocTotal END AS DocTotal,
   CASE WHEN DocEntry % 5 = 0 AND UpdateDate < DATE '1998-06-30' THEN DATE '2002-01-01' ELSE UpdateDate END
