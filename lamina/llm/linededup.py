@@ -69,7 +69,8 @@ def _exploded(lines: DataFrame) -> DataFrame:
 
 
 def _banded(lines: DataFrame) -> DataFrame:
-    """(key, h, head): lines that share a band with another, with the bucket's smallest line."""
+    """(key, h, head): lines that share a band with another, with the most central line of the bucket,
+    the one whose buckets hold most lines in all."""
     points = [(k << 28) - ((1 << 32) if k >= 8 else 0) for k in range(BANDS * BAND_ROWS)]
     signed = _exploded(lines).groupBy("h").agg(
         *[F.min(F.col("x").bitwiseXOR(F.lit(p))).alias(f"m{k}") for k, p in enumerate(points)]
@@ -78,14 +79,17 @@ def _banded(lines: DataFrame) -> DataFrame:
         F.xxhash64(F.lit(b), *[F.col(f"m{b * BAND_ROWS + r}") for r in range(BAND_ROWS)]) for b in range(BANDS)
     ]
     bucket = Window.partitionBy("key").orderBy("h")
-    return (
+    shared = (
         signed.select("h", F.explode(F.array(*keys)).alias("key"))
         .withColumn("before", F.lag("h").over(bucket))
         .withColumn("after", F.lead("h").over(bucket))
-        .withColumn("head", F.first("h").over(bucket))
-        .filter("before is not null or after is not null")
-        .select("key", "h", "head")
+        .filter("before is not null or after is not null").select("key", "h")
     )
+    # Most of a family's lines share their minima with the line they all come from.
+    sized = shared.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    weighed = sized.withColumn("weight", F.sum("size").over(Window.partitionBy("h")))
+    central = Window.partitionBy("key").orderBy(F.desc("weight"), "h")
+    return weighed.withColumn("head", F.first("h").over(central)).select("key", "h", "head")
 
 
 def _shingle_sets(lines: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -135,14 +139,14 @@ def _rare_shingles(lines: DataFrame, similarity: float) -> DataFrame:
 def line_components(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(h, component) of hashes of different lines that hang together by verified links.
 
-    Each member of a bucket is first compared with the bucket's smallest line only. Where that
+    Each member of a bucket is first compared with the bucket's most central line only. Where that
     leaves several components in a bucket, its members meet again, across components, by their
     rare shingles, which finds every similar pair among them. So neither a family of near copies nor a
     crowd of lines around one passage is compared pair by pair.
     """
     banded = cut_lineage(_banded(lines))
     sets = cut_lineage(_shingle_sets(lines, banded.select("h").distinct()))
-    star = banded.filter("h <> head").select(F.col("head").alias("a"), F.col("h").alias("b")).distinct()
+    star = banded.filter("h <> head").select(F.least("h", "head").alias("a"), F.greatest("h", "head").alias("b")).distinct()
     first = cut_lineage(connected_components(_verified(star, sets, similarity), "a", "b"))
     grouped = first.select(F.col("node").alias("h"), "component")
 
