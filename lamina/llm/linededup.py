@@ -120,19 +120,29 @@ def _common_shingles(sets: DataFrame) -> DataFrame:
 
 
 def _rare_shingles(lines: DataFrame, similarity: float) -> DataFrame:
-    """(h, n, component, x): the shingles by which a line can meet a similar one.
+    """(h, n, component, x, bits): the shingles by which a line can meet a similar one, with its parity bitmap.
 
     Under any common order of shingles, two lines of at least this similarity share one among the
     first n - ceil(similarity * n) + 1 of each. The order puts rare shingles first, so lines that have
     a passage in common, but little else, do not meet. Which shingles count as common is found on
     a sample; that changes how many lines meet, not which similar ones do.
+
+    Each shingle flips one of 256 bits of its line's bitmap. Two bitmaps differ in at most as many
+    bits as the sets differ in shingles, so most dissimilar pairs are told by their bitmaps alone.
     """
     exploded = lines.select("h", "n", "component", F.explode("shingles").alias("x"))
+    place = F.expr("xxhash64('bit', x) & 255")
+    flipped = [
+        F.bit_xor(F.when(F.shiftright(place, 6) == k, F.expr("shiftleft(1L, cast(xxhash64('bit', x) & 63 as int))")).otherwise(F.lit(0).cast("long")))
+        .over(Window.partitionBy("h"))
+        for k in range(4)
+    ]
+    exploded = exploded.withColumn("bits", F.array(*flipped))
     ranked = exploded.join(F.broadcast(_common_shingles(lines)), "x", "left")
     order = Window.partitionBy("h").orderBy(F.coalesce("times", F.lit(0)), "x")
     last = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9) + 1
     return ranked.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= last).select(
-        "h", "n", "component", "x"
+        "h", "n", "component", "x", "bits"
     )
 
 
@@ -162,9 +172,15 @@ def line_components(lines: DataFrame, similarity: float = SIMILARITY) -> DataFra
         "high", F.max("component").over(meeting)
     ).filter("low <> high").drop("low", "high")
     several = cut_lineage(several)
-    left = several.select("x", F.col("h").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    right = several.select("x", F.col("h").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    fits = (F.col("na") >= similarity * F.col("nb")) & (F.col("nb") >= similarity * F.col("na"))
+    left, right = (
+        several.select("x", F.col("h").alias(h), F.col("n").alias(f"n{h}"), F.col("component").alias(f"c{h}"), F.col("bits").alias(f"bits{h}"))
+        for h in ("a", "b")
+    )
+    differ = sum(F.bit_count(F.get("bitsa", F.lit(k)).bitwiseXOR(F.get("bitsb", F.lit(k)))) for k in range(4))
+    fits = (
+        (F.col("na") >= similarity * F.col("nb")) & (F.col("nb") >= similarity * F.col("na"))
+        & (differ <= (F.col("na") + F.col("nb")) * ((1 - similarity) / (1 + similarity)) + 1e-9)
+    )
     pairs = left.join(right, "x").filter((F.col("ca") < F.col("cb")) & fits).select("a", "b", "ca", "cb").distinct()
     joins = _verified(pairs, sets, similarity).select("ca", "cb").distinct()
     merged = connected_components(joins, "ca", "cb").withColumnRenamed("component", "whole")
