@@ -1,9 +1,9 @@
 """Near-duplicate lines: MinHash over character shingles, banding, exact Jaccard, components.
 
-Only DataFrame functions. A line's shingles are runs of characters aligned to words: from the
-start of each word to the fourth character of the second next (every ideograph counts as a word). One
-pass hashes each shingle once; the k-th signature value is the shingle nearest to the k-th of
-twelve evenly spread points (smallest exclusive-or), so all values come from one hash.
+Only DataFrame functions. A line's shingles are its runs of CHARS characters at every position. Each
+distinct line is hashed once, each shingle once, to 64 bits. A signature value is the shingle nearest
+to one of twelve evenly spread points (smallest exclusive-or) after the hash was turned by 0, 16, 32
+or 48 bits, so all values come from one hash.
 """
 
 from __future__ import annotations
@@ -15,10 +15,13 @@ from lamina.session import cut_lineage
 
 SIMILARITY = 0.8
 MIN_CHARS = 20   # shorter lines are never taken for duplicates
-LAST_CHARS = 4   # characters of a shingle's third word
-BANDS, BAND_ROWS = 6, 2  # at similarity 0.8 a pair misses all bands with probability 0.36 ** 6 = 0.002
+CHARS = 5        # characters of a shingle; a shorter line is one shingle
+BANDS, BAND_ROWS = 12, 4  # at similarity 0.8 a pair misses all bands with probability 0.59 ** 12 = 0.002
 BROADCAST_LINES = 4_000_000  # line hashes (8 bytes each) a broadcast may hold; beyond, they are shuffled
 
+PAIRED = 256  # members up to which a bucket's lines meet in pairs; those of larger ones meet by rare shingles
+MARK_LONGS = 8  # a line's bitmap has 64 times as many bits
+
 BROADCAST_SHINGLES = 1_000_000  # most of the common shingles (16 bytes each) that are broadcast
 
 _DOC, _DROPPED = "__row_hash", "__dropped_lines"
@@ -44,43 +47,61 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataF
     )
 
 
-def _words(line: Column) -> Column:
-    """A line's words; ideographs stand alone."""
-    spaced = F.regexp_replace(line, "([⺀-￿])", "$1 ")
-    wide = F.octet_length(line) > 2 * F.char_length(line)
-    return F.split(F.when(wide, spaced).otherwise(line), " ")
+def _distinct(hashed: DataFrame) -> DataFrame:
+    """(h, wide): every line once, at four bytes a character, so that a position is found at once."""
+    return hashed.groupBy("h").agg(F.first("line").alias("line")).select("h", F.encode("line", "UTF-32").alias("wide"))
+
 
+def _shingles(wide: DataFrame) -> DataFrame:
+    """(h, x): line hash and a 64-bit hash of the shingle at each position."""
+    last = F.greatest(F.length("wide") / 4 - CHARS, F.lit(0)).cast("int")
+    placed = wide.select("h", "wide", F.explode(F.sequence(F.lit(0), last)).alias("at"))
+    return placed.select("h", F.xxhash64(F.substring("wide", F.col("at") * 4 + 1, F.lit(4 * CHARS))).alias("x"))
 
-def _triples(words: Column, count: Column) -> Column:
-    shifted = [F.slice(words, F.lit(i), count).alias(name) for i, name in ((2, "second"), (3, "third"))]
-    return F.arrays_zip(words.alias("first"), *shifted)
 
+def _turned(x: Column, bits: int) -> Column:
+    return F.shiftleft(x, bits).bitwiseOR(F.shiftrightunsigned(x, 64 - bits)) if bits else x
 
-def _shingle(triple: Column) -> Column:
-    """A 32-bit hash of one shingle."""
-    return F.hash(triple["first"], triple["second"], F.substring(triple["third"], 1, LAST_CHARS))
+
+def _signed(lines: DataFrame) -> DataFrame:
+    """(h, keys, size, marks): of every distinct line the band keys, the number of its shingles with
+    repetitions, and a bitmap in which each shingle sets a bit."""
+    wide = _distinct(lines.select(F.xxhash64("line").alias("h"), "line"))
+    shingles = _shingles(wide)
+    bit = F.expr("shiftleft(1L, cast(x & 63 as int))")
+    place = F.expr(f"shiftrightunsigned(x, 6) & {MARK_LONGS - 1}")
+    turned = shingles.select("h", bit.alias("bit"), place.alias("place"), *[_turned(F.col("x"), 16 * r).alias(f"x{r}") for r in range(BAND_ROWS)])
+    points = [(b << 64) // BANDS - ((1 << 64) if 2 * b >= BANDS else 0) for b in range(BANDS)]
+    signed = turned.groupBy("h").agg(
+        *[F.min(F.col(f"x{r}").bitwiseXOR(F.lit(p).cast("long"))).alias(f"m{b}_{r}") for b, p in enumerate(points) for r in range(BAND_ROWS)],
+        *[F.bit_or(F.when(F.col("place") == k, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(f"k{k}") for k in range(MARK_LONGS)],
+        F.count(F.lit(1)).alias("size"),
+    )
+    keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b}_{r}") for r in range(BAND_ROWS)]) for b in range(BANDS)]
+    return signed.select("h", F.array(*keys).alias("keys"), "size", F.array(*[f"k{k}" for k in range(MARK_LONGS)]).alias("marks"))
 
 
-def _exploded(lines: DataFrame) -> DataFrame:
-    """(h, x): line hash and the hash of each of its shingles."""
-    split = lines.select(F.xxhash64("line").alias("h"), _words(F.col("line")).alias("words"))
-    triples = split.select("h", F.explode(_triples(F.col("words"), F.size("words"))).alias("t"))
-    return triples.select("h", _shingle(F.col("t")).alias("x"))
+def _marked(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """``pairs`` with the sizes and bitmaps of the lines a and b."""
+    for h in ("a", "b"):
+        own = signed.select(F.col("h").alias(h), F.col("size").alias(f"size{h}"), F.col("marks").alias(f"marks{h}"))
+        pairs = pairs.join(own, h)
+    return pairs
 
 
-def _banded(lines: DataFrame) -> DataFrame:
-    """(key, h, head): lines that share a band with another, with the most central line of the bucket,
+def _may_fit(similarity: float) -> Column:
+    """False for pairs that cannot be similar: bitmaps differ in at most as many bits as the sets differ
+    in shingles, and similar sets in at most a share of both sizes."""
+    differ = sum(F.bit_count(F.get("marksa", F.lit(k)).bitwiseXOR(F.get("marksb", F.lit(k)))) for k in range(MARK_LONGS))
+    return differ <= (F.col("sizea") + F.col("sizeb")) * ((1 - similarity) / (1 + similarity)) + 1e-9
+
+
+def _banded(signed: DataFrame) -> DataFrame:
+    """(key, h, size, head): lines that share a band with another, with the most central line of the bucket,
     the one whose buckets hold most lines in all."""
-    points = [(k << 28) - ((1 << 32) if k >= 8 else 0) for k in range(BANDS * BAND_ROWS)]
-    signed = _exploded(lines).groupBy("h").agg(
-        *[F.min(F.col("x").bitwiseXOR(F.lit(p))).alias(f"m{k}") for k, p in enumerate(points)]
-    )
-    keys = [
-        F.xxhash64(F.lit(b), *[F.col(f"m{b * BAND_ROWS + r}") for r in range(BAND_ROWS)]) for b in range(BANDS)
-    ]
     bucket = Window.partitionBy("key").orderBy("h")
     shared = (
-        signed.select("h", F.explode(F.array(*keys)).alias("key"))
+        signed.select("h", F.explode("keys").alias("key"))
         .withColumn("before", F.lag("h").over(bucket))
         .withColumn("after", F.lead("h").over(bucket))
         .filter("before is not null or after is not null").select("key", "h")
@@ -89,18 +110,19 @@ def _banded(lines: DataFrame) -> DataFrame:
     sized = shared.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key")))
     weighed = sized.withColumn("weight", F.sum("size").over(Window.partitionBy("h")))
     central = Window.partitionBy("key").orderBy(F.desc("weight"), "h")
-    return weighed.withColumn("head", F.first("h").over(central)).select("key", "h", "head")
+    return weighed.withColumn("head", F.first("h").over(central)).select("key", "h", "size", "head")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "h")
 
 
 def _shingle_sets(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     """(h, shingles, n): distinct shingle hashes of the wanted lines."""
     few = wanted.count() <= BROADCAST_LINES
     hashed = lines.select(F.xxhash64("line").alias("h"), "line")
-    chosen = hashed.join(F.broadcast(wanted) if few else wanted, "h", "left_semi")
-    words = chosen.groupBy("h").agg(F.first("line").alias("line")).select("h", _words(F.col("line")).alias("words"))
-    triples = words.select("h", _triples(F.col("words"), F.size("words")).alias("triples"))
-    sets = triples.select("h", F.array_distinct(F.transform("triples", _shingle)).alias("shingles"))
-    return sets.withColumn("n", F.size("shingles"))
+    wide = _distinct(hashed.join(F.broadcast(wanted) if few else wanted, "h", "left_semi"))
+    return _shingles(wide).groupBy("h").agg(F.collect_set("x").alias("shingles")).withColumn("n", F.size("shingles"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -150,23 +172,36 @@ def line_components(lines: DataFrame, similarity: float = SIMILARITY) -> DataFra
     """(h, component) of hashes of different lines that hang together by verified links.
 
     Each member of a bucket is first compared with the bucket's most central line only. Where that
-    leaves several components in a bucket, its members meet again, across components, by their
-    rare shingles, which finds every similar pair among them. So neither a family of near copies nor a
+    leaves several components in a bucket, its members meet again, across components: in pairs told by
+    their bitmaps if they are few, else by their rare shingles. Both find every similar pair. So neither a family of near copies nor a
     crowd of lines around one passage is compared pair by pair.
     """
-    banded = cut_lineage(_banded(lines))
-    sets = cut_lineage(_shingle_sets(lines, banded.select("h").distinct()))
+    signed = cut_lineage(_signed(lines))
+    banded = cut_lineage(_banded(signed))
     star = banded.filter("h <> head").select(F.least("h", "head").alias("a"), F.greatest("h", "head").alias("b")).distinct()
+    star = cut_lineage(_marked(star, signed).filter(_may_fit(similarity)).select("a", "b"))
+    sets = cut_lineage(_shingle_sets(lines, _ends(star)))
     first = cut_lineage(connected_components(_verified(star, sets, similarity), "a", "b"))
     grouped = first.select(F.col("node").alias("h"), "component")
 
     bucket = Window.partitionBy("key")
-    open_ones = (
-        banded.join(grouped, "h", "left").select("key", "h", F.coalesce("component", "h").alias("component"))
+    open_ones = cut_lineage(
+        banded.join(grouped, "h", "left").select("key", "h", "size", F.coalesce("component", "h").alias("component"))
         .withColumn("low", F.min("component").over(bucket)).withColumn("high", F.max("component").over(bucket))
-        .filter("low <> high").select("h", "component").distinct()
+        .filter("low <> high").select("key", "h", "size", "component")
+    )
+    small = open_ones.filter(F.col("size") <= PAIRED).select("key", "h", "component")
+    small = small.join(signed.select("h", "size", "marks"), "h")
+    one, other = (
+        small.select("key", *[F.col(c).alias(n + h) for c, n in (("h", ""), ("component", "c"), ("size", "size"), ("marks", "marks"))])
+        for h in ("a", "b")
+    )
+    close = cut_lineage(
+        one.join(other, "key").filter((F.col("ca") < F.col("cb")) & _may_fit(similarity)).select("a", "b", "ca", "cb").distinct()
     )
-    rare = _rare_shingles(sets.join(open_ones, "h"), similarity)
+    large = cut_lineage(open_ones.filter(F.col("size") > PAIRED).select("h", "component").distinct())
+    sets = cut_lineage(_shingle_sets(lines, _ends(close).union(large.select("h")).distinct()))
+    rare = _rare_shingles(sets.join(large, "h"), similarity)
     meeting = Window.partitionBy("x")
     several = rare.withColumn("low", F.min("component").over(meeting)).withColumn(
         "high", F.max("component").over(meeting)
@@ -182,6 +217,7 @@ def line_components(lines: DataFrame, similarity: float = SIMILARITY) -> DataFra
         & (differ <= (F.col("na") + F.col("nb")) * ((1 - similarity) / (1 + similarity)) + 1e-9)
     )
     pairs = left.join(right, "x").filter((F.col("ca") < F.col("cb")) & fits).select("a", "b", "ca", "cb").distinct()
+    pairs = pairs.union(close).distinct()
     joins = _verified(pairs, sets, similarity).select("ca", "cb").distinct()
     merged = connected_components(joins, "ca", "cb").withColumnRenamed("component", "whole")
     # A line that was alone, but joins a component now, is a component of itself so far.
