@@ -56,6 +56,23 @@ def map_batches(df: DataFrame, function: Callable, schema: str, rows: int = BATC
     return df.mapInArrow(run, schema)
 
 
+def map_slices(df: DataFrame, function: Callable, schema: str, rows: int = BATCH_ROWS) -> DataFrame:
+    """Like ``map_batches``, with batches cut here and the session's settings left alone. Spark bounds
+    the bytes of a batch by spark.sql.execution.arrow.maxBytesPerBatch."""
+    target = pa_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            for first in range(0, len(batch), rows):
+                for columns in function(batch.slice(first, rows)):
+                    yield pa.RecordBatch.from_arrays(
+                        [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, target)],
+                        schema=target,
+                    )
+
+    return df.mapInArrow(run, schema)
+
+
 def pa_schema(ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lamina.llm import ann, decontaminate, langid, licenses, linededup, mixing, pii, pitmanyor, quality, simhash
+from lamina.llm import ann, decontaminate, hardneg, langid, licenses, linededup, mixing, packing, pii, pitmanyor, quality, simhash
 from lamina.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,14 @@ def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_pitman_yor")
 def op3_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitmanyor.score_texts(table(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2)
+
+
+@query("op12_packing")
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op13_hard_negatives", hardneg.hard_negatives_sql("embeddings"))
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
