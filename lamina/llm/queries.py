@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lamina.llm import ann, decontaminate, hardneg, langid, licenses, linededup, mixing, packing, pii, pitmanyor, quality, simhash
+from lamina.llm import ann, decontaminate, fptree, hardneg, langid, licenses, linededup, mixing, packing, pii, pitmanyor, quality, simhash
 from lamina.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,8 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hardneg.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
+@query("op11_ranked_search", fptree.search_sql("documents", "benchmark"))
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fptree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
