@@ -13,8 +13,10 @@ their rank up in the plan.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -31,7 +33,7 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 CAPACITY = 1024
 END_ID = 2
 RANK_ROWS = 100_000     # pieces of one length that one task ranks
-CACHED_CHUNKS = 600_000  # chunks of text a worker remembers the ids of
+CACHED_CHUNKS = 1_200_000  # chunks of text a worker remembers the ids of
 CACHED_CHARS = 64       # longest chunk that is remembered
 LONG_CHUNK = 100_000    # characters from which a chunk without spaces is cut further
 
@@ -40,14 +42,10 @@ LONG_CHUNK = 100_000    # characters from which a chunk without spaces is cut fu
 _UNSAFE = re.compile(r"[\s\u180e] ")
 _SAFE_CUT = re.compile(r"(?<=[^\s\u180e])(?= )")
 _LONG_CUT = re.compile("(?<=[A-Za-z0-9ぁ-ゖァ-ヺ一-龥])(?=[.,;:!?、。])")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 # Within a chunk a mark ends a run of letters, and a single line feed stands alone.
-_FINE_CUT = re.compile(
-    "(?<=[A-Za-zÀ-ÖØ-öø-ɏ])(?=[.,;:!?])"
-    "|(?<=[A-Za-zÀ-ÖØ-öø-ɏ.,;:!?])(?=\n)"
-    "|(?<=[A-Za-zÀ-ÖØ-öø-ɏ.,;:!?]\n)(?=[A-Za-zÀ-ÖØ-öø-ɏ])"
-)
-
-_WORD = re.compile("[ A-Za-zÀ-ÖØ-öø-ɏ][A-Za-zÀ-ÖØ-öø-ɏ]*")  # one token run, whatever stands beside it
+_LINE_CUT = re.compile(f"(?<=[{_LETTERS}.,;:!?])(?=\n)|(?<=[{_LETTERS}.,;:!?]\n)(?=[{_LETTERS}])")
+_WORD = re.compile(f" ?[{_LETTERS}]+")  # one run, whatever stands beside it
 
 
 def _byte_characters() -> dict[int, str]:
@@ -61,19 +59,32 @@ def _byte_characters() -> dict[int, str]:
 _BYTE_CHARACTERS = _byte_characters()
 
 
-def chunks(text: str) -> list[str]:
-    """Pieces of ``text`` whose ids, one after the other, are those of the whole text."""
-    if _UNSAFE.search(text):
-        out = _SAFE_CUT.split(text)
-    else:
-        first, *others = text.split(" ")
-        out = ([first] if first else []) + [" " + w for w in others]
-    if len(text) > LONG_CHUNK and max(map(len, out)) > LONG_CHUNK:
-        out = [part for c in out for part in (_LONG_CUT.split(c) if len(c) > LONG_CHUNK else [c])]
-    return out
+class _Known(dict):
+    """Ids of chunks, found when first asked for. With ``before`` a space, a chunk is asked for without it."""
+
+    def __init__(self, tokenizer, before: str, plain: _Known | None):
+        self._tokenizer, self._tokenize, self._before = tokenizer, tokenizer.model.tokenize, before
+        self._plain = self if plain is None else plain
 
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self._find(chunk)
+        if len(chunk) <= CACHED_CHARS:
+            self[chunk] = ids
+        return ids
 
-_tokenizers: dict[str, "TokenIds"] = {}  # of this worker, which serves many tasks
+    def _find(self, chunk: str) -> bytes:
+        whole = self._before + chunk
+        if _WORD.fullmatch(whole):
+            tokens = self._tokenize(whole.encode().decode("latin-1").translate(_BYTE_CHARACTERS))
+            return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        word = chunk.rstrip(string.punctuation)
+        if 0 < len(word) < len(chunk) and _WORD.fullmatch(self._before + word):
+            return self[word] + self._plain[chunk[len(word) :]]
+        parts = _LINE_CUT.split(chunk) if "\n" in chunk else _LONG_CUT.split(chunk) if len(chunk) > LONG_CHUNK else ()
+        if len(parts) > 1:
+            return b"".join([self[parts[0]]] + [self._plain[p] for p in parts[1:]])
+        ids = self._tokenizer.encode(whole, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class TokenIds:
@@ -83,43 +94,29 @@ class TokenIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(tokenizer_path)
-        self._tokenizer.encode_special_tokens = True  # names of special tokens in a text are ordinary text
-        self._known: dict[str, bytes] = {}
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        cut = [chunks(t) for t in texts]
-        known = self._known
-        if len(known) > CACHED_CHUNKS:
-            known.clear()
-        new = {c for parts in cut for c in parts if c not in known}
-        self._learn(new)
-        out = [b"".join([known[c] for c in parts]) for parts in cut]
-        for chunk in new:
-            if len(chunk) > CACHED_CHARS:
-                del known[chunk]
-        return out
-
-    def _learn(self, new: set[str]) -> None:
-        """Ids of new chunks, put together from those of their parts where these are known."""
-        known = self._known
-        fine = {c: _FINE_CUT.split(c) if len(c) <= CACHED_CHARS else [c] for c in new}
-        parts = {p for own in fine.values() for p in own if p not in known}
-        words, others = [], []
-        for part in parts:
-            (words if _WORD.fullmatch(part) else others).append(part)
-        tokenize = self._tokenizer.model.tokenize
-        for word in words:
-            tokens = tokenize(word.encode().decode("latin-1").translate(_BYTE_CHARACTERS))
-            known[word] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-        for first in range(0, len(others), 5000):
-            some = others[first : first + 5000]
-            for part, encoded in zip(some, self._tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                ids = encoded.ids
-                known[part] = struct.pack(f"<{len(ids)}I", *ids)
-        for chunk, own in fine.items():
-            if len(own) > 1:
-                known[chunk] = b"".join([known[p] for p in own])
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        tokenizer.encode_special_tokens = True  # names of special tokens in a text are ordinary text
+        self._plain = _Known(tokenizer, "", None)
+        self._spaced = _Known(tokenizer, " ", self._plain)
+
+    def of(self, text: str) -> bytes:
+        if len(self._plain) + len(self._spaced) > CACHED_CHUNKS:
+            self._plain.clear()
+            self._spaced.clear()
+        if not text:
+            return b""
+        plain, spaced = self._plain, self._spaced
+        if _UNSAFE.search(text):
+            return b"".join([spaced[c[1:]] if c[0] == " " else plain[c] for c in _SAFE_CUT.split(text)])
+        words = text.split(" ")
+        first = words[0]
+        words[0] = ""
+        out = [spaced[w] for w in words]
+        out[0] = plain[first] if first else b""
+        return b"".join(out)
+
+
+_tokenizers: dict[str, TokenIds] = {}  # of this worker, which serves many tasks
 
 
 def piece_bounds(length: int, capacity: int) -> Iterator[tuple[int, int]]:
@@ -142,21 +139,15 @@ def token_pieces(
     def cut(batch: pa.RecordBatch):
         if tokenizer_path not in _tokenizers:
             _tokenizers[tokenizer_path] = TokenIds(tokenizer_path)
-        texts = batch.column(1).to_pylist()
+        gc.disable()  # nothing here is cyclic, and the remembered chunks make each collection slow
         at, out = [], []
-        first = 0
-        while first < len(texts):
-            size, last = 0, first
-            while last < len(texts) and (last == first or size < 1 << 20):
-                size += len(texts[last] or "")
-                last += 1
-            for row, ids in enumerate(_tokenizers[tokenizer_path].of([t or "" for t in texts[first:last]]), first):
-                ids += end
-                for n, (start, length) in enumerate(piece_bounds(len(ids) // 4, capacity)):
-                    own = ids[4 * start : 4 * (start + length)]
-                    at.append(row)
-                    out.append((n, start, length, zlib.crc32(own), own))
-            first = last
+        for row, text in enumerate(batch.column(1)):
+            ids = _tokenizers[tokenizer_path].of(text.as_py() or "") + end
+            for n, (start, length) in enumerate(piece_bounds(len(ids) // 4, capacity)):
+                own = ids[4 * start : 4 * (start + length)]
+                at.append(row)
+                out.append((n, start, length, zlib.crc32(own), own if keep_ids else None))
+        gc.enable()
         n, start, length, crc, own = zip(*out) if out else ((),) * 5
         columns = [batch.column(0).take(pa.array(at, pa.int64())), n, start, length, crc]
         yield tuple(columns + ([[np.frombuffer(x, "<u4").astype(np.int32) for x in own]] if keep_ids else []))
