@@ -16,6 +16,23 @@ class ContractViolation(RuntimeError):
     """Raised when a dataset may not be published."""
 
 
+@dataclass(frozen=True)
+class Refusal:
+    """A dataset that was built but not published, and why."""
+
+    stage: str
+    dataset: str
+    reason: str
+
+
+class DatasetsRefused(ContractViolation):
+    """Raised once for all datasets that may not be published; the others are."""
+
+    def __init__(self, refusals: Sequence[Refusal]):
+        self.refusals = tuple(refusals)
+        super().__init__("; ".join(f"{r.stage}/{r.dataset}: {r.reason}" for r in refusals))
+
+
 @dataclass(frozen=True)
 class GateResult:
     check: str

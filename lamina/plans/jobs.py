@@ -16,7 +16,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
-from lamina.contracts.gate import enforce
+from lamina.contracts.gate import ContractViolation, DatasetsRefused, Refusal, enforce
 from lamina.contracts.model import ContractStore
 from lamina.operators.linkage import deduplicate
 from lamina.plans import gold, silver
@@ -52,6 +52,8 @@ class Pipeline:
 
     def __post_init__(self):
         self._naming = Lock()
+        self._refused: list[Refusal] = []
+        self._done: dict[str, list[Commit]] = {}
         self.log = CommitLog(self.spark, f"{self.root.rstrip('/')}/_commits")
 
     # ------------------------------------------------------------ inputs and outputs
@@ -91,7 +93,10 @@ class Pipeline:
             return files.read_parquet(self.spark, item.path), None, []
         source, name = item.dataset()
         source = source or DERIVED_SOURCE.get(item.stage, "")
-        loads = [r for r in self.log.live(item.stage, source, name) if r["load_id"] > after]
+        live = self.log.live(item.stage, source, name)
+        if not live:
+            raise ContractViolation(f"its input {item.stage}/{source}/{name} is not published")
+        loads = [r for r in live if r["load_id"] > after]
         if after and not loads:
             return None, 0, []
         frame = self._rows(item.stage, source, name, loads)
@@ -177,23 +182,49 @@ class Pipeline:
         return ("full", 0) if replaced else ("incremental", consumed)
 
     def _run(self, stage: str, transforms: Sequence[Transform]) -> list[Commit]:
-        """Datasets of one stage do not depend on each other, so several are built at a time."""
+        """Datasets of one stage do not depend on each other, so several are built at a time, and a refused
+        one does not keep the others from being published."""
+
+        def build(transform: Transform) -> Commit | None:
+            try:
+                return self._build(stage, transform)
+            except ContractViolation as wrong:
+                self._refused.append(Refusal(stage, transform.name, str(wrong)))
+                return None
+
         with ThreadPoolExecutor(max_workers=max(1, self.parallel)) as pool:
-            built = pool.map(lambda t: self._build(stage, t), transforms)
-            return [commit for commit in built if commit is not None]
+            return [commit for commit in pool.map(build, transforms) if commit is not None]
 
-    def run(self, start: str | None = None) -> dict[str, list[Commit]]:
-        """Run a stage and all later ones."""
+    def run(self, start: str | None = None, keep_going: bool = False) -> dict[str, list[Commit]]:
+        """Run a stage and all later ones.
+
+        Raises ``DatasetsRefused`` once, with all refusals: after the first stage that has any, or
+        after the last stage with ``keep_going``, when later stages work on what is published.
+        """
         steps = {
             "bronze": self.run_bronze,
             "silver": lambda: self._run("silver", self.silver),
             "gold": lambda: self._run("gold", self.gold),
         }
-        before = step_copies()
+        before, done = step_copies(), {}
+        self._refused = []
         try:
-            return {stage: steps[stage]() for stage in execution_order(start)}
+            for stage in execution_order(start):
+                done[stage] = steps[stage]()
+                if self._refused and not keep_going:
+                    break
         finally:
             drop_steps(self.spark, before)  # copies made on the way; what is published stays
+        self._done = done
+        if self._refused:
+            raise DatasetsRefused(sorted(self._refused, key=lambda r: (STAGES.index(r.stage), r.dataset)))
+        return done
+
+    def verdicts(self) -> DataFrame:
+        """(stage, dataset, published, rows_out, reason): every dataset the last run came to."""
+        rows = [(stage, c.dataset, True, c.rows_out, None) for stage, found in self._done.items() for c in found]
+        rows += [(r.stage, r.dataset, False, None, r.reason) for r in self._refused]
+        return self.spark.createDataFrame(rows, "stage string, dataset string, published boolean, rows_out long, reason string")
 
     def metrics(self) -> DataFrame:
         """Rows in and out of every committed load."""

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lamina.contracts import checks, shipped
-from lamina.contracts.gate import ContractViolation
+from lamina.contracts.gate import ContractViolation, DatasetsRefused
 from lamina.operators import linkage
 from lamina.plans import gold, jobs, kpi, silver
 from lamina.plans.transforms import Input, Transform, map_batches, run_transform
@@ -356,3 +356,25 @@ def test_incremental_transformation(spark, folder):
     assert pipe.dataset("silver", "t").count() == 2
     with pytest.raises(ValueError, match="one input"):
         Transform("t", [], incremental=True)
+
+
+def test_refused_datasets_do_not_stop_the_others(spark, folder):
+    spark.range(5).write.parquet(f"{folder}/in")
+    made = lambda name, checks=(), item=Input("p", f"{folder}/in", None): Transform(
+        name, [item], lambda s, t: t["p"], checks=list(checks)
+    )
+    fails = {"no": lambda d: (False, "never"), "yes": lambda d: True}
+    silver = [made("a", ["no"]), made("b", ["yes"]), made("c", ["no"])]
+    gold = [made("g", ["yes"], Input("p", "refined/b", "silver")), made("h", [], Input("p", "refined/a", "silver"))]
+    pipe = jobs.Pipeline(spark, f"{folder}/lake", silver=silver, gold=gold, checks=fails)
+    with pytest.raises(DatasetsRefused) as stopped:
+        pipe.run("silver")
+    assert [(r.stage, r.dataset) for r in stopped.value.refusals] == [("silver", "a"), ("silver", "c")]
+    assert pipe.dataset("silver", "b").count() == 5 and not pipe.log.live("gold", "analytics", "g")
+    with pytest.raises(DatasetsRefused, match="not published"):
+        pipe.run("silver", keep_going=True)
+    verdicts = {(r["stage"], r["dataset"]): (r["published"], r["rows_out"]) for r in pipe.verdicts().collect()}
+    assert verdicts == {
+        ("silver", "a"): (False, None), ("silver", "b"): (True, 5), ("silver", "c"): (False, None),
+        ("gold", "g"): (True, 5), ("gold", "h"): (False, None),
+    }
