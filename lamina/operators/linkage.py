@@ -1,4 +1,4 @@
-"""Probabilistic record linkage (Fellegi and Sunter 1969; EM after Dempster et al. 1977).
+"""Probabilistic record linkage (Fellegi and Sunter 1969); ``agreement`` estimates its probabilities.
 
 Records that agree on a blocking rule are compared column by column. Every comparison yields a
 level (2 exact, 1 close, 0 different, -1 unknown); a level carries the weight log2(m / u), where
@@ -216,7 +216,7 @@ def _deletions(text: Column, times: int) -> Column:
     return F.array_distinct(found)
 
 
-def _share_keys(c: Comparison, value: Column) -> Column:
+def share_keys(c: Comparison, value: Column) -> Column:
     """Keys of a text value; close values have at least one in common."""
     return F.transform(_deletions(value, int(c.limit)), lambda s: F.xxhash64(s))
 
@@ -319,7 +319,7 @@ def _edit_near_links(rows: DataFrame, same: list[str], text: Comparison, number:
 
 def _close_values(values: DataFrame, c: Comparison) -> DataFrame:
     """(v, w): pairs of distinct values of an ``edit`` column that are close, in both orders."""
-    keyed = values.withColumn("k", F.explode(_share_keys(c, F.col("v"))))
+    keyed = values.withColumn("k", F.explode(share_keys(c, F.col("v"))))
     other = keyed.select(F.col("v").alias("w"), "k")
     pairs = keyed.join(other, "k").filter(F.col("v") != F.col("w"))
     return pairs.filter(c.close(F.col("v"), F.col("w"))).select("v", "w").distinct()
@@ -440,116 +440,3 @@ def deduplicate(
     """
     clustered = cluster(df, candidate_links(df, settings), settings.id)
     return keep_latest(clustered, ["cluster_id"], newest_by, [settings.id])
-
-
-# ---------------------------------------------------------------- estimating m, u and the prior
-
-
-def pattern_counts(df: DataFrame, rule: Sequence[str], columns: Sequence[str]) -> dict:
-    """How many pairs of each block show each pattern of agreement, without forming the pairs.
-
-    Returns ``{pattern: pairs}``; a pattern has one level per column (2 agree, 0 differ,
-    -1 unknown on either side).
-
-    ``n * (n - 1) / 2`` over the groups equal in a set of columns counts the pairs that agree at
-    least there. One grouped aggregate yields this for all sets, and inclusion and exclusion turns
-    "at least" into "exactly". Only 3 ** len(columns) numbers reach the driver.
-    """
-    columns, rule = list(columns), list(rule)
-    blocks = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rule])
-    profiles = df.filter(blocks).groupBy(*rule, *[c for c in columns if c not in rule]).agg(
-        F.count(F.lit(1)).alias("__n")
-    )
-    states = list(itertools.product((EXACT, DIFFERENT, None), repeat=len(columns)))
-    views = []
-    for i, state in enumerate(states):
-        known = [F.col(c).isNotNull() for c, s in zip(columns, state) if s is not None]
-        masked = [
-            (F.col(c) if s == EXACT else F.lit(None).cast(df.schema[c].dataType)).alias(f"v{j}")
-            for j, (c, s) in enumerate(zip(columns, state))
-        ]
-        view = F.struct(F.lit(i).alias("state"), *masked)
-        views.append(F.when(reduce(lambda a, b: a & b, known, F.lit(True)), view))
-    spread = profiles.select(*rule, "__n", F.explode(F.array(*views)).alias("w")).filter(
-        "w is not null"
-    )
-    size = F.col("size")
-    sizes = spread.groupBy(*rule, "w").agg(F.sum("__n").cast("decimal(19,0)").alias("size"))
-    counted = sizes.groupBy(F.col("w.state").alias("state")).agg(
-        F.sum(size * (size - 1)).alias("twice")
-    )
-    at_least = {states[r["state"]]: int(r["twice"]) // 2 for r in counted.collect()}
-
-    def exactly(pattern: tuple[int, ...]) -> int:
-        # EXACT stays; DIFFERENT = known minus agreeing; UNKNOWN = everything minus known.
-        options = {
-            EXACT: [(EXACT, 1)],
-            DIFFERENT: [(DIFFERENT, 1), (EXACT, -1)],
-            UNKNOWN: [(None, 1), (DIFFERENT, -1)],
-        }
-        total = 0
-        for choice in itertools.product(*(options[lv] for lv in pattern)):
-            sign = math.prod(s for _, s in choice)
-            total += sign * at_least.get(tuple(st for st, _ in choice), 0)
-        return total
-
-    patterns = itertools.product((EXACT, DIFFERENT, UNKNOWN), repeat=len(columns))
-    counts = {p: exactly(p) for p in patterns}
-    return {p: n for p, n in counts.items() if n}
-
-
-@dataclass(frozen=True)
-class Estimate:
-    prior: float
-    m: tuple[float, ...]
-    u: tuple[float, ...]
-    rounds: int
-
-
-def estimate_em(
-    counts: Mapping[tuple[int, ...], int],
-    prior: float = 0.01,
-    m: float = 0.9,
-    u: float = 0.1,
-    tolerance: float = 1e-9,
-) -> Estimate:
-    """Agreement probabilities and prior from pattern counts; unknown levels carry no evidence.
-
-    Rounds go on until no value moves by ``tolerance`` or more.
-    """
-    width = len(next(iter(counts)))
-    ms, us, lam, floor = [m] * width, [u] * width, prior, 1e-12
-    rounds = 0
-    for rounds in itertools.count(1):
-        in_match = in_rest = 0.0
-        agree_m, agree_u, known_m, known_u = ([0.0] * width for _ in range(4))
-        for pattern, n in counts.items():
-            like_m, like_u = lam, 1 - lam
-            for i, lv in enumerate(pattern):
-                if lv != UNKNOWN:
-                    like_m *= ms[i] if lv == EXACT else 1 - ms[i]
-                    like_u *= us[i] if lv == EXACT else 1 - us[i]
-            p = like_m / (like_m + like_u)
-            in_match += n * p
-            in_rest += n * (1 - p)
-            for i, lv in enumerate(pattern):
-                if lv != UNKNOWN:
-                    known_m[i] += n * p
-                    known_u[i] += n * (1 - p)
-                    if lv == EXACT:
-                        agree_m[i] += n * p
-                        agree_u[i] += n * (1 - p)
-
-        def kept(part: float, whole: float) -> float:
-            return min(max(part / whole if whole else 0.5, floor), 1 - floor)
-
-        new = (
-            kept(in_match, in_match + in_rest),
-            [kept(a, k) for a, k in zip(agree_m, known_m)],
-            [kept(a, k) for a, k in zip(agree_u, known_u)],
-        )
-        change = max(abs(x - y) for x, y in zip([new[0], *new[1], *new[2]], [lam, *ms, *us]))
-        lam, ms, us = new
-        if change < tolerance:
-            break
-    return Estimate(lam, tuple(ms), tuple(us), rounds)

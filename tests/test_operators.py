@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lamina.functions import exprs
 from lamina.functions.hashing import pseudonym
-from lamina.operators import breakdown, dedup, linkage, masking, retention, skew
+from lamina.operators import agreement, breakdown, dedup, linkage, masking, retention, skew
 from lamina.operators.components import connected_components
 from lamina.operators.masking import MaskingRule, apply_masking
 from lamina.sources.catalogue import PARTNER_DROP, masking_rule
@@ -370,12 +370,40 @@ def test_pattern_counts_with_unknown_values(spark):
     for a, b in itertools.combinations(rows, 2):
         if a[1] is not None and a[1] == b[1]:
             want[tuple(-1 if x is None or y is None else 2 if x == y else 0 for x, y in zip(a[2:], b[2:]))] += 1
-    got = linkage.pattern_counts(df, ["block"], ["name", "city", "age"])
+    got = agreement.pattern_counts(df, ["block"], ["name", "city", "age"])
     assert got == dict(want)
 
 
-def test_em_recovers_known_probabilities():
-    m, u, prior, n = (0.9, 0.8, 0.95), (0.1, 0.2, 0.05), 0.1, 10_000_000
+def test_pattern_counts_with_close_values(spark):
+    rows = [r[:5] for r in people(150, 9)]
+    df = spark.createDataFrame(rows, "id long, block string, name string, city string, age double")
+
+    def edits(a, b):
+        before = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            now = [i]
+            for j, y in enumerate(b, 1):
+                now.append(min(before[j] + 1, now[-1] + 1, before[j - 1] + (x != y)))
+            before = now
+        return before[-1]
+
+    def level(x, y, close):
+        return -1 if x is None or y is None else 2 if x == y else 1 if close(x, y) else 0
+
+    near = [lambda x, y: edits(x, y) <= 2, lambda x, y: False, lambda x, y: abs(x - y) <= 3]
+    inside, every = Counter(), Counter()
+    for a, b in itertools.combinations(rows, 2):
+        pattern = tuple(level(x, y, c) for x, y, c in zip(a[2:], b[2:], near))
+        every.update((j, lv) for j, lv in enumerate(pattern) if lv >= 0)
+        if a[1] is not None and a[1] == b[1]:
+            inside[pattern] += 1
+    columns = [linkage.Comparison("name", "edit", 2), "city", linkage.Comparison("age", "near", 3)]
+    assert agreement.pattern_counts(df, ["block"], columns) == dict(inside)
+    for j, c in ((0, columns[0]), (1, linkage.Comparison("city")), (2, columns[2])):
+        assert {lv: n for lv, n in agreement.level_counts(df, c).items() if n} == {lv: n for (i, lv), n in every.items() if i == j}
+
+
+def _model_counts(m, u, prior, n=10_000_000):
     counts = {}
     for pattern in itertools.product((2, 0), repeat=3):
         pm, pu = prior, 1 - prior
@@ -383,9 +411,37 @@ def test_em_recovers_known_probabilities():
             pm *= m[i] if lv == 2 else 1 - m[i]
             pu *= u[i] if lv == 2 else 1 - u[i]
         counts[pattern] = round(n * (pm + pu))
-    found = linkage.estimate_em(counts)
-    assert found.prior == pytest.approx(prior, abs=1e-3)
-    assert found.m == pytest.approx(m, abs=1e-3) and found.u == pytest.approx(u, abs=1e-3)
+    return counts
+
+
+def test_em_recovers_known_probabilities():
+    m, u, prior = (0.9, 0.8, 0.95), (0.1, 0.2, 0.05), 0.1
+    given = [{2: x, 0: 1 - x} for x in u]
+    for tolerance in (1e-6, 1e-9):
+        found = agreement.estimate_em(_model_counts(m, u, prior), given, tolerance=tolerance)
+        assert found.settled and found.rounds < 200
+        assert found.prior == pytest.approx(prior, abs=1e-5)
+        assert [x[2] for x in found.m] == pytest.approx(m, abs=1e-4)
+
+
+def test_em_without_matches_says_so():
+    u = (0.1, 0.2, 0.05)
+    found = agreement.estimate_em(_model_counts(u, u, 0.5, 100_000), [{2: x, 0: 1 - x} for x in u])
+    assert not found.settled and found.prior < 1e-3
+
+
+def test_estimated_settings_link_what_belongs_together(spark):
+    from lamina.plans.star_inputs import shaped
+
+    df = shaped(spark, "/root/testdata/sf0.001", "party")
+    comparisons = [linkage.Comparison("name", "edit", 1), linkage.Comparison("segment"), linkage.Comparison("seller")]
+    settings = agreement.estimated_settings(df, linkage.LinkageSettings("id", [["nation"]], comparisons, min_probability=0.5))
+    links = linkage.candidate_links(df, settings)
+    clusters = linkage.cluster(df, links, "id").select("id", "cluster_id").collect()
+    whole = Counter(r["cluster_id"] for r in clusters)
+    right = Counter((r["cluster_id"], r["id"] // 3) for r in clusters)
+    assert 0 < settings.prior < 0.2 and len(whole) < 300
+    assert sum(n for (c, _), n in right.items() if n == whole[c]) > 0.6 * len(clusters)
 
 
 # ---------------------------------------------------------------- ordered rows
