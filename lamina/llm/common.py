@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lamina.session import cut_lineage, drop_steps, step_copies
+
 CHUNK_BYTES = 1 << 20  # texts handled together by one numpy step; a longer text is a chunk of its own
 BATCH_ROWS = 1000      # rows that travel to a Python worker together
 
@@ -21,6 +23,22 @@ def crc_mod(column: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def settled(df: DataFrame, before: set[str]) -> DataFrame:
+    """A written copy of ``df``; other copies made since there were ``before`` are deleted."""
+    made = step_copies() - before
+    copy = cut_lineage(df)
+    drop_steps(df.sparkSession, step_copies() - made)
+    return copy
+
+
 def text_chunks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, texts as UTF-8) for runs of rows of about CHUNK_BYTES; null is the empty text."""
     texts = batch.column(column).cast(pa.large_binary())

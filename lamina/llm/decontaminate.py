@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lamina.llm.common import free_name
 from lamina.session import cut_lineage
 
 WORDS = 5
@@ -95,5 +96,5 @@ def contaminated(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs``, all columns, without the documents that ``contaminated`` names."""
     found = cut_lineage(contaminated(docs, benchmark, id_col, text_col, **options).select("row_hash").distinct())
-    own = _row_hash(id_col, text_col)
-    return docs.join(found.withColumnRenamed("row_hash", "__row_hash"), own == F.col("__row_hash"), "left_anti")
+    own, name = _row_hash(id_col, text_col), free_name(docs, "row_hash")
+    return docs.join(found.withColumnRenamed("row_hash", name), own == F.col(name), "left_anti")

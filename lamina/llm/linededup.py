@@ -1,21 +1,26 @@
 """Near-duplicate lines: MinHash over character shingles, banding, exact Jaccard, components.
 
 Only DataFrame functions. A line's shingles are its runs of CHARS characters at every position. Each
-distinct line is hashed once, each shingle once, to 64 bits. A signature value is the shingle nearest
+distinct line is hashed once, each shingle once, to 64 bits, several neighbours in one row. Pairs are verified on
+their texts, whose shingle sets exist within a row only. A signature value is the shingle nearest
 to one of twelve evenly spread points (smallest exclusive-or) after the hash was turned by 0, 16, 32
 or 48 bits, so all values come from one hash.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lamina.llm.common import free_name, settled
 from lamina.operators.components import connected_components
-from lamina.session import cut_lineage
+from lamina.session import cut_lineage, step_copies
 
 SIMILARITY = 0.8
-MIN_CHARS = 20   # shorter lines are never taken for duplicates
+MIN_CHARS = 1    # shorter lines, which is blank ones, are never taken for duplicates
 CHARS = 5        # characters of a shingle; a shorter line is one shingle
+STEP = 4         # neighbouring shingles that one row carries while lines are signed
 BANDS, BAND_ROWS = 12, 4  # at similarity 0.8 a pair misses all bands with probability 0.59 ** 12 = 0.002
 BROADCAST_LINES = 4_000_000  # line hashes (8 bytes each) a broadcast may hold; beyond, they are shuffled
 
@@ -24,9 +29,6 @@ MARK_LONGS = 8  # a line's bitmap has 64 times as many bits
 
 BROADCAST_SHINGLES = 1_000_000  # most of the common shingles (16 bytes each) that are broadcast
 
-_DOC, _DROPPED = "__row_hash", "__dropped_lines"
-
-
 def _normal(line: Column) -> Column:
     return F.lower(F.trim(line))
 
@@ -52,13 +54,6 @@ def _distinct(hashed: DataFrame) -> DataFrame:
     return hashed.groupBy("h").agg(F.first("line").alias("line")).select("h", F.encode("line", "UTF-32").alias("wide"))
 
 
-def _shingles(wide: DataFrame) -> DataFrame:
-    """(h, x): line hash and a 64-bit hash of the shingle at each position."""
-    last = F.greatest(F.length("wide") / 4 - CHARS, F.lit(0)).cast("int")
-    placed = wide.select("h", "wide", F.explode(F.sequence(F.lit(0), last)).alias("at"))
-    return placed.select("h", F.xxhash64(F.substring("wide", F.col("at") * 4 + 1, F.lit(4 * CHARS))).alias("x"))
-
-
 def _turned(x: Column, bits: int) -> Column:
     return F.shiftleft(x, bits).bitwiseOR(F.shiftrightunsigned(x, 64 - bits)) if bits else x
 
@@ -67,15 +62,29 @@ def _signed(lines: DataFrame) -> DataFrame:
     """(h, keys, size, marks): of every distinct line the band keys, the number of its shingles with
     repetitions, and a bitmap in which each shingle sets a bit."""
     wide = _distinct(lines.select(F.xxhash64("line").alias("h"), "line"))
-    shingles = _shingles(wide)
-    bit = F.expr("shiftleft(1L, cast(x & 63 as int))")
-    place = F.expr(f"shiftrightunsigned(x, 6) & {MARK_LONGS - 1}")
-    turned = shingles.select("h", bit.alias("bit"), place.alias("place"), *[_turned(F.col("x"), 16 * r).alias(f"x{r}") for r in range(BAND_ROWS)])
+    last = F.greatest(F.length("wide") / 4 - CHARS, F.lit(0)).cast("int")
+    placed = wide.select("h", "wide", last.alias("last"), F.explode(F.sequence(F.lit(0), last, F.lit(STEP))).alias("at"))
+    # Beyond the end the last shingle comes again, which changes neither minima nor bits.
+    shingle = lambda k: F.xxhash64(F.substring("wide", F.least(F.col("at") + k, F.col("last")) * 4 + 1, F.lit(4 * CHARS)))
+    hashed = placed.select("h", "last", *[shingle(k).alias(f"x{k}") for k in range(STEP)])
+    turned = hashed.select(
+        "h", "last", *[F.expr(f"shiftleft(1L, cast(x{k} & 63 as int))").alias(f"bit{k}") for k in range(STEP)],
+        *[F.expr(f"shiftrightunsigned(x{k}, 6) & {MARK_LONGS - 1}").alias(f"place{k}") for k in range(STEP)],
+        *[_turned(F.col(f"x{k}"), 16 * r).alias(f"x{k}_{r}") for k in range(STEP) for r in range(BAND_ROWS)],
+    )
     points = [(b << 64) // BANDS - ((1 << 64) if 2 * b >= BANDS else 0) for b in range(BANDS)]
+
+    def nearest(point: int, r: int) -> Column:
+        return F.least(*[F.col(f"x{k}_{r}").bitwiseXOR(F.lit(point).cast("long")) for k in range(STEP)])
+
+    def set_bits(n: int) -> Column:
+        own = [F.when(F.col(f"place{k}") == n, F.col(f"bit{k}")).otherwise(F.lit(0).cast("long")) for k in range(STEP)]
+        return reduce(Column.bitwiseOR, own)
+
     signed = turned.groupBy("h").agg(
-        *[F.min(F.col(f"x{r}").bitwiseXOR(F.lit(p).cast("long"))).alias(f"m{b}_{r}") for b, p in enumerate(points) for r in range(BAND_ROWS)],
-        *[F.bit_or(F.when(F.col("place") == k, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(f"k{k}") for k in range(MARK_LONGS)],
-        F.count(F.lit(1)).alias("size"),
+        *[F.min(nearest(p, r)).alias(f"m{b}_{r}") for b, p in enumerate(points) for r in range(BAND_ROWS)],
+        *[F.bit_or(set_bits(n)).alias(f"k{n}") for n in range(MARK_LONGS)],
+        (F.max("last") + 1).cast("long").alias("size"),
     )
     keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b}_{r}") for r in range(BAND_ROWS)]) for b in range(BANDS)]
     return signed.select("h", F.array(*keys).alias("keys"), "size", F.array(*[f"k{k}" for k in range(MARK_LONGS)]).alias("marks"))
@@ -117,21 +126,36 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "h")
 
 
-def _shingle_sets(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h, shingles, n): distinct shingle hashes of the wanted lines."""
+def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(h, line): the wanted lines, once each."""
     few = wanted.count() <= BROADCAST_LINES
     hashed = lines.select(F.xxhash64("line").alias("h"), "line")
-    wide = _distinct(hashed.join(F.broadcast(wanted) if few else wanted, "h", "left_semi"))
-    return _shingles(wide).groupBy("h").agg(F.collect_set("x").alias("shingles")).withColumn("n", F.size("shingles"))
+    return hashed.join(F.broadcast(wanted) if few else wanted, "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
+
+
+def _shingle_set(line: Column) -> Column:
+    """The distinct shingle hashes of a line. Lambda variables hold what would else be computed again at every
+    position, as the optimizer puts expressions in the place of columns."""
 
+    def hashes(wide: Column) -> Column:
+        last = F.greatest(F.length(wide) / 4 - CHARS, F.lit(0)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda at: F.xxhash64(F.substring(wide, at * 4 + 1, F.lit(4 * CHARS))))
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    return F.array_distinct(F.get(F.transform(F.array(F.encode(line, "UTF-32")), hashes), F.lit(0)))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The rows of ``pairs`` whose lines a and b have shingle sets of at least this Jaccard similarity."""
-    both = pairs.join(sets.select(F.col("h").alias("a"), F.col("shingles").alias("sa")), "a").join(
-        sets.select(F.col("h").alias("b"), F.col("shingles").alias("sb")), "b"
+    both = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("la")), "a").join(
+        texts.select(F.col("h").alias("b"), F.col("line").alias("lb")), "b"
     )
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.filter(common >= similarity * (F.size("sa") + F.size("sb") - common)).drop("sa", "sb")
+    sets = F.struct(_shingle_set(F.col("la")).alias("a"), _shingle_set(F.col("lb")).alias("b"))
+
+    def similar(s: Column) -> Column:
+        common, whole = F.size(F.array_intersect(s["a"], s["b"])), F.size(s["a"]) + F.size(s["b"])
+        return common * (1 + similarity) >= similarity * whole - 1e-9
+
+    return both.filter(F.exists(F.array(sets), similar)).select(*pairs.columns)
 
 
 def _common_shingles(sets: DataFrame) -> DataFrame:
@@ -180,8 +204,8 @@ def line_components(lines: DataFrame, similarity: float = SIMILARITY) -> DataFra
     banded = cut_lineage(_banded(signed))
     star = banded.filter("h <> head").select(F.least("h", "head").alias("a"), F.greatest("h", "head").alias("b")).distinct()
     star = cut_lineage(_marked(star, signed).filter(_may_fit(similarity)).select("a", "b"))
-    sets = cut_lineage(_shingle_sets(lines, _ends(star)))
-    first = cut_lineage(connected_components(_verified(star, sets, similarity), "a", "b"))
+    texts = cut_lineage(_texts(lines, _ends(star)))
+    first = cut_lineage(connected_components(_verified(star, texts, similarity), "a", "b"))
     grouped = first.select(F.col("node").alias("h"), "component")
 
     bucket = Window.partitionBy("key")
@@ -200,8 +224,9 @@ def line_components(lines: DataFrame, similarity: float = SIMILARITY) -> DataFra
         one.join(other, "key").filter((F.col("ca") < F.col("cb")) & _may_fit(similarity)).select("a", "b", "ca", "cb").distinct()
     )
     large = cut_lineage(open_ones.filter(F.col("size") > PAIRED).select("h", "component").distinct())
-    sets = cut_lineage(_shingle_sets(lines, _ends(close).union(large.select("h")).distinct()))
-    rare = _rare_shingles(sets.join(large, "h"), similarity)
+    texts = cut_lineage(_texts(lines, _ends(close).union(large.select("h")).distinct()))
+    sets = cut_lineage(texts.join(large, "h").select("h", "component", _shingle_set(F.col("line")).alias("shingles")))
+    rare = _rare_shingles(sets.withColumn("n", F.size("shingles")), similarity)
     meeting = Window.partitionBy("x")
     several = rare.withColumn("low", F.min("component").over(meeting)).withColumn(
         "high", F.max("component").over(meeting)
@@ -218,7 +243,7 @@ def line_components(lines: DataFrame, similarity: float = SIMILARITY) -> DataFra
     )
     pairs = left.join(right, "x").filter((F.col("ca") < F.col("cb")) & fits).select("a", "b", "ca", "cb").distinct()
     pairs = pairs.union(close).distinct()
-    joins = _verified(pairs, sets, similarity).select("ca", "cb").distinct()
+    joins = _verified(pairs, texts, similarity).select("ca", "cb").distinct()
     merged = connected_components(joins, "ca", "cb").withColumnRenamed("component", "whole")
     # A line that was alone, but joins a component now, is a component of itself so far.
     known = grouped.union(merged.select("node", "node")).distinct()
@@ -236,13 +261,15 @@ def dedup_lines(
     Lines end at a line feed; they are compared trimmed and in lower case. Equal lines and lines
     linked by a Jaccard similarity of at least ``similarity`` form components; the line of the
     smallest id (null before all), then the smallest line number, stays, all others go. Lines
-    shorter than ``min_chars`` always stay. A null text stays null with no lines; an empty one has one
+    shorter than ``min_chars``, blank ones by default, always stay. A null text stays null with no lines; an empty one has one
     empty line. Rows equal in id and text are one document, and each of them keeps the same lines.
-    All columns are kept; only the two new names must be free.
+    All columns are kept, but for those called ``n_lines`` or ``n_dropped``, which the new ones replace.
     """
+    doc, gone = free_name(docs, "row_hash"), free_name(docs, "dropped_lines")
     lines = _lines(docs, id_col, text_col, min_chars)
     places = cut_lineage(lines.select("doc", "id", "line_no", F.xxhash64("line").alias("h")))
-    grouped = cut_lineage(line_components(lines, similarity))
+    before = step_copies()
+    grouped = settled(line_components(lines, similarity), before)
     classed = places.join(grouped, "h", "left").select(
         "doc", F.struct("id", "doc", "line_no").alias("place"), F.coalesce("component", "h").alias("class")
     )
@@ -251,19 +278,20 @@ def dedup_lines(
     )
     dropped = (
         classed.join(first, "class").filter("place <> kept")
-        .groupBy("doc").agg(F.collect_set("place.line_no").alias(_DROPPED)).withColumnRenamed("doc", _DOC)
+        .groupBy("doc").agg(F.collect_set("place.line_no").alias(gone)).withColumnRenamed("doc", doc)
     )
     split = F.split(F.col(text_col), "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(_DROPPED))
-    text = F.when(F.col(_DROPPED).isNull(), F.col(text_col)).otherwise(
+    kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(gone))
+    text = F.when(F.col(gone).isNull(), F.col(text_col)).otherwise(
         F.array_join(F.transform(kept, lambda i: F.get(split, i)), "\n")
     )
-    columns = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
+    own = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
+    columns = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in own]
     return (
-        docs.withColumn(_DOC, _row_hash(id_col, text_col)).join(dropped, _DOC, "left")
+        docs.withColumn(doc, _row_hash(id_col, text_col)).join(dropped, doc, "left")
         .select(
             *columns,
             F.when(F.col(text_col).isNull(), 0).otherwise(F.size(split)).alias("n_lines"),
-            F.coalesce(F.size(F.col(_DROPPED)), F.lit(0)).alias("n_dropped"),
+            F.coalesce(F.size(F.col(gone)), F.lit(0)).alias("n_dropped"),
         )
     )

@@ -65,3 +65,18 @@ def test_empty_table(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_clashing_column_names(spark, tmp_path):
+    """Columns called like those the stages use inside come through unchanged."""
+    names = ["n_lines", "n_dropped", "row_hash", "gone", "row", "line_no", "fp", "component_id", "doc"]
+    text = "eine Zeile, die es zweimal gibt, und noch ein paar Wörter dazu"
+    rows = [(1, f"{text}\nanderes", "de", "a"), (2, f"{text}\nverschieden davon", "de", "a"), (None, None, None, None)]
+    docs = spark.createDataFrame([(*r, 9, *range(9)) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, "
+                                 + ", ".join(f"{n} int" for n in names))
+    spark.createDataFrame([(1, "x")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for stage in (corpus_pipeline.drop_repeated_lines, corpus_pipeline.drop_benchmark):
+        docs = stage(spark, docs, str(tmp_path))
+    got = {r["doc_id"]: r for r in docs.collect()}
+    assert got[1]["text"] == f"{text}\nanderes" and got[2]["text"] == "verschieden davon" and got[None]["text"] is None
+    assert all([r[n] for n in names] == list(range(9)) for r in got.values())
