@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lamina.llm import decontaminate, langid, linededup, mixing, simhash
-from lamina.llm.common import crc_mod, table
-from lamina.session import fresh_dir
+from lamina.llm.common import crc_mod, free_name, table
+from lamina.session import drop_steps, fresh_dir, remove_dir, step_copies
 
 LEAST_SCORE = 0.5  # posterior below which a document's language counts as undetermined
 
@@ -35,10 +35,15 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     A document all of whose lines went is a copy and goes; one that had no line to lose stays.
     """
-    kept = linededup.dedup_lines(docs)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # other columns meet no new names
+    kept = linededup.dedup_lines(docs.select("doc_id", "text", whole))
     empty = (F.col("n_dropped") > 0) & (F.length(F.trim(F.regexp_replace("text", "\n", " "))) == 0)
-    chars = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-    return kept.filter(~F.coalesce(empty, F.lit(False))).withColumn("n_chars", chars).select(*docs.columns)
+    new = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+    return kept.filter(~F.coalesce(empty, F.lit(False))).select(
+        *[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
+    )
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +65,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` without these ids. A null id matches nothing, so such rows stay."""
-    return docs.join(ids.withColumnRenamed("doc_id", "__gone"), F.col("doc_id") == F.col("__gone"), "left_anti")
+    gone = free_name(docs, "gone")
+    return docs.join(ids.withColumnRenamed("doc_id", gone), F.col("doc_id") == F.col(gone), "left_anti")
 
 
 STAGES = [
@@ -76,9 +82,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The documents after all stages. Copies made on the way are deleted as soon as nothing reads them."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        path = fresh_dir(spark, f"pipeline-{name}")
+        path, before = fresh_dir(spark, f"pipeline-{name}"), step_copies()
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        drop_steps(spark, before)
+        if last is not None:
+            remove_dir(spark, last)
+        last = path
     return docs
