@@ -23,7 +23,7 @@ from lamina.operators.skew import safe_join
 from lamina.plans import gold, jobs, kpi, silver, transforms
 from lamina.plans.star_inputs import shape_sql, shaped, table
 from lamina.session import fresh_dir
-from lamina.sources import catalogue, files, landing
+from lamina.sources import catalogue, files, keyed, landing
 from lamina.sources.commitlog import CommitLog
 from lamina.streaming.landing import land_new_files
 
@@ -734,6 +734,32 @@ def medallion_full(spark, sf):
     return pipeline.verdicts().filter("stage <> 'bronze'").drop("reason")
 
 
+@query("bucketed_upsert", f"""WITH {shape_sql("oinv")}
+SELECT DocEntry, CardCode, CAST(CASE WHEN DocEntry % 5 = 0 THEN coalesce(DocTotal, 0) + 100 ELSE DocTotal END AS DOUBLE) AS total,
+  CASE WHEN DocEntry % 5 = 0 THEN DATE '2002-01-01' ELSE UpdateDate END AS UpdateDate FROM oinv""")
+def bucketed_upsert(spark, sf):
+    """Invoices merged load by load into key buckets: changes, then older versions that came late."""
+    invoices = shaped(spark, sf, "oinv").select("DocEntry", "CardCode", F.col("DocTotal").alias("total"), "UpdateDate")
+    found = keyed.KeyedTable(spark, fresh_dir(spark, "buckets"), ["DocEntry"], ["UpdateDate"], buckets=16)
+    changed = F.col("DocEntry") % 5 == 0
+    found.upsert(invoices.filter(F.col("UpdateDate") < F.lit(date(1997, 1, 1))))
+    found.upsert(invoices.filter(changed).withColumn("total", (F.coalesce("total", F.lit(0)) + 100).cast("decimal(18,2)"))
+                 .withColumn("UpdateDate", F.lit(date(2002, 1, 1))))
+    found.upsert(invoices)
+    return plain(found.read())
+
+
+@query("erase_due", f"""WITH {shape_sql("crm")}, customers AS ({_CUSTOMERS_SQL})
+SELECT customer_id, retention_category, updated_at FROM customers
+WHERE gdpr_delete_after IS NULL OR gdpr_delete_after > DATE '2024-01-15'""")
+def erase_due(spark, sf):
+    """Customers whose time is over, erased from a stored table; only their buckets are rewritten."""
+    found = keyed.KeyedTable(spark, fresh_dir(spark, "erase"), ["customer_id"], ["updated_at"], buckets=16)
+    found.upsert(silver.customers(shaped(spark, sf, "crm")))
+    found.erase(found.read().filter(F.col("gdpr_delete_after") <= F.lit(date(2024, 1, 15))))
+    return found.read().select("customer_id", "retention_category", "updated_at")
+
+
 _CHANGED = """SELECT * REPLACE (
   CASE WHEN DocEntry % 5 = 0 AND UpdateDate < DATE '1998-06-30' THEN DocTotal + 100 ELSE DocTotal END AS DocTotal,
   CASE WHEN DocEntry % 5 = 0 AND UpdateDate < DATE '1998-06-30' THEN DATE '2002-01-01' ELSE UpdateDate END
