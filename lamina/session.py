@@ -88,20 +88,20 @@ def remove_dir(spark: SparkSession, path: str) -> None:
 _steps: list[str] = []  # copies that may still be read
 
 
-def _written(df: DataFrame) -> tuple[str, DataFrame]:
+def _written(df: DataFrame, **options) -> tuple[str, DataFrame]:
     path = fresh_dir(df.sparkSession, "step")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     _steps.append(path)
     return path, df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back.
+def cut_lineage(df: DataFrame, **options) -> DataFrame:
+    """``df`` written to the shared folder, with these writer options, and read back.
 
     Later steps start from files every executor can read, and Catalyst knows their real size. The
     copy stays until ``drop_steps``, because whoever got the frame may read it at any time.
     """
-    return _written(df)[1]
+    return _written(df, **options)[1]
 
 
 def step_copies() -> set[str]:
