@@ -164,7 +164,7 @@ PARTNERS = Contract(
     {
         "classification": "GDPR-Compliant",
         "pseudonymized_fields": _hashed("CardName"),
-        "excluded_pii_fields": [", ".join(PARTNER_DROP)],
+        "excluded_pii_fields": list(PARTNER_DROP),
     },
 )
 
