@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import DataFrame
 
-from lamina.llm.common import map_batches
+from lamina.llm.common import map_slices
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE_KINDS = KINDS[:4]
@@ -20,6 +20,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+IBAN_LEAST = 12  # characters that a proposal has at least, and so any shorter reading of it
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _PROPOSES = re.compile(r"[0-9@]")
 
@@ -51,6 +52,22 @@ def mod97(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
 
 
+def _ibans(text: str):
+    """Spans of account numbers: of each proposal the longest run of whole groups that passes the test, as a
+    short word in capitals may follow. The search goes on after that run, else one character on; a
+    proposal has at most 43 characters, so this stays linear."""
+    at = 0
+    while m := _IBAN.search(text, at):
+        end = m.end()
+        while end > m.start() and not mod97(text[m.start() : end].replace(" ", "")):
+            end = max(m.start(), text.rfind(" ", m.start(), end))
+            if len(text[m.start() : end].replace(" ", "")) < IBAN_LEAST:
+                end = m.start()
+        if end > m.start():
+            yield m.start(), end
+        at = max(end, m.start() + 1)
+
+
 def _emails(text: str):
     end, at = 0, text.find("@")
     while at >= 0:
@@ -84,9 +101,8 @@ def _proposed(text: str):
         for m in _PHONE.finditer(text):
             if 9 <= len(_digits(m[0])) <= 15:
                 yield "phone", *m.span()
-    for m in _IBAN.finditer(text):
-        if mod97(m[0].replace(" ", "")):
-            yield "iban", *m.span()
+    for s, e in _ibans(text):
+        yield "iban", s, e
     for m in _SSN.finditer(text):
         yield "ssn", *m.span()
 
@@ -121,7 +137,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         ]
         yield batch.column(0), found
 
-    return map_batches(docs.select(id_col, text_col), scan, schema).withColumnRenamed("id", id_col)
+    return map_slices(docs.select(id_col, text_col), scan, schema).withColumnRenamed("id", id_col)
 
 
 def joined(spans) -> str:
