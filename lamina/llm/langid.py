@@ -13,7 +13,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lamina.llm.common import map_batches
+from lamina.llm.common import map_slices
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 TRAIN_ROWS = 1500    # documents per language the model is fitted on: the bound of what is collected
@@ -25,18 +25,19 @@ WORD_CACHE = 200_000
 UNDETERMINED = "und"
 
 _MARK = "▁"
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_]+")  # letters, but for numerals such as ½ or ②, which str.isalpha tells
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str | None) -> list[str]:
     """The words of a text with the mark of a beginning word, long ones cut into runs."""
     out = []
-    for w in _WORD.findall((text or "").lower()):
-        if len(w) <= MAX_RUN:
-            out.append(_MARK + w)
-        else:
-            out.extend(_MARK + w[i : i + MAX_RUN] for i in range(0, len(w), MAX_RUN))
+    for found in _WORD.findall((text or "").lower()):
+        for w in [found] if found.isalpha() else "".join(c if c.isalpha() else " " for c in found).split():
+            if len(w) <= MAX_RUN:
+                out.append(_MARK + w)
+            else:
+                out.extend(_MARK + w[i : i + MAX_RUN] for i in range(0, len(w), MAX_RUN))
     return out
 
 
@@ -179,7 +180,7 @@ def train(
         if rows:
             yield tuple(zip(*rows))
 
-    counted = map_batches(chosen.select("text", "lang"), count, "lang string, word string, n long")
+    counted = map_slices(chosen.select("text", "lang"), count, "lang string, word string, n long")
     totals: dict[str, Counter] = {}
     for r in counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).toLocalIterator():
         totals.setdefault(r["lang"], Counter())[r["word"]] = r["n"]
@@ -229,5 +230,5 @@ def identify(docs: DataFrame, model: PieceModel, id_col: str = "doc_id", text_co
             found = predict_texts(model, batch.column(1).to_pylist(), cache, known)
             yield batch.column(0), *zip(*found)
 
-    out = map_batches(docs.select(id_col, text_col), scan, f"id {id_type}, lang_pred string, score double")
+    out = map_slices(docs.select(id_col, text_col), scan, f"id {id_type}, lang_pred string, score double")
     return out.withColumnRenamed("id", id_col)

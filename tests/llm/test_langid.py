@@ -57,6 +57,12 @@ def test_words_of_long_runs():
     assert np.isfinite(model.log_likelihoods(langid.words("漢" * 90 + " " + "q" * 300))).all()
 
 
+def test_numerals_are_no_letters():
+    assert langid.words("½²³ ① Ⅷ 12_3") == [] and langid.words("m² x½y Ab①") == ["▁m", "▁x", "▁y", "▁ab"]
+    model = langid.fit_pieces({"en": Counter(langid.words("the cat"))})
+    assert [x[0] for x in langid.predict_texts(model, ["½²³", "①", "the ½"], {}, [])] == ["und", "und", "en"]
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
     got = op7_language_id(spark, "/root/testdata/sf0.01").join(docs, "doc_id").filter("held_out").collect()
