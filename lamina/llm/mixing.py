@@ -16,6 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 BLOCK_DOCS = 64
+PARTS = 100  # parts of the mix that default targets give a source on average
 BUCKET_ROWS = 20_000  # documents of one source that one task is meant to number
 
 
@@ -37,26 +38,13 @@ def period(weights: list[int]) -> list[tuple[int, int, int]]:
     return out
 
 
-def tempered(counts: Mapping, exponent: float = 0.5, parts: int = 100) -> dict:
-    """Whole weights in proportion to size ** exponent, each 1 at least.
-
-    They add up to about ``parts`` where every source is due a part or more. Else they add up to
-    ``parts`` for each source by largest remainders, so that no weight is off by a part of these, but for
-    sources due less than one, which together take at most a ``parts``-th of the mix from the others.
-    """
+def tempered(counts: Mapping, exponent: float = 0.5, parts: int = PARTS) -> dict:
+    """Whole weights in proportion to size ** exponent: ``parts`` for each source on average, each
+    rounded to the nearest whole, 1 at least. So sources due less than one part, however many they are,
+    together take at most a ``parts``-th of the mix from the others."""
     share = {s: n**exponent for s, n in counts.items() if n > 0}
     whole = sum(share.values())
-    if all(parts * x >= whole for x in share.values()):
-        return {s: max(1, int(parts * x / whole + 0.5)) for s, x in share.items()}
-    parts *= len(share)
-    small = {s for s, x in share.items() if parts * x < whole}
-    rest, left = sum(x for s, x in share.items() if s not in small), parts - len(small)
-    due = {s: 1.0 if s in small else max(1.0, left * x / rest) for s, x in share.items()}
-    out = {s: int(d) for s, d in due.items()}
-    by_remainder = sorted(due, key=lambda s: (out[s] - due[s], s is not None, str(s)))
-    for s in by_remainder[: max(0, parts - sum(out.values()))]:
-        out[s] += 1
-    return out
+    return {s: max(1, int(parts * len(share) * x / whole + 0.5)) for s, x in share.items()}
 
 
 def _order(id_col: str) -> Column:
@@ -129,12 +117,11 @@ def mix(
 
 
 def mix_sql(table: str, block_docs: int = BLOCK_DOCS) -> str:
-    """The same schedule in DuckDB's SQL, for the default weights and distinct ids, where every
-    source is due a hundredth of the mix or more (``tempered`` divides finer below that)."""
+    """The same schedule in DuckDB's SQL, for the default weights and distinct ids."""
     return f"""
 WITH RECURSIVE sizes AS (SELECT source, count(*) AS n FROM {table} GROUP BY source),
 weighed AS (
-  SELECT source, n, greatest(1, CAST(floor(100 * sqrt(n) / sum(sqrt(n)) OVER () + 0.5) AS BIGINT)) AS w,
+  SELECT source, n, greatest(1, CAST(floor({PARTS} * count(*) OVER () * sqrt(n) / sum(sqrt(n)) OVER () + 0.5) AS BIGINT)) AS w,
     row_number() OVER (ORDER BY source NULLS FIRST) AS k
   FROM sizes),
 lists AS (SELECT list(w ORDER BY k) AS ws, CAST(sum(w) AS BIGINT) AS total, list(0::BIGINT ORDER BY k) AS zero FROM weighed),
