@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -10,6 +12,8 @@ from lamina.contracts.checks import duplicate_counts
 from lamina.contracts.model import ColumnSpec, Contract, Rule
 from lamina.contracts.types import to_contract_type
 
+TRIED_VALUES = 1 << 14  # combinations of a set of columns that are tried before all of them are counted
+
 
 def null_counts(df: DataFrame) -> DataFrame:
     """One row: total rows and NULLs per column, from one pass."""
@@ -112,3 +116,72 @@ def key_candidates(df: DataFrame, slack: float = 0.1) -> list[str]:
         return []
     exact = confirmed_keys(df, likely).collect()
     return [r["column_name"] for r in exact if r["duplicate_values"] == 0]
+
+
+def _refuted(df: DataFrame, sets: Sequence[tuple[str, ...]], total: int) -> set[tuple[str, ...]]:
+    """Those of the sets, all of one size, that repeat a combination among about TRIED_VALUES of theirs.
+
+    The combinations are chosen by their hash, each with all of its rows, so no key is refuted (but
+    for two equal 64-bit hashes among so few).
+    """
+    columns = sorted({c for s in sets for c in s})
+    at = {c: i for i, c in enumerate(columns)}
+    hashes = df.select(F.array(*[F.xxhash64(F.col(f"`{c}`")) for c in columns]).alias("h"))
+    members = F.array(*[F.array(*[F.lit(at[c]) for c in s]) for s in sets])
+    placed = hashes.select("h", F.posexplode(members).alias("set", "of"))
+    value = F.xxhash64(*[F.get("h", F.get("of", F.lit(k))) for k in range(len(sets[0]))])
+    tried = placed.select("set", value.alias("value")).filter(F.pmod("value", F.lit(max(1, total // TRIED_VALUES))) == 0)
+    repeated = tried.groupBy("set", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return {sets[r[0]] for r in repeated.select("set").distinct().collect()}
+
+
+def _repeating(df: DataFrame, sets: Sequence[tuple[str, ...]]) -> set[tuple[str, ...]]:
+    """Those sets of columns with a combination that occurs more than once, counted exactly in one pass."""
+    columns = sorted({c for s in sets for c in s})
+    keys = {c: F.col(f"`{c}`") for c in columns}
+    grouped = df.groupingSets([[keys[c] for c in s] for s in sets], *keys.values()).agg(
+        F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__set")
+    )
+    repeated = {r[0] for r in grouped.filter("__n > 1").select("__set").distinct().collect()}
+    bit = {c: 1 << (len(columns) - 1 - i) for i, c in enumerate(columns)}
+    full = (1 << len(columns)) - 1
+    return {s for s in sets if full - sum(bit[c] for c in s) in repeated}
+
+
+def composite_keys(df: DataFrame, columns: Sequence[str] | None = None, width: int = 3) -> DataFrame:
+    """(key_columns, n_columns): the smallest sets of up to ``width`` columns that identify a row.
+
+    Sets grow by one column a level. A set that holds a key is no smallest one, and one whose columns
+    have too few distinct values, multiplied, cannot be a key; neither is looked at. Of the others most
+    are refuted by a repeated combination among a few; one pass a level counts the rest exactly.
+    As in a primary key, columns with NULLs take no part. Names are joined by commas in the order of the
+    columns. An empty table has no keys.
+    """
+    chosen = list(dict.fromkeys(columns or df.columns))
+    counts = df.agg(
+        F.count(F.lit(1)),
+        *[F.count_if(F.col(f"`{c}`").isNull()) for c in chosen],
+        *[F.approx_count_distinct(F.col(f"`{c}`"), 0.02) for c in chosen],
+    ).first()
+    total, nulls, values = counts[0], counts[1 : len(chosen) + 1], counts[len(chosen) + 1 :]
+    # Half as many again as estimated: twenty-five standard errors.
+    most = {c: 1.5 * v for c, n, v in zip(chosen, nulls, values) if total and n == 0}
+    keys: list[tuple[str, ...]] = []
+    for n in range(1, width + 1):
+        level = [
+            s for s in combinations(most, n)
+            if math.prod(most[c] for c in s) >= total and not any(set(k) <= set(s) for k in keys)
+        ]
+        refuted = _refuted(df, level, total) if level else set()
+        left = [s for s in level if s not in refuted]
+        repeating = _repeating(df, left) if left else set()
+        keys += [s for s in left if s not in repeating]
+    rows = [(",".join(k), len(k)) for k in keys]
+    return df.sparkSession.createDataFrame(rows, "key_columns string, n_columns int")
+
+
+def contract_frame(df: DataFrame, contract: Contract) -> DataFrame:
+    """A contract's columns and rules as rows: kind, name, detail, required."""
+    rows = [("column", c.name, c.type, c.not_null) for c in contract.columns]
+    rows += [("rule", r.name, r.type, True) for r in contract.rules]
+    return df.sparkSession.createDataFrame(rows, "kind string, name string, detail string, required boolean")

@@ -1,5 +1,7 @@
 import json
+import random
 from datetime import date, datetime
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -396,3 +398,22 @@ def test_migrate(spark):
     assert lenient.columns == ["n", "added"]
     with pytest.raises(ValueError):
         evolve.migrate(df, target, "odd")
+
+
+def test_composite_keys_against_all_sets(spark):
+    rng = random.Random(3)
+    names = ["a", "b", "c", "d", "e.f"]
+    for rows in (1, 12, 300):
+        data = [tuple(rng.randint(0, k) for k in (3, 9, 30, 200, 1)) for _ in range(rows)]
+        df = spark.createDataFrame(data, "a int, b long, c int, d int, `e.f` int").withColumn("gap", F.expr("nullif(a, a)"))
+        want = []
+        for n in (1, 2, 3):
+            for s in combinations(range(5), n):
+                if len({tuple(r[i] for i in s) for r in data}) == rows and not any(k <= set(s) for k in want):
+                    want.append(set(s))
+        got = generate.composite_keys(df).collect()
+        assert {r["key_columns"] for r in got} == {",".join(names[i] for i in sorted(k)) for k in want}
+        assert all(len(r["key_columns"].split(",")) == r["n_columns"] for r in got)
+    assert generate.composite_keys(df.limit(0)).count() == 0
+    doubled = df.union(df)  # repeated rows: nothing identifies one
+    assert generate.composite_keys(doubled).count() == 0
