@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from lamina.contracts.checks import duplicate_counts
 from lamina.contracts.model import ColumnSpec, Contract, Rule
 from lamina.contracts.types import to_contract_type
+from lamina.operators.skew import ROWS_PER_TASK, hot_keys
 
 TRIED_VALUES = 1 << 14  # combinations of a set of columns that are tried before all of them are counted
+COUNTED_PER_TASK = 1 << 20  # combinations, of all sets together, that one task is meant to count
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -148,12 +150,62 @@ def _repeating(df: DataFrame, sets: Sequence[tuple[str, ...]]) -> set[tuple[str,
     return {s for s in sets if full - sum(bit[c] for c in s) in repeated}
 
 
+def _by_pivot(sets: Sequence[tuple[str, ...]], values: Mapping[str, float]) -> dict[str, list[tuple[str, ...]]]:
+    """The sets by that column of theirs which has the most values."""
+    out: dict[str, list[tuple[str, ...]]] = {}
+    for s in sets:
+        out.setdefault(max(s, key=lambda c: values[c]), []).append(s)
+    return out
+
+
+def _repeating_within(
+    df: DataFrame, pivot: str, sets: Sequence[tuple[str, ...]], total: int, rows_per_task: int = ROWS_PER_TASK
+) -> set[tuple[str, ...]]:
+    """``_repeating`` for sets that all hold the column ``pivot``: the rows are dealt out once, by that column.
+
+    Equal combinations then lie in one task, which counts those of all sets by their hash; nothing is
+    shuffled per set. One repeat a set, by hash, is looked up in the rows; were it two values of one
+    hash, the set would be counted in full. Rows of a value of the pivot that would fill a task are counted apart, by
+    whole combinations, which spread.
+    """
+    kept = df.select(*[F.col(f"`{c}`") for c in sorted({c for s in sets for c in s})])
+    hash_of = F.xxhash64(F.col(f"`{pivot}`"))
+    hot = [r[0] for r in hot_keys(kept, [pivot], rows_per_task).select("__key_hash").collect()]
+    found: set[tuple[str, ...]] = set()
+    cold = kept
+    if hot:
+        listed = F.broadcast(df.sparkSession.createDataFrame([(h,) for h in hot], "h long"))
+        found = _repeating(kept.join(listed, hash_of == F.col("h"), "left_semi"), sets)
+        cold = kept.join(listed, hash_of == F.col("h"), "left_anti")
+    open_sets = [s for s in sets if s not in found]
+    if not open_sets:
+        return found
+    tasks = max(1, math.ceil(total * len(open_sets) / COUNTED_PER_TASK))
+    rests = [
+        F.struct(F.lit(i).alias("set"), F.xxhash64(*[F.col(f"`{c}`") for c in s if c != pivot]).alias("rest"))
+        for i, s in enumerate(open_sets)
+    ]
+    dealt = cold.repartition(tasks, F.col(f"`{pivot}`")).select(
+        F.col(f"`{pivot}`").alias("value"), F.explode(F.array(*rests)).alias("w")
+    )
+    counted = dealt.groupBy("value", "w.set", "w.rest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    seen = counted.groupBy("set").agg(F.min_by("value", F.struct("rest", F.xxhash64("value"))).alias("value")).collect()
+    if not seen:
+        return found
+    suspects = [open_sets[r["set"]] for r in seen]
+    at = df.sparkSession.createDataFrame([(r["value"],) for r in seen], T.StructType([T.StructField("v", df.schema[pivot].dataType)]))
+    confirmed = _repeating(cold.join(F.broadcast(at.distinct()), F.col(f"`{pivot}`") == F.col("v"), "left_semi"), suspects)
+    doubtful = [s for s in suspects if s not in confirmed]
+    return found | confirmed | (_repeating(cold, doubtful) if doubtful else set())
+
+
 def composite_keys(df: DataFrame, columns: Sequence[str] | None = None, width: int = 3) -> DataFrame:
     """(key_columns, n_columns): the smallest sets of up to ``width`` columns that identify a row.
 
     Sets grow by one column a level. A set that holds a key is no smallest one, and one whose columns
     have too few distinct values, multiplied, cannot be a key; neither is looked at. Of the others most
-    are refuted by a repeated combination among a few; one pass a level counts the rest exactly.
+    are refuted by a repeated combination among a few; the rest are counted exactly, all sets of a level whose
+    column of most values is the same in one pass, which deals the rows out by that column.
     As in a primary key, columns with NULLs take no part. Names are joined by commas in the order of the
     columns. An empty table has no keys.
     """
@@ -174,7 +226,9 @@ def composite_keys(df: DataFrame, columns: Sequence[str] | None = None, width: i
         ]
         refuted = _refuted(df, level, total) if level else set()
         left = [s for s in level if s not in refuted]
-        repeating = _repeating(df, left) if left else set()
+        repeating: set[tuple[str, ...]] = set()
+        for pivot, own in _by_pivot(left, most).items():
+            repeating |= _repeating(df, own) if n == 1 else _repeating_within(df, pivot, own, total)
         keys += [s for s in left if s not in repeating]
     rows = [(",".join(k), len(k)) for k in keys]
     return df.sparkSession.createDataFrame(rows, "key_columns string, n_columns int")

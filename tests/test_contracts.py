@@ -417,3 +417,18 @@ def test_composite_keys_against_all_sets(spark):
     assert generate.composite_keys(df.limit(0)).count() == 0
     doubled = df.union(df)  # repeated rows: nothing identifies one
     assert generate.composite_keys(doubled).count() == 0
+
+
+def test_composite_keys_deal_rows_out_once(spark):
+    # All sets of a level hold "a", so the rows are dealt out by it once, not once a set.
+    rng = random.Random(5)
+    rows = [(i // 4, rng.randint(0, 60), rng.randint(0, 900), rng.randint(0, 900), rng.randint(0, 900)) for i in range(2000)]
+    names = "abcde"
+    df = spark.createDataFrame(rows, "a int, b int, c int, d int, e int")
+    sets = [s for s in combinations(names, 3) if "a" in s] + [("a", "b"), ("a", "c")]
+    for n in (2, 3):
+        level = [s for s in sets if len(s) == n]
+        want = {s for s in level if len({tuple(r[names.index(c)] for c in s) for r in rows}) < len(rows)}
+        for limit in (3, 10_000):  # at 3 rows a task every value of "a" is hot
+            assert generate._repeating_within(df, "a", level, len(rows), limit) == want
+    assert generate._by_pivot([("a", "b"), ("b", "c")], {"a": 9.0, "b": 5.0, "c": 2.0}) == {"a": [("a", "b")], "b": [("b", "c")]}
