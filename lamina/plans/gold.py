@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import DataFrame, functions as F
 
 from lamina.functions.exprs import (
-    as_of_date, days_between, label, mean_of, money, present, share_percent,
+    as_of_date, days_between, label, mean_of, money, packed_text, present, share_percent, unpacked_text,
 )
 from lamina.operators.skew import safe_join
 
@@ -31,7 +31,7 @@ def revenue_metrics(
     Lines are first reduced to (invoice, project, number of lines). The fan-out then becomes a
     factor instead of rows: an invoice with a million lines is one row per project.
     Partner and project codes are unique in the silver layer, so their names join last, to the
-    finished groups.
+    finished groups, and travel as bytes through the joins and the sort.
     """
     if grain not in ("line", "invoice"):
         raise ValueError(f"Unknown grain {grain}")
@@ -71,7 +71,7 @@ def revenue_metrics(
         groups,
         partners.select(
             F.col("CardCode").alias("customer_code"),
-            F.col("CardName_Hash").alias("customer_name_hash"),
+            packed_text(F.col("CardName_Hash")).alias("customer_name_hash"),
         ),
         ["customer_code"],
         counted_from=invoices.select(F.col("CardCode").alias("customer_code")),
@@ -79,22 +79,22 @@ def revenue_metrics(
     # No project has an empty code: as NULL these rows need no partner and can be spread.
     named = safe_join(
         named.withColumn("PrjCode", F.when(F.col("project_code") != "", F.col("project_code"))),
-        projects.select("PrjCode", F.col("PrjName_Hash").alias("project_name_hash")),
+        projects.select("PrjCode", packed_text(F.col("PrjName_Hash")).alias("project_name_hash")),
         ["PrjCode"],
         counted_from=lines.select(F.col("Project").alias("PrjCode")),
     )
-    return named.select(
+    return named.orderBy(F.desc("metric_date"), F.desc("total_revenue")).select(
         "metric_date",
         "customer_code",
-        "customer_name_hash",
+        unpacked_text(F.col("customer_name_hash")).alias("customer_name_hash"),
         "project_code",
-        "project_name_hash",
+        unpacked_text(F.col("project_name_hash")).alias("project_name_hash"),
         "sales_employee_code",
         "total_revenue",
         "invoice_count",
         mean_of(F.col("total_revenue"), F.col("n_totals")).alias("avg_invoice_value"),
         F.lit(None).cast("string").alias("revenue_by_service"),
-    ).orderBy(F.desc("metric_date"), F.desc("total_revenue"))
+    )
 
 
 def customer_analytics(partners: DataFrame, invoices: DataFrame, as_of: Any = None) -> DataFrame:

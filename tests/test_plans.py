@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from lamina.functions import exprs
 from lamina.contracts import checks, shipped
 from lamina.contracts.gate import ContractViolation, DatasetsRefused
 from lamina.operators import linkage
@@ -378,3 +379,12 @@ def test_refused_datasets_do_not_stop_the_others(spark, folder):
         ("silver", "a"): (False, None), ("silver", "b"): (True, 5), ("silver", "c"): (False, None),
         ("gold", "g"): (True, 5), ("gold", "h"): (False, None),
     }
+
+
+def test_packed_text_round_trip(spark):
+    digest = "ab" * 32
+    texts = [digest, digest.upper(), digest[1:], "", "0", "00", "zz", "Ünïcode", None, "ab\x00", "ab\x01"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    out = df.select("t", exprs.packed_text(F.col("t")).alias("p")).withColumn("back", exprs.unpacked_text(F.col("p"))).collect()
+    assert [r["back"] for r in out] == [r["t"] for r in out] and len(out) == len(texts)
+    assert len(out[0]["p"]) == 33
