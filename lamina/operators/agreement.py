@@ -22,6 +22,7 @@ from lamina.session import cut_lineage
 KNOWN, ANY = "known", "any"  # what pairs a state counts beside EXACT and CLOSE
 FLOOR = 1e-12                # no probability is closer to 0 or 1
 MAX_ROUNDS = 20_000
+VALUES_PER_TASK = 8_192      # distinct values of a column that one task compares
 
 
 def _comparisons(columns: Sequence[str | Comparison]) -> list[Comparison]:
@@ -33,8 +34,11 @@ def close_values(df: DataFrame, c: Comparison) -> DataFrame:
 
     Only distinct values meet, and only those that share a key of the comparison: a text with up to
     ``limit`` characters left out, or a cell of the number line. The work grows with the close values there are.
+    Values are short but have many keys, so tasks are cut by their number, not by their bytes, and keys are shuffled.
     """
-    values = df.select(F.col(c.column).alias("a")).filter(F.col("a").isNotNull()).distinct()
+    values = cut_lineage(df.select(F.col(c.column).alias("a")).filter(F.col("a").isNotNull()).distinct())
+    tasks = max(1, math.ceil(values.count() / VALUES_PER_TASK))
+    values = values.repartition(tasks, "a")
     if c.kind == "edit":
         keys = share_keys(c, F.col("a"))
         left, right = values.withColumn("key", F.explode(keys)), values.withColumn("key", F.explode(keys))
@@ -42,7 +46,8 @@ def close_values(df: DataFrame, c: Comparison) -> DataFrame:
         cell = F.floor(F.col("a") / F.lit(float(c.limit)))
         left = values.withColumn("key", F.explode(F.array(cell - 1, cell, cell + 1)))
         right = values.withColumn("key", cell)
-    pairs = left.join(right.withColumnRenamed("a", "b"), "key").filter(F.col("a") != F.col("b"))
+    left, right = (side.repartition(tasks, "key") for side in (left, right))
+    pairs = left.join(right.withColumnRenamed("a", "b").hint("merge"), "key").filter(F.col("a") != F.col("b"))
     return pairs.filter(c.close(F.col("a"), F.col("b"))).select("a", "b").distinct()
 
 

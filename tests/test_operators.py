@@ -468,3 +468,22 @@ def test_ordered_rows_equal_plain_windows(spark, descending):
     got = ordered_rows(df, ["k"], ["o"], ["id"], ["v"], chunks=20, descending=descending)
     assert got.columns == ["k", "o", "id", "v", "row_number", "rank", "previous_v", "next_v"]
     assert rows_of(got) == rows_of(want)
+
+
+def test_close_values_cut_tasks_by_number(spark, monkeypatch):
+    monkeypatch.setattr(agreement, "VALUES_PER_TASK", 50)
+    names = [f"name {i:03d}" for i in range(0, 300, 2)] + [None, "name 002", "nme 002"]
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    found = agreement.close_values(df, linkage.Comparison("name", "edit", 1))
+    plan = found._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" not in plan  # the keys of short values are many times their bytes
+    assert "REPARTITION_BY_NUM" in plan
+
+    def close(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        a, b = sorted((a, b), key=len)
+        return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+    known = {n for n in names if n}
+    assert {tuple(r) for r in found.collect()} == {(a, b) for a in known for b in known if close(a, b)}
