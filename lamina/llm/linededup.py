@@ -9,8 +9,6 @@ or 48 bits, so all values come from one hash.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lamina.llm.common import free_name, settled
@@ -24,8 +22,10 @@ STEP = 4         # neighbouring shingles that one row carries while lines are si
 BANDS, BAND_ROWS = 12, 4  # at similarity 0.8 a pair misses all bands with probability 0.59 ** 12 = 0.002
 BROADCAST_LINES = 4_000_000  # line hashes (8 bytes each) a broadcast may hold; beyond, they are shuffled
 
-PAIRED = 256  # members up to which a bucket's lines meet in pairs; those of larger ones meet by rare shingles
-MARK_LONGS = 8  # a line's bitmap has 64 times as many bits
+PAIRED = 4096  # members up to which a bucket's lines meet in pairs; those of larger ones meet by rare shingles
+PARITY_LONGS = 16  # a line's bitmap has 64 times as many bits
+FOLDED_LONGS = 4  # the same where lines meet by rare shingles, in many rows a line
+SORTED_SHINGLES = 1_000_000  # shingles that one task puts in order
 
 BROADCAST_SHINGLES = 1_000_000  # most of the common shingles (16 bytes each) that are broadcast
 
@@ -59,50 +59,26 @@ def _turned(x: Column, bits: int) -> Column:
 
 
 def _signed(lines: DataFrame) -> DataFrame:
-    """(h, keys, size, marks): of every distinct line the band keys, the number of its shingles with
-    repetitions, and a bitmap in which each shingle sets a bit."""
+    """(h, keys): of every distinct line the band keys."""
     wide = _distinct(lines.select(F.xxhash64("line").alias("h"), "line"))
     last = F.greatest(F.length("wide") / 4 - CHARS, F.lit(0)).cast("int")
     placed = wide.select("h", "wide", last.alias("last"), F.explode(F.sequence(F.lit(0), last, F.lit(STEP))).alias("at"))
-    # Beyond the end the last shingle comes again, which changes neither minima nor bits.
+    # Beyond the end the last shingle comes again, which changes no minimum.
     shingle = lambda k: F.xxhash64(F.substring("wide", F.least(F.col("at") + k, F.col("last")) * 4 + 1, F.lit(4 * CHARS)))
-    hashed = placed.select("h", "last", *[shingle(k).alias(f"x{k}") for k in range(STEP)])
+    hashed = placed.select("h", *[shingle(k).alias(f"x{k}") for k in range(STEP)])
     turned = hashed.select(
-        "h", "last", *[F.expr(f"shiftleft(1L, cast(x{k} & 63 as int))").alias(f"bit{k}") for k in range(STEP)],
-        *[F.expr(f"shiftrightunsigned(x{k}, 6) & {MARK_LONGS - 1}").alias(f"place{k}") for k in range(STEP)],
-        *[_turned(F.col(f"x{k}"), 16 * r).alias(f"x{k}_{r}") for k in range(STEP) for r in range(BAND_ROWS)],
+        "h", *[_turned(F.col(f"x{k}"), 16 * r).alias(f"x{k}_{r}") for k in range(STEP) for r in range(BAND_ROWS)]
     )
     points = [(b << 64) // BANDS - ((1 << 64) if 2 * b >= BANDS else 0) for b in range(BANDS)]
 
     def nearest(point: int, r: int) -> Column:
         return F.least(*[F.col(f"x{k}_{r}").bitwiseXOR(F.lit(point).cast("long")) for k in range(STEP)])
 
-    def set_bits(n: int) -> Column:
-        own = [F.when(F.col(f"place{k}") == n, F.col(f"bit{k}")).otherwise(F.lit(0).cast("long")) for k in range(STEP)]
-        return reduce(Column.bitwiseOR, own)
-
     signed = turned.groupBy("h").agg(
-        *[F.min(nearest(p, r)).alias(f"m{b}_{r}") for b, p in enumerate(points) for r in range(BAND_ROWS)],
-        *[F.bit_or(set_bits(n)).alias(f"k{n}") for n in range(MARK_LONGS)],
-        (F.max("last") + 1).cast("long").alias("size"),
+        *[F.min(nearest(p, r)).alias(f"m{b}_{r}") for b, p in enumerate(points) for r in range(BAND_ROWS)]
     )
     keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b}_{r}") for r in range(BAND_ROWS)]) for b in range(BANDS)]
-    return signed.select("h", F.array(*keys).alias("keys"), "size", F.array(*[f"k{k}" for k in range(MARK_LONGS)]).alias("marks"))
-
-
-def _marked(pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    """``pairs`` with the sizes and bitmaps of the lines a and b."""
-    for h in ("a", "b"):
-        own = signed.select(F.col("h").alias(h), F.col("size").alias(f"size{h}"), F.col("marks").alias(f"marks{h}"))
-        pairs = pairs.join(own, h)
-    return pairs
-
-
-def _may_fit(similarity: float) -> Column:
-    """False for pairs that cannot be similar: bitmaps differ in at most as many bits as the sets differ
-    in shingles, and similar sets in at most a share of both sizes."""
-    differ = sum(F.bit_count(F.get("marksa", F.lit(k)).bitwiseXOR(F.get("marksb", F.lit(k)))) for k in range(MARK_LONGS))
-    return differ <= (F.col("sizea") + F.col("sizeb")) * ((1 - similarity) / (1 + similarity)) + 1e-9
+    return signed.select("h", F.array(*keys).alias("keys"))
 
 
 def _banded(signed: DataFrame) -> DataFrame:
@@ -122,10 +98,6 @@ def _banded(signed: DataFrame) -> DataFrame:
     return weighed.withColumn("head", F.first("h").over(central)).select("key", "h", "size", "head")
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "h")
-
-
 def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     """(h, line): the wanted lines, once each."""
     few = wanted.count() <= BROADCAST_LINES
@@ -144,6 +116,33 @@ def _shingle_set(line: Column) -> Column:
     return F.array_distinct(F.get(F.transform(F.array(F.encode(line, "UTF-32")), hashes), F.lit(0)))
 
 
+def _parities(texts: DataFrame) -> DataFrame:
+    """(h, n, parity): of every line the number of its different shingles, and a bitmap in which each flips a bit."""
+    exploded = texts.select("h", F.explode(_shingle_set(F.col("line"))).alias("x"))
+    placed = exploded.select(
+        "h", F.expr("shiftleft(1L, cast(x & 63 as int))").alias("bit"), F.expr(f"shiftrightunsigned(x, 6) & {PARITY_LONGS - 1}").alias("place")
+    )
+    flipped = [F.bit_xor(F.when(F.col("place") == k, F.col("bit")).otherwise(F.lit(0).cast("long"))) for k in range(PARITY_LONGS)]
+    return placed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.array(*flipped).alias("parity"))
+
+
+def _may_fit(similarity: float, bits: str, longs: int) -> Column:
+    """False for pairs that cannot be similar. Parity bitmaps differ in at most as many bits as the sets differ in
+    shingles, and similar sets in at most a share of both sizes."""
+    differ = sum(F.bit_count(F.get(f"{bits}a", F.lit(k)).bitwiseXOR(F.get(f"{bits}b", F.lit(k)))) for k in range(longs))
+    return (
+        (F.col("na") >= similarity * F.col("nb") - 1e-9) & (F.col("nb") >= similarity * F.col("na") - 1e-9)
+        & (differ <= (F.col("na") + F.col("nb")) * ((1 - similarity) / (1 + similarity)) + 1e-9)
+    )
+
+
+def _both(df: DataFrame, shared: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` twice, all columns but ``shared`` named for the line a and the line b."""
+    return tuple(
+        df.select(shared, *[F.col(c).alias(x if c == "h" else f"{c}{x}") for c in df.columns if c != shared]) for x in ("a", "b")
+    )
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The rows of ``pairs`` whose lines a and b have shingle sets of at least this Jaccard similarity."""
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("la")), "a").join(
@@ -158,32 +157,29 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return both.filter(F.exists(F.array(sets), similar)).select(*pairs.columns)
 
 
-def _common_shingles(sets: DataFrame) -> DataFrame:
+def _common_shingles(lines: DataFrame) -> DataFrame:
     """(x, times): shingles that come several times in one sixteenth of the lines, the commonest first."""
-    some = sets.filter(F.pmod(F.xxhash64(F.lit("sample"), "h"), F.lit(16)) == 0)
-    counted = some.select(F.explode("shingles").alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("times"))
+    some = lines.filter(F.pmod(F.xxhash64(F.lit("sample"), "h"), F.lit(16)) == 0)
+    counted = some.select(F.explode(_shingle_set(F.col("line"))).alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("times"))
     return cut_lineage(counted.filter("times > 1").orderBy(F.desc("times"), "x").limit(BROADCAST_SHINGLES))
 
 
 def _rare_shingles(lines: DataFrame, similarity: float) -> DataFrame:
-    """(h, n, component, x, bits): the shingles by which a line can meet a similar one, with its parity bitmap.
+    """(h, n, component, x, bits): the shingles by which a line can meet a similar one, with its folded bitmap.
 
     Under any common order of shingles, two lines of at least this similarity share one among the
     first n - ceil(similarity * n) + 1 of each. The order puts rare shingles first, so lines that have
     a passage in common, but little else, do not meet. Which shingles count as common is found on
     a sample; that changes how many lines meet, not which similar ones do.
 
-    Each shingle flips one of 256 bits of its line's bitmap. Two bitmaps differ in at most as many
-    bits as the sets differ in shingles, so most dissimilar pairs are told by their bitmaps alone.
+    Lines are dealt out by their hash before they fall into shingles, so only the first ones are shuffled.
     """
-    exploded = lines.select("h", "n", "component", F.explode("shingles").alias("x"))
-    place = F.expr("xxhash64('bit', x) & 255")
-    flipped = [
-        F.bit_xor(F.when(F.shiftright(place, 6) == k, F.expr("shiftleft(1L, cast(xxhash64('bit', x) & 63 as int))")).otherwise(F.lit(0).cast("long")))
-        .over(Window.partitionBy("h"))
-        for k in range(4)
+    total = lines.agg(F.sum("n")).first()[0] or 0
+    folded = [
+        F.expr(" ^ ".join(f"parity[{j}]" for j in range(k, PARITY_LONGS, FOLDED_LONGS))) for k in range(FOLDED_LONGS)
     ]
-    exploded = exploded.withColumn("bits", F.array(*flipped))
+    dealt = lines.select("h", "n", "component", F.array(*folded).alias("bits"), "line").repartition(1 + total // SORTED_SHINGLES, "h")
+    exploded = dealt.select("h", "n", "component", "bits", F.explode(_shingle_set(F.col("line"))).alias("x"))
     ranked = exploded.join(F.broadcast(_common_shingles(lines)), "x", "left")
     order = Window.partitionBy("h").orderBy(F.coalesce("times", F.lit(0)), "x")
     last = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9) + 1
@@ -200,12 +196,16 @@ def line_components(lines: DataFrame, similarity: float = SIMILARITY) -> DataFra
     their bitmaps if they are few, else by their rare shingles. Both find every similar pair. So neither a family of near copies nor a
     crowd of lines around one passage is compared pair by pair.
     """
-    signed = cut_lineage(_signed(lines))
-    banded = cut_lineage(_banded(signed))
+    before = step_copies()
+    banded = settled(_banded(cut_lineage(_signed(lines))), before)
+    texts = cut_lineage(_texts(lines, banded.select("h").distinct()))
+    parities = cut_lineage(_parities(texts))
+    kept = step_copies()
     star = banded.filter("h <> head").select(F.least("h", "head").alias("a"), F.greatest("h", "head").alias("b")).distinct()
-    star = cut_lineage(_marked(star, signed).filter(_may_fit(similarity)).select("a", "b"))
-    texts = cut_lineage(_texts(lines, _ends(star)))
-    first = cut_lineage(connected_components(_verified(star, texts, similarity), "a", "b"))
+    for x in ("a", "b"):
+        star = star.join(parities.select(F.col("h").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"parity{x}")), x)
+    star = cut_lineage(star.filter(_may_fit(similarity, "parity", PARITY_LONGS)).select("a", "b"))
+    first = settled(connected_components(_verified(star, texts, similarity), "a", "b"), kept)
     grouped = first.select(F.col("node").alias("h"), "component")
 
     bucket = Window.partitionBy("key")
@@ -215,36 +215,20 @@ def line_components(lines: DataFrame, similarity: float = SIMILARITY) -> DataFra
         .filter("low <> high").select("key", "h", "size", "component")
     )
     small = open_ones.filter(F.col("size") <= PAIRED).select("key", "h", "component")
-    small = small.join(signed.select("h", "size", "marks"), "h")
-    one, other = (
-        small.select("key", *[F.col(c).alias(n + h) for c, n in (("h", ""), ("component", "c"), ("size", "size"), ("marks", "marks"))])
-        for h in ("a", "b")
-    )
-    close = cut_lineage(
-        one.join(other, "key").filter((F.col("ca") < F.col("cb")) & _may_fit(similarity)).select("a", "b", "ca", "cb").distinct()
-    )
+    one, other = _both(small.join(parities, "h"), "key")
+    fits = (F.col("componenta") < F.col("componentb")) & _may_fit(similarity, "parity", PARITY_LONGS)
+    close = cut_lineage(one.join(other, "key").filter(fits).select("a", "b", "componenta", "componentb").distinct())
     large = cut_lineage(open_ones.filter(F.col("size") > PAIRED).select("h", "component").distinct())
-    texts = cut_lineage(_texts(lines, _ends(close).union(large.select("h")).distinct()))
-    sets = cut_lineage(texts.join(large, "h").select("h", "component", _shingle_set(F.col("line")).alias("shingles")))
-    rare = _rare_shingles(sets.withColumn("n", F.size("shingles")), similarity)
-    meeting = Window.partitionBy("x")
-    several = rare.withColumn("low", F.min("component").over(meeting)).withColumn(
-        "high", F.max("component").over(meeting)
-    ).filter("low <> high").drop("low", "high")
-    several = cut_lineage(several)
-    left, right = (
-        several.select("x", F.col("h").alias(h), F.col("n").alias(f"n{h}"), F.col("component").alias(f"c{h}"), F.col("bits").alias(f"bits{h}"))
-        for h in ("a", "b")
-    )
-    differ = sum(F.bit_count(F.get("bitsa", F.lit(k)).bitwiseXOR(F.get("bitsb", F.lit(k)))) for k in range(4))
-    fits = (
-        (F.col("na") >= similarity * F.col("nb")) & (F.col("nb") >= similarity * F.col("na"))
-        & (differ <= (F.col("na") + F.col("nb")) * ((1 - similarity) / (1 + similarity)) + 1e-9)
-    )
-    pairs = left.join(right, "x").filter((F.col("ca") < F.col("cb")) & fits).select("a", "b", "ca", "cb").distinct()
-    pairs = pairs.union(close).distinct()
-    joins = _verified(pairs, texts, similarity).select("ca", "cb").distinct()
-    merged = connected_components(joins, "ca", "cb").withColumnRenamed("component", "whole")
+    pairs = close
+    if not large.isEmpty():
+        rare = _rare_shingles(texts.join(large, "h").join(parities, "h"), similarity)
+        meeting = Window.partitionBy("x")
+        met = rare.withColumn("low", F.min("component").over(meeting)).withColumn("high", F.max("component").over(meeting))
+        one, other = _both(cut_lineage(met.filter("low <> high").drop("low", "high")), "x")
+        fits = (F.col("componenta") < F.col("componentb")) & _may_fit(similarity, "bits", FOLDED_LONGS)
+        pairs = one.join(other, "x").filter(fits).select("a", "b", "componenta", "componentb").union(close).distinct()
+    joins = _verified(pairs, texts, similarity).select("componenta", "componentb").distinct()
+    merged = connected_components(joins, "componenta", "componentb").withColumnRenamed("component", "whole")
     # A line that was alone, but joins a component now, is a component of itself so far.
     known = grouped.union(merged.select("node", "node")).distinct()
     return known.join(merged, F.col("component") == F.col("node"), "left").select(

@@ -59,3 +59,19 @@ def test_large_buckets(spark, monkeypatch):
     for paired in (256, 1):
         monkeypatch.setattr(linededup, "PAIRED", paired)
         assert _dropped(spark, lines) == want
+
+
+def test_unrelated_long_lines_are_told_by_bitmaps(spark, monkeypatch):
+    """Long lines of few syllables share buckets by chance; hardly any pair's texts are compared."""
+    rng = random.Random(11)
+    syllables = ["ba", "den", "ko", "lir", "mu", "sta", "ve", "zon"]
+    lines = ["".join(rng.choices(syllables, k=400)) for _ in range(40)]
+    lines.append(lines[7][:300] + "q" + lines[7][301:])
+    compared, verified = [], linededup._verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(linededup, "_verified", counted)
+    assert _dropped(spark, lines) == {40} and sum(compared) < 20
