@@ -1,29 +1,34 @@
 """Near-duplicate lines: MinHash over character shingles, banding, exact Jaccard, components.
 
 Only DataFrame functions. A line's shingles are its runs of CHARS characters at every position. Each
-distinct line is hashed once, each shingle once, to 64 bits, several neighbours in one row. Pairs are verified on
-their texts, whose shingle sets exist within a row only. A signature value is the shingle nearest
+distinct line is hashed once, each shingle once, to 64 bits, several neighbours in one row. The same pass makes a bitmap
+of every line, by which pairs are told; those left are verified on their texts, whose shingle sets exist within a row only. A signature value is the shingle nearest
 to one of twelve evenly spread points (smallest exclusive-or) after the hash was turned by 0, 16, 32
 or 48 bits, so all values come from one hash.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lamina.llm.common import free_name, settled
 from lamina.operators.components import connected_components
-from lamina.session import cut_lineage, step_copies
+from lamina.session import cut_lineage, drop_steps, step_copies
 
 SIMILARITY = 0.8
 MIN_CHARS = 1    # shorter lines, which is blank ones, are never taken for duplicates
 CHARS = 5        # characters of a shingle; a shorter line is one shingle
 STEP = 4         # neighbouring shingles that one row carries while lines are signed
 BANDS, BAND_ROWS = 12, 4  # at similarity 0.8 a pair misses all bands with probability 0.59 ** 12 = 0.002
+TURNS = 2  # shares of the documents whose lines are signed, and of the bands by which they meet, one after the other
 BROADCAST_LINES = 4_000_000  # line hashes (8 bytes each) a broadcast may hold; beyond, they are shuffled
 
 PAIRED = 4096  # members up to which a bucket's lines meet in pairs; those of larger ones meet by rare shingles
-PARITY_LONGS = 16  # a line's bitmap has 64 times as many bits
+BITMAP_LONGS = 16  # a line's bitmap has 64 times as many bits
+MARKED = 256  # set bits from which a bitmap tells little, and 48 minima of so many shingles tell similar lines:
+LEAST_MARKS = 20  # at similarity 0.8 fewer of them are equal with a probability of about 1e-8, bands are missed with 2e-3
 FOLDED_LONGS = 4  # the same where lines meet by rare shingles, in many rows a line
 SORTED_SHINGLES = 1_000_000  # shingles that one task puts in order
 
@@ -58,39 +63,64 @@ def _turned(x: Column, bits: int) -> Column:
     return F.shiftleft(x, bits).bitwiseOR(F.shiftrightunsigned(x, 64 - bits)) if bits else x
 
 
-def _signed(lines: DataFrame) -> DataFrame:
-    """(h, keys): of every distinct line the band keys."""
-    wide = _distinct(lines.select(F.xxhash64("line").alias("h"), "line"))
+def _signed(hashed: DataFrame) -> DataFrame:
+    """(h, keys, most, least, bits, marks): of every distinct line the band keys, bounds of its number of different
+    shingles, a bitmap in which each shingle sets a bit, and a byte of each minimum where that is full."""
+    wide = _distinct(hashed)
     last = F.greatest(F.length("wide") / 4 - CHARS, F.lit(0)).cast("int")
     placed = wide.select("h", "wide", last.alias("last"), F.explode(F.sequence(F.lit(0), last, F.lit(STEP))).alias("at"))
     # Beyond the end the last shingle comes again, which changes no minimum.
     shingle = lambda k: F.xxhash64(F.substring("wide", F.least(F.col("at") + k, F.col("last")) * 4 + 1, F.lit(4 * CHARS)))
-    hashed = placed.select("h", *[shingle(k).alias(f"x{k}") for k in range(STEP)])
+    hashed = placed.select("h", "last", *[shingle(k).alias(f"x{k}") for k in range(STEP)])
     turned = hashed.select(
-        "h", *[_turned(F.col(f"x{k}"), 16 * r).alias(f"x{k}_{r}") for k in range(STEP) for r in range(BAND_ROWS)]
+        "h", "last", *[_turned(F.col(f"x{k}"), 16 * r).alias(f"x{k}_{r}") for k in range(STEP) for r in range(BAND_ROWS)],
+        *[F.expr(f"shiftleft(1L, cast(x{k} & 63 as int))").alias(f"bit{k}") for k in range(STEP)],
+        *[F.expr(f"shiftrightunsigned(x{k}, 6) & {BITMAP_LONGS - 1}").alias(f"place{k}") for k in range(STEP)],
     )
     points = [(b << 64) // BANDS - ((1 << 64) if 2 * b >= BANDS else 0) for b in range(BANDS)]
 
     def nearest(point: int, r: int) -> Column:
         return F.least(*[F.col(f"x{k}_{r}").bitwiseXOR(F.lit(point).cast("long")) for k in range(STEP)])
 
+    def set_bits(place: int) -> Column:
+        found = [F.when(F.col(f"place{k}") == place, F.col(f"bit{k}")).otherwise(F.lit(0).cast("long")) for k in range(STEP)]
+        return reduce(Column.bitwiseOR, found)
+
     signed = turned.groupBy("h").agg(
-        *[F.min(nearest(p, r)).alias(f"m{b}_{r}") for b, p in enumerate(points) for r in range(BAND_ROWS)]
+        (F.max("last") + 1).alias("most"),
+        *[F.min(nearest(p, r)).alias(f"m{b}_{r}") for b, p in enumerate(points) for r in range(BAND_ROWS)],
+        *[F.bit_or(set_bits(k)).alias(f"bits{k}") for k in range(BITMAP_LONGS)],
     )
     keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b}_{r}") for r in range(BAND_ROWS)]) for b in range(BANDS)]
-    return signed.select("h", F.array(*keys).alias("keys"))
+    bits = [F.col(f"bits{k}") for k in range(BITMAP_LONGS)]
+    minima = [f"m{b}_{r}" for b in range(BANDS) for r in range(BAND_ROWS)]
+    marks = [F.expr(" | ".join(f"shiftleft({m} & 255, {8 * j})" for j, m in enumerate(minima[i : i + 8]))) for i in range(0, len(minima), 8)]
+    sized = signed.withColumn("least", sum(F.bit_count(x) for x in bits))
+    # So many different shingles set so many bits; six deviations more do so with a probability of about 1e-9.
+    places = 64 * BITMAP_LONGS
+    load = F.log(F.lit(float(places)) / F.greatest(places - F.col("least"), F.lit(1)))
+    likely = F.ceil(places * load + 6 * F.sqrt(places * (F.exp(load) - load - 1)) + 6)
+    sized = sized.withColumn("most", F.when(F.col("least") < places, F.least("most", likely)).otherwise(F.col("most")))
+    return sized.select(
+        "h", F.array(*keys).alias("keys"), "most", "least", F.array(*bits).alias("bits"),
+        F.when(F.col("least") >= MARKED, F.array(*marks)).alias("marks"),
+    )
 
 
 def _banded(signed: DataFrame) -> DataFrame:
     """(key, h, size, head): lines that share a band with another, with the most central line of the bucket,
     the one whose buckets hold most lines in all."""
     bucket = Window.partitionBy("key").orderBy("h")
-    shared = (
-        signed.select("h", F.explode("keys").alias("key"))
-        .withColumn("before", F.lag("h").over(bucket))
-        .withColumn("after", F.lead("h").over(bucket))
-        .filter("before is not null or after is not null").select("key", "h")
-    )
+    some = [  # some of the bands at a time, as most keys are shuffled only to be found single
+        cut_lineage(
+            signed.select("h", F.explode(F.slice("keys", 1 + turn * BANDS // TURNS, BANDS // TURNS)).alias("key"))
+            .withColumn("before", F.lag("h").over(bucket))
+            .withColumn("after", F.lead("h").over(bucket))
+            .filter("before is not null or after is not null").select("key", "h")
+        )
+        for turn in range(TURNS)
+    ]
+    shared = reduce(DataFrame.union, some)
     # Most of a family's lines share their minima with the line they all come from.
     sized = shared.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key")))
     weighed = sized.withColumn("weight", F.sum("size").over(Window.partitionBy("h")))
@@ -98,11 +128,27 @@ def _banded(signed: DataFrame) -> DataFrame:
     return weighed.withColumn("head", F.first("h").over(central)).select("key", "h", "size", "head")
 
 
+def _only(df: DataFrame, wanted: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of ``df`` whose h is wanted, or with left_anti the others."""
+    few = wanted.count() <= BROADCAST_LINES
+    return df.join(F.broadcast(wanted) if few else wanted, "h", how)
+
+
+def _signed_in_turn(lines: DataFrame) -> DataFrame:
+    """All distinct lines signed, those of one share of the documents after the other, without lines signed before."""
+    done = None
+    for turn in range(TURNS):
+        hashed = lines.filter(F.pmod("doc", F.lit(TURNS)) == turn).select(F.xxhash64("line").alias("h"), "line")
+        fresh = hashed if done is None else _only(hashed, done.select("h"), "left_anti")
+        made = cut_lineage(_signed(fresh), compression="zstd")
+        done = made if done is None else done.union(made)
+    return done
+
+
 def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     """(h, line): the wanted lines, once each."""
-    few = wanted.count() <= BROADCAST_LINES
     hashed = lines.select(F.xxhash64("line").alias("h"), "line")
-    return hashed.join(F.broadcast(wanted) if few else wanted, "h", "left_semi").groupBy("h").agg(F.first("line").alias("line"))
+    return _only(hashed, wanted).groupBy("h").agg(F.first("line").alias("line"))
 
 
 def _shingle_set(line: Column) -> Column:
@@ -116,26 +162,28 @@ def _shingle_set(line: Column) -> Column:
     return F.array_distinct(F.get(F.transform(F.array(F.encode(line, "UTF-32")), hashes), F.lit(0)))
 
 
-def _parities(texts: DataFrame) -> DataFrame:
-    """(h, n, parity): of every line the number of its different shingles, and a bitmap in which each flips a bit."""
-    exploded = texts.select("h", F.explode(_shingle_set(F.col("line"))).alias("x"))
-    placed = exploded.select(
-        "h", F.expr("shiftleft(1L, cast(x & 63 as int))").alias("bit"), F.expr(f"shiftrightunsigned(x, 6) & {PARITY_LONGS - 1}").alias("place")
-    )
-    flipped = [F.bit_xor(F.when(F.col("place") == k, F.col("bit")).otherwise(F.lit(0).cast("long"))) for k in range(PARITY_LONGS)]
-    return placed.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.array(*flipped).alias("parity"))
-
-
-def _may_fit(similarity: float, bits: str, longs: int) -> Column:
-    """False for pairs that cannot be similar. Parity bitmaps differ in at most as many bits as the sets differ in
+def _may_fit(similarity: float, longs: int) -> Column:
+    """False for pairs that cannot be similar. Bitmaps differ in at most as many bits as the sets differ in
     shingles, and similar sets in at most a share of both sizes."""
-    differ = sum(F.bit_count(F.get(f"{bits}a", F.lit(k)).bitwiseXOR(F.get(f"{bits}b", F.lit(k)))) for k in range(longs))
+    differ = sum(F.bit_count(F.get("bitsa", F.lit(k)).bitwiseXOR(F.get("bitsb", F.lit(k)))) for k in range(longs))
     return (
-        (F.col("na") >= similarity * F.col("nb") - 1e-9) & (F.col("nb") >= similarity * F.col("na") - 1e-9)
-        & (differ <= (F.col("na") + F.col("nb")) * ((1 - similarity) / (1 + similarity)) + 1e-9)
+        (F.col("mosta") >= similarity * F.col("leastb") - 1e-9) & (F.col("mostb") >= similarity * F.col("leasta") - 1e-9)
+        & (differ <= (F.col("mosta") + F.col("mostb")) * ((1 - similarity) / (1 + similarity)) + 1e-9)
     )
 
 
+def _marked_alike() -> Column:
+    """False for lines of many shingles whose minima differ too often; true where one of them has no marks."""
+
+    def unequal(i: int) -> Column:
+        x = F.get("marksa", F.lit(i)).bitwiseXOR(F.get("marksb", F.lit(i)))
+        low = lambda k: F.shiftrightunsigned(x, k).bitwiseAND(F.lit(0x0101010101010101))
+        return F.bit_count(reduce(Column.bitwiseOR, [low(k) for k in range(8)]))  # bytes that are not zero
+
+    count = BANDS * BAND_ROWS
+    return F.coalesce(sum(unequal(i) for i in range(count // 8)) <= count - LEAST_MARKS, F.lit(True))
+
+
 def _both(df: DataFrame, shared: str) -> tuple[DataFrame, DataFrame]:
     """``df`` twice, all columns but ``shared`` named for the line a and the line b."""
     return tuple(
@@ -143,8 +191,10 @@ def _both(df: DataFrame, shared: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The rows of ``pairs`` whose lines a and b have shingle sets of at least this Jaccard similarity."""
+def _verified(pairs: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
+    """The rows of ``pairs``, a written copy, whose lines a and b have shingle sets of at least this Jaccard similarity."""
+    wanted = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
+    texts = cut_lineage(_texts(lines, wanted))
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("la")), "a").join(
         texts.select(F.col("h").alias("b"), F.col("line").alias("lb")), "b"
     )
@@ -165,7 +215,7 @@ def _common_shingles(lines: DataFrame) -> DataFrame:
 
 
 def _rare_shingles(lines: DataFrame, similarity: float) -> DataFrame:
-    """(h, n, component, x, bits): the shingles by which a line can meet a similar one, with its folded bitmap.
+    """(h, component, most, least, bits, x): the shingles by which a line can meet a similar one, with its folded bitmap.
 
     Under any common order of shingles, two lines of at least this similarity share one among the
     first n - ceil(similarity * n) + 1 of each. The order puts rare shingles first, so lines that have
@@ -174,60 +224,67 @@ def _rare_shingles(lines: DataFrame, similarity: float) -> DataFrame:
 
     Lines are dealt out by their hash before they fall into shingles, so only the first ones are shuffled.
     """
-    total = lines.agg(F.sum("n")).first()[0] or 0
+    total = lines.agg(F.sum("most")).first()[0] or 0
     folded = [
-        F.expr(" ^ ".join(f"parity[{j}]" for j in range(k, PARITY_LONGS, FOLDED_LONGS))) for k in range(FOLDED_LONGS)
+        F.expr(" | ".join(f"bits[{j}]" for j in range(k, BITMAP_LONGS, FOLDED_LONGS))) for k in range(FOLDED_LONGS)
     ]
-    dealt = lines.select("h", "n", "component", F.array(*folded).alias("bits"), "line").repartition(1 + total // SORTED_SHINGLES, "h")
-    exploded = dealt.select("h", "n", "component", "bits", F.explode(_shingle_set(F.col("line"))).alias("x"))
+    kept = ["h", "component", "most", "least", "bits"]
+    dealt = lines.withColumn("bits", F.array(*folded)).select(*kept, "line").repartition(1 + total // SORTED_SHINGLES, "h")
+    exploded = dealt.select(*kept, F.explode(_shingle_set(F.col("line"))).alias("x"))
     ranked = exploded.join(F.broadcast(_common_shingles(lines)), "x", "left")
     order = Window.partitionBy("h").orderBy(F.coalesce("times", F.lit(0)), "x")
+    n = F.count(F.lit(1)).over(Window.partitionBy("h"))
     last = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9) + 1
-    return ranked.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= last).select(
-        "h", "n", "component", "x", "bits"
-    )
+    return ranked.withColumn("n", n).withColumn("at", F.row_number().over(order)).filter(F.col("at") <= last).select(*kept, "x")
 
 
 def line_components(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(h, component) of hashes of different lines that hang together by verified links.
 
     Each member of a bucket is first compared with the bucket's most central line only. Where that
-    leaves several components in a bucket, its members meet again, across components: in pairs told by
+    leaves several components among the other members, these meet, across components: in pairs told by
     their bitmaps if they are few, else by their rare shingles. Both find every similar pair. So neither a family of near copies nor a
     crowd of lines around one passage is compared pair by pair.
     """
     before = step_copies()
-    banded = settled(_banded(cut_lineage(_signed(lines))), before)
-    texts = cut_lineage(_texts(lines, banded.select("h").distinct()))
-    parities = cut_lineage(_parities(texts))
+    signed = _signed_in_turn(lines)
+    whole = step_copies()
+    banded = settled(_banded(signed), whole)
+    whole -= before
+    sketches = cut_lineage(_only(signed.drop("keys"), banded.select("h").distinct()), compression="zstd")
+    drop_steps(lines.sparkSession, step_copies() - whole)
     kept = step_copies()
+    fits = _may_fit(similarity, BITMAP_LONGS) & _marked_alike()
     star = banded.filter("h <> head").select(F.least("h", "head").alias("a"), F.greatest("h", "head").alias("b")).distinct()
     for x in ("a", "b"):
-        star = star.join(parities.select(F.col("h").alias(x), F.col("n").alias(f"n{x}"), F.col("parity").alias(f"parity{x}")), x)
-    star = cut_lineage(star.filter(_may_fit(similarity, "parity", PARITY_LONGS)).select("a", "b"))
-    first = settled(connected_components(_verified(star, texts, similarity), "a", "b"), kept)
+        star = star.join(sketches.select(F.col("h").alias(x), *[F.col(c).alias(c + x) for c in ("most", "least", "bits", "marks")]), x)
+    star = cut_lineage(star.filter(fits).select("a", "b"))
+    first = settled(connected_components(_verified(star, lines, similarity), "a", "b"), kept)
     grouped = first.select(F.col("node").alias("h"), "component")
 
     bucket = Window.partitionBy("key")
     open_ones = cut_lineage(
-        banded.join(grouped, "h", "left").select("key", "h", "size", F.coalesce("component", "h").alias("component"))
+        banded.filter("h <> head").join(grouped, "h", "left").select("key", "h", "size", F.coalesce("component", "h").alias("component"))
         .withColumn("low", F.min("component").over(bucket)).withColumn("high", F.max("component").over(bucket))
         .filter("low <> high").select("key", "h", "size", "component")
     )
     small = open_ones.filter(F.col("size") <= PAIRED).select("key", "h", "component")
-    one, other = _both(small.join(parities, "h"), "key")
-    fits = (F.col("componenta") < F.col("componentb")) & _may_fit(similarity, "parity", PARITY_LONGS)
-    close = cut_lineage(one.join(other, "key").filter(fits).select("a", "b", "componenta", "componentb").distinct())
+    one, other = _both(small.join(sketches, "h"), "key")
+    apart = F.col("componenta") < F.col("componentb")
+    close = cut_lineage(
+        one.join(other, "key").filter(apart & fits).select("a", "b", "componenta", "componentb").distinct()
+    )
     large = cut_lineage(open_ones.filter(F.col("size") > PAIRED).select("h", "component").distinct())
     pairs = close
     if not large.isEmpty():
-        rare = _rare_shingles(texts.join(large, "h").join(parities, "h"), similarity)
+        texts = cut_lineage(_texts(lines, large.select("h")))
+        rare = _rare_shingles(texts.join(large, "h").join(sketches.drop("marks"), "h"), similarity)
         meeting = Window.partitionBy("x")
         met = rare.withColumn("low", F.min("component").over(meeting)).withColumn("high", F.max("component").over(meeting))
         one, other = _both(cut_lineage(met.filter("low <> high").drop("low", "high")), "x")
-        fits = (F.col("componenta") < F.col("componentb")) & _may_fit(similarity, "bits", FOLDED_LONGS)
-        pairs = one.join(other, "x").filter(fits).select("a", "b", "componenta", "componentb").union(close).distinct()
-    joins = _verified(pairs, texts, similarity).select("componenta", "componentb").distinct()
+        close_by = one.join(other, "x").filter(apart & _may_fit(similarity, FOLDED_LONGS)).select("a", "b", "componenta", "componentb")
+        pairs = cut_lineage(close_by.union(close).distinct())
+    joins = _verified(pairs, lines, similarity).select("componenta", "componentb").distinct()
     merged = connected_components(joins, "componenta", "componentb").withColumnRenamed("component", "whole")
     # A line that was alone, but joins a component now, is a component of itself so far.
     known = grouped.union(merged.select("node", "node")).distinct()

@@ -75,3 +75,22 @@ def test_unrelated_long_lines_are_told_by_bitmaps(spark, monkeypatch):
 
     monkeypatch.setattr(linededup, "_verified", counted)
     assert _dropped(spark, lines) == {40} and sum(compared) < 20
+
+
+def test_texts_are_read_for_likely_pairs_only(spark, monkeypatch):
+    """Lines that share a bucket, but are told apart by their bitmaps, are not shuffled or written again."""
+    rng = random.Random(12)
+    lines = []
+    for _ in range(40):
+        line = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=60))
+        lines += [line, line[:20] + "0" + line[21:40] + "1" + line[41:]]
+    assert not any(_similar(lines[i], lines[i + 1]) for i in range(0, 80, 2))
+    lines += [lines[0][:30] + "2" + lines[0][31:]]
+    asked, texts = [], linededup._texts
+
+    def counted(all_lines, wanted):
+        asked.append(wanted.count())
+        return texts(all_lines, wanted)
+
+    monkeypatch.setattr(linededup, "_texts", counted)
+    assert _dropped(spark, lines) == {80} and 2 <= sum(asked) <= 8
