@@ -35,24 +35,28 @@ def revenue_metrics(
     """
     if grain not in ("line", "invoice"):
         raise ValueError(f"Unknown grain {grain}")
-    per_invoice = lines.groupBy(
-        "DocEntry", F.coalesce("Project", F.lit("")).alias("project_code")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    # Dealt out by invoice once: counting, the join and the folding of headers all happen there.
+    per_invoice = (
+        lines.filter(F.col("DocEntry").isNotNull())
+        .select("DocEntry", F.coalesce("Project", F.lit("")).alias("project_code"))
+        .repartition("DocEntry").groupBy("DocEntry", "project_code").agg(F.count(F.lit(1)).alias("n"))
+    )
     dated = invoices.filter(F.col("DocDate").isNotNull()).select(
         "DocEntry", "DocDate", "CardCode", "SlpCode", money(invoices, "DocTotal").alias("total")
     )
     if grain == "invoice":
         dated = dated.distinct()
     # Copies of a header fold into one row, so that counting rows below counts distinct invoices.
-    headers = dated.groupBy("DocEntry", "DocDate", "CardCode", "SlpCode").agg(
-        F.sum("total").alias("total"), F.count("total").alias("n_totals")
-    )
+    header = ["DocEntry", "DocDate", "CardCode", "SlpCode"]
+    folded = [F.sum("total").alias("total"), F.count("total").alias("n_totals")]
     times = F.coalesce("n", F.lit(1)) if grain == "line" else F.lit(1).cast("long")
     # A header without a key has no lines; such headers stay out of the join, where they would meet.
-    keyed = headers.filter(F.col("DocEntry").isNotNull()).join(per_invoice, "DocEntry", "left")
-    detail = keyed.unionByName(
-        headers.filter(F.col("DocEntry").isNull()), allowMissingColumns=True
-    ).withColumn("times", times)
+    keyed = (
+        dated.filter(F.col("DocEntry").isNotNull()).join(per_invoice, "DocEntry", "left")
+        .groupBy(*header, "project_code").agg(*folded, F.max("n").alias("n"))
+    )
+    keyless = dated.filter(F.col("DocEntry").isNull()).groupBy(*header).agg(*folded)
+    detail = keyed.unionByName(keyless, allowMissingColumns=True).withColumn("times", times)
     groups = (
         detail.groupBy(
             F.col("DocDate").alias("metric_date"),

@@ -78,8 +78,8 @@ def write_parquet(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
     **options: Any,
 ) -> str:
-    """Parquet sink. Rows keep the partitioning the plan gave them."""
-    writer = df.write.mode(mode).options(**options)
+    """Parquet sink. Rows keep the partitioning the plan gave them; zstd, unless the options name another codec."""
+    writer = df.write.mode(mode).options(**{"compression": "zstd"} | options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -1,3 +1,4 @@
+import os
 from datetime import date
 from decimal import Decimal
 
@@ -10,6 +11,7 @@ from lamina.contracts.gate import ContractViolation, DatasetsRefused
 from lamina.operators import linkage
 from lamina.plans import gold, jobs, kpi, silver
 from lamina.plans.transforms import Input, Transform, map_batches, run_transform
+from lamina.sources import files
 from lamina.sources.landing import Source
 
 HASH = "a" * 64
@@ -150,6 +152,35 @@ def test_revenue_metrics_without_broadcast(spark):
     assert got == want
 
 
+def test_revenue_metrics_deals_out_by_invoice_once(spark, monkeypatch):
+    """Lines and headers are shuffled by their invoice, and not a second time to be counted or folded."""
+    inv = spark.createDataFrame(
+        [(1, date(2024, 1, 1), "C1", 7, D(10)), (1, date(2024, 1, 1), "C1", 7, D(10)), (None, date(2024, 1, 1), "C2", 7, D(5))],
+        "DocEntry int, DocDate date, CardCode string, SlpCode int, DocTotal decimal(18,2)",
+    )
+    det = spark.createDataFrame([(1, "A"), (1, "A"), (1, None), (None, "A")], "DocEntry int, Project string")
+    partners = spark.createDataFrame([("C1", "aa" * 32)], "CardCode string, CardName_Hash string")
+    projects = spark.createDataFrame([("A", "bb" * 32)], "PrjCode string, PrjName_Hash string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = gold.revenue_metrics(inv, det, partners, projects)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        keyed = [line for line in plan.splitlines() if "hashpartitioning(DocEntry" in line and "DocDate" not in line]
+        rows = {(r["customer_code"], r["project_code"]): (float(r["total_revenue"]), r["invoice_count"]) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows == {("C1", "A"): (40.0, 1), ("C1", ""): (20.0, 1), ("C2", ""): (5.0, 0)}
+    assert len(keyed) == 2 and not any("project_code" in line for line in keyed)
+
+
+def test_layers_are_written_with_zstd(spark, folder):
+    files.write_parquet(spark.range(10), f"{folder}/a")
+    files.write_parquet(spark.range(10), f"{folder}/b", compression="snappy")
+    for name, codec in (("a", "zstd"), ("b", "snappy")):
+        assert all(f".{codec}." in f for f in os.listdir(f"{folder}/{name}") if f.endswith(".parquet"))
+
+
 def test_customer_analytics(spark):
     rows = [partner("c1", balance=D(50), credit=D(200), frozen="Y"), partner("c2", credit=D(0), balance=D(5)), partner("s1", kind="S")]
     partners = silver.partners(spark.createDataFrame(rows, OCRD))
