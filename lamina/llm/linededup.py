@@ -65,7 +65,7 @@ def _turned(x: Column, bits: int) -> Column:
 
 def _signed(hashed: DataFrame) -> DataFrame:
     """(h, keys, most, least, bits, marks): of every distinct line the band keys, bounds of its number of different
-    shingles, a bitmap in which each shingle sets a bit, and a byte of each minimum where that is full."""
+    shingles, a bitmap in which each shingle sets a bit, and six bits of each minimum where that is full."""
     wide = _distinct(hashed)
     last = F.greatest(F.length("wide") / 4 - CHARS, F.lit(0)).cast("int")
     placed = wide.select("h", "wide", last.alias("last"), F.explode(F.sequence(F.lit(0), last, F.lit(STEP))).alias("at"))
@@ -94,7 +94,7 @@ def _signed(hashed: DataFrame) -> DataFrame:
     keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b}_{r}") for r in range(BAND_ROWS)]) for b in range(BANDS)]
     bits = [F.col(f"bits{k}") for k in range(BITMAP_LONGS)]
     minima = [f"m{b}_{r}" for b in range(BANDS) for r in range(BAND_ROWS)]
-    marks = [F.expr(" | ".join(f"shiftleft({m} & 255, {8 * j})" for j, m in enumerate(minima[i : i + 8]))) for i in range(0, len(minima), 8)]
+    marks = [F.expr(" | ".join(f"shiftleft({m} & 63, {8 * j})" for j, m in enumerate(minima[i : i + 8]))) for i in range(0, len(minima), 8)]
     sized = signed.withColumn("least", sum(F.bit_count(x) for x in bits))
     # So many different shingles set so many bits; six deviations more do so with a probability of about 1e-9.
     places = 64 * BITMAP_LONGS
@@ -175,10 +175,9 @@ def _may_fit(similarity: float, longs: int) -> Column:
 def _marked_alike() -> Column:
     """False for lines of many shingles whose minima differ too often; true where one of them has no marks."""
 
-    def unequal(i: int) -> Column:
+    def unequal(i: int) -> Column:  # each byte that is not zero carries into its seventh bit
         x = F.get("marksa", F.lit(i)).bitwiseXOR(F.get("marksb", F.lit(i)))
-        low = lambda k: F.shiftrightunsigned(x, k).bitwiseAND(F.lit(0x0101010101010101))
-        return F.bit_count(reduce(Column.bitwiseOR, [low(k) for k in range(8)]))  # bytes that are not zero
+        return F.bit_count((x + F.lit(0x3F3F3F3F3F3F3F3F)).bitwiseAND(F.lit(0x4040404040404040)))
 
     count = BANDS * BAND_ROWS
     return F.coalesce(sum(unequal(i) for i in range(count // 8)) <= count - LEAST_MARKS, F.lit(True))
