@@ -1,10 +1,10 @@
 """Near-duplicate lines: MinHash over character shingles, banding, exact Jaccard, components.
 
-Only DataFrame functions. A line's shingles are its runs of CHARS characters at every position. Each
-distinct line is hashed once, each shingle once, to 64 bits, several neighbours in one row. The same pass makes a bitmap
-of every line, by which pairs are told; those left are verified on their texts, whose shingle sets exist within a row only. A signature value is the shingle nearest
-to one of twelve evenly spread points (smallest exclusive-or) after the hash was turned by 0, 16, 32
-or 48 bits, so all values come from one hash.
+Only DataFrame functions. A line's shingles are its runs of CHARS characters at every position, hashed to 64 bits and
+put in order, all within the line's row. The hashes lie on a ring with evenly spread points. A band key is
+the run of hashes that follows a point, so two lines share it if they agree in the smallest
+shingles from there on; one order of one hash gives all bands. Only lines that share a band are sketched: a bitmap of their shingles,
+by which pairs are told; those left are verified on their texts, whose shingle sets exist within a row only.
 """
 
 from __future__ import annotations
@@ -20,19 +20,20 @@ from lamina.session import cut_lineage, drop_steps, step_copies
 SIMILARITY = 0.8
 MIN_CHARS = 1    # shorter lines, which is blank ones, are never taken for duplicates
 CHARS = 5        # characters of a shingle; a shorter line is one shingle
-STEP = 4         # neighbouring shingles that one row carries while lines are signed
-BANDS, BAND_ROWS = 12, 4  # at similarity 0.8 a pair misses all bands with probability 0.59 ** 12 = 0.002
-TURNS = 2  # shares of the documents whose lines are signed, and of the bands by which they meet, one after the other
+BANDS, BAND_ROWS = 16, 5  # at similarity 0.8 a pair misses all bands with probability 0.67 ** 16 = 0.002
+SHORT, SHORT_ROWS = 60, 4  # shingles up to which every run of 4 is a key: sets at 0.8, parted at no more than a quarter of places, share one
+COPIES = 16  # copies of a line from which only one is signed
 BROADCAST_LINES = 4_000_000  # line hashes (8 bytes each) a broadcast may hold; beyond, they are shuffled
 
 PAIRED = 4096  # members up to which a bucket's lines meet in pairs; those of larger ones meet by rare shingles
-BITMAP_LONGS = 16  # a line's bitmap has 64 times as many bits
-MARKED = 256  # set bits from which a bitmap tells little, and 48 minima of so many shingles tell similar lines:
-LEAST_MARKS = 20  # at similarity 0.8 fewer of them are equal with a probability of about 1e-8, bands are missed with 2e-3
-FOLDED_LONGS = 4  # the same where lines meet by rare shingles, in many rows a line
+BITMAP_LONGS = 32  # a line's bitmap has 64 times as many bits
+MARKED = 576  # shingles from which each long holds the first FULL of its part of the ring only, as it would fill up:
+FULL, LOOSE = 20, 280  # at similarity 0.8 more bits differ with a probability of about 1e-8, bands are missed with 2e-3
+FOLDED_LONGS = 8  # the same where lines meet by rare shingles, in many rows a line
 SORTED_SHINGLES = 1_000_000  # shingles that one task puts in order
 
 BROADCAST_SHINGLES = 1_000_000  # most of the common shingles (16 bytes each) that are broadcast
+ROUNDS = 8  # most heads a bucket's lines are compared with before those still apart meet
 
 def _normal(line: Column) -> Column:
     return F.lower(F.trim(line))
@@ -54,75 +55,80 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataF
     )
 
 
-def _distinct(hashed: DataFrame) -> DataFrame:
-    """(h, wide): every line once, at four bytes a character, so that a position is found at once."""
-    return hashed.groupBy("h").agg(F.first("line").alias("line")).select("h", F.encode("line", "UTF-32").alias("wide"))
+def _hashes(line: Column) -> Column:
+    """The hash of the shingle at every position. The lambda variable holds what would else be encoded again at every
+    position, as the optimizer puts expressions in the place of columns; at four bytes a character a position is found at once."""
 
+    def at_each(wide: Column) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.length(wide) - 4 * CHARS + 1, F.lit(1)), F.lit(4))
+        return F.transform(places, lambda at: F.xxhash64(F.substring(wide, at, F.lit(4 * CHARS))))
 
-def _turned(x: Column, bits: int) -> Column:
-    return F.shiftleft(x, bits).bitwiseOR(F.shiftrightunsigned(x, 64 - bits)) if bits else x
+    return F.get(F.transform(F.array(F.encode(line, "UTF-32")), at_each), F.lit(0))
+
+
+def _shingle_set(line: Column) -> Column:
+    """The distinct shingle hashes of a line."""
+    return F.array_distinct(_hashes(line))
+
+
+def _points(count: int) -> list[Column]:
+    """Evenly spread places on the ring of signed 64-bit numbers, from its lower end."""
+    return [F.lit((k << 64) // count - (1 << 63)).cast("long") for k in range(count)]
+
+
+def _with_starts(ordered: DataFrame, count: int, name: str) -> DataFrame:
+    """``ordered`` with the places in ``s``, from 1, of the first hash not before each point; behind the last one there is the ring's start."""
+    points, marked = _points(count), free_name(ordered, "marked")
+    found = ordered.withColumn(marked, F.sort_array(F.concat(F.array(*points), "s")))
+    starts = [F.array_position(marked, p).cast("int") - k for k, p in enumerate(points)]
+    return found.withColumn(name, F.array(*starts)).drop(marked)
+
+
+def _ordered(hashed: DataFrame) -> DataFrame:
+    """(h, s, ring, n): the shingle hashes of each line in order, the same with the first few again, and their number."""
+    ordered = hashed.select("h", F.sort_array(_shingle_set(F.col("line"))).alias("s"))
+    return ordered.select("h", "s", F.concat("s", F.slice("s", 1, BAND_ROWS)).alias("ring"), F.size("s").alias("n"))
 
 
 def _signed(hashed: DataFrame) -> DataFrame:
-    """(h, keys, most, least, bits, marks): of every distinct line the band keys, bounds of its number of different
-    shingles, a bitmap in which each shingle sets a bit, and six bits of each minimum where that is full."""
-    wide = _distinct(hashed)
-    last = F.greatest(F.length("wide") / 4 - CHARS, F.lit(0)).cast("int")
-    placed = wide.select("h", "wide", last.alias("last"), F.explode(F.sequence(F.lit(0), last, F.lit(STEP))).alias("at"))
-    # Beyond the end the last shingle comes again, which changes no minimum.
-    shingle = lambda k: F.xxhash64(F.substring("wide", F.least(F.col("at") + k, F.col("last")) * 4 + 1, F.lit(4 * CHARS)))
-    hashed = placed.select("h", "last", *[shingle(k).alias(f"x{k}") for k in range(STEP)])
-    turned = hashed.select(
-        "h", "last", *[_turned(F.col(f"x{k}"), 16 * r).alias(f"x{k}_{r}") for k in range(STEP) for r in range(BAND_ROWS)],
-        *[F.expr(f"shiftleft(1L, cast(x{k} & 63 as int))").alias(f"bit{k}") for k in range(STEP)],
-        *[F.expr(f"shiftrightunsigned(x{k}, 6) & {BITMAP_LONGS - 1}").alias(f"place{k}") for k in range(STEP)],
+    """(h, key): the band keys of every line."""
+    placed = _with_starts(_ordered(hashed), BANDS, "at")
+    some = F.array(*[F.xxhash64(F.slice("ring", F.get("at", F.lit(b)), BAND_ROWS)) for b in range(BANDS)])
+    runs = F.transform(
+        F.array("ring"), lambda ring: F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.xxhash64(F.slice(ring, i, SHORT_ROWS), F.lit(SHORT_ROWS)))
     )
-    points = [(b << 64) // BANDS - ((1 << 64) if 2 * b >= BANDS else 0) for b in range(BANDS)]
+    every = F.when(F.col("n") <= SHORT, F.get(runs, F.lit(0))).otherwise(F.array().cast("array<bigint>"))
+    # Of two similar lines either both have at most SHORT shingles or both have more than SIMILARITY times that.
+    bands = F.when(F.col("n") > int(SHORT * SIMILARITY) - 1, some).otherwise(F.array().cast("array<bigint>"))
+    return placed.select("h", F.explode(F.array_distinct(F.concat(bands, every))).alias("key"))
 
-    def nearest(point: int, r: int) -> Column:
-        return F.least(*[F.col(f"x{k}_{r}").bitwiseXOR(F.lit(point).cast("long")) for k in range(STEP)])
 
-    def set_bits(place: int) -> Column:
-        found = [F.when(F.col(f"place{k}") == place, F.col(f"bit{k}")).otherwise(F.lit(0).cast("long")) for k in range(STEP)]
-        return reduce(Column.bitwiseOR, found)
+def _sketched(hashed: DataFrame) -> DataFrame:
+    """(h, n, bits): of every line the number of different shingles, and a bitmap in which each of them, or of
+    many those that follow a point, sets a bit."""
+    placed = _with_starts(_ordered(hashed), BITMAP_LONGS, "at")
 
-    signed = turned.groupBy("h").agg(
-        (F.max("last") + 1).alias("most"),
-        *[F.min(nearest(p, r)).alias(f"m{b}_{r}") for b, p in enumerate(points) for r in range(BAND_ROWS)],
-        *[F.bit_or(set_bits(k)).alias(f"bits{k}") for k in range(BITMAP_LONGS)],
-    )
-    keys = [F.xxhash64(F.lit(b), *[F.col(f"m{b}_{r}") for r in range(BAND_ROWS)]) for b in range(BANDS)]
-    bits = [F.col(f"bits{k}") for k in range(BITMAP_LONGS)]
-    minima = [f"m{b}_{r}" for b in range(BANDS) for r in range(BAND_ROWS)]
-    marks = [F.expr(" | ".join(f"shiftleft({m} & 63, {8 * j})" for j, m in enumerate(minima[i : i + 8]))) for i in range(0, len(minima), 8)]
-    sized = signed.withColumn("least", sum(F.bit_count(x) for x in bits))
-    # So many different shingles set so many bits; six deviations more do so with a probability of about 1e-9.
-    places = 64 * BITMAP_LONGS
-    load = F.log(F.lit(float(places)) / F.greatest(places - F.col("least"), F.lit(1)))
-    likely = F.ceil(places * load + 6 * F.sqrt(places * (F.exp(load) - load - 1)) + 6)
-    sized = sized.withColumn("most", F.when(F.col("least") < places, F.least("most", likely)).otherwise(F.col("most")))
-    return sized.select(
-        "h", F.array(*keys).alias("keys"), "most", "least", F.array(*bits).alias("bits"),
-        F.when(F.col("least") >= MARKED, F.array(*marks)).alias("marks"),
-    )
+    def word(k: int) -> Column:
+        first = F.get("at", F.lit(k))
+        size = (F.get("at", F.lit(k + 1)) if k + 1 < BITMAP_LONGS else F.col("n") + 1) - first
+        bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))
+        some = F.slice("s", first, F.when(F.col("n") >= MARKED, F.least(size, F.lit(FULL))).otherwise(size))
+        return F.aggregate(some, F.lit(0).cast("long"), lambda bits, x: bits.bitwiseOR(bit(x)))
+
+    return placed.select("h", "n", F.array(*[word(k) for k in range(BITMAP_LONGS)]).alias("bits"))
 
 
 def _banded(signed: DataFrame) -> DataFrame:
     """(key, h, size, head): lines that share a band with another, with the most central line of the bucket,
     the one whose buckets hold most lines in all."""
-    bucket = Window.partitionBy("key").orderBy("h")
-    some = [  # some of the bands at a time, as most keys are shuffled only to be found single
-        cut_lineage(
-            signed.select("h", F.explode(F.slice("keys", 1 + turn * BANDS // TURNS, BANDS // TURNS)).alias("key"))
-            .withColumn("before", F.lag("h").over(bucket))
-            .withColumn("after", F.lead("h").over(bucket))
-            .filter("before is not null or after is not null").select("key", "h")
-        )
-        for turn in range(TURNS)
-    ]
-    shared = reduce(DataFrame.union, some)
+    bucket = Window.partitionBy("key")
+    shared = cut_lineage(
+        signed.withColumn("before", F.lag("h").over(bucket.orderBy("h")))
+        .withColumn("low", F.min("h").over(bucket)).withColumn("high", F.max("h").over(bucket))
+        .filter("low <> high and (before is null or before <> h)").select("key", "h")
+    )
     # Most of a family's lines share their minima with the line they all come from.
-    sized = shared.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    sized = shared.withColumn("size", F.count(F.lit(1)).over(bucket))
     weighed = sized.withColumn("weight", F.sum("size").over(Window.partitionBy("h")))
     central = Window.partitionBy("key").orderBy(F.desc("weight"), "h")
     return weighed.withColumn("head", F.first("h").over(central)).select("key", "h", "size", "head")
@@ -134,15 +140,15 @@ def _only(df: DataFrame, wanted: DataFrame, how: str = "left_semi") -> DataFrame
     return df.join(F.broadcast(wanted) if few else wanted, "h", how)
 
 
-def _signed_in_turn(lines: DataFrame) -> DataFrame:
-    """All distinct lines signed, those of one share of the documents after the other, without lines signed before."""
-    done = None
-    for turn in range(TURNS):
-        hashed = lines.filter(F.pmod("doc", F.lit(TURNS)) == turn).select(F.xxhash64("line").alias("h"), "line")
-        fresh = hashed if done is None else _only(hashed, done.select("h"), "left_anti")
-        made = cut_lineage(_signed(fresh), compression="zstd")
-        done = made if done is None else done.union(made)
-    return done
+def _hashed(lines: DataFrame, places: DataFrame) -> DataFrame:
+    """(h, line) of all lines, but of lines with many copies one only."""
+    place = F.struct("doc", "line_no")
+    often = cut_lineage(
+        places.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("one")).filter(F.col("n") > COPIES).select("h", "one")
+    )
+    few = often.count() <= BROADCAST_LINES // 4
+    hashed = lines.select(place.alias("place"), F.xxhash64("line").alias("h"), "line")
+    return hashed.join(F.broadcast(often) if few else often, "h", "left").filter("one is null or one = place").select("h", "line")
 
 
 def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -151,38 +157,18 @@ def _texts(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     return _only(hashed, wanted).groupBy("h").agg(F.first("line").alias("line"))
 
 
-def _shingle_set(line: Column) -> Column:
-    """The distinct shingle hashes of a line. Lambda variables hold what would else be computed again at every
-    position, as the optimizer puts expressions in the place of columns."""
-
-    def hashes(wide: Column) -> Column:
-        last = F.greatest(F.length(wide) / 4 - CHARS, F.lit(0)).cast("int")
-        return F.transform(F.sequence(F.lit(0), last), lambda at: F.xxhash64(F.substring(wide, at * 4 + 1, F.lit(4 * CHARS))))
-
-    return F.array_distinct(F.get(F.transform(F.array(F.encode(line, "UTF-32")), hashes), F.lit(0)))
-
-
-def _may_fit(similarity: float, longs: int) -> Column:
+def _may_fit(similarity: float) -> Column:
     """False for pairs that cannot be similar. Bitmaps differ in at most as many bits as the sets differ in
-    shingles, and similar sets in at most a share of both sizes."""
-    differ = sum(F.bit_count(F.get("bitsa", F.lit(k)).bitwiseXOR(F.get("bitsb", F.lit(k)))) for k in range(longs))
+    shingles, and similar sets in at most a share of both sizes; those of many shingles hardly ever in more than LOOSE."""
+    unequal = F.zip_with("bitsa", "bitsb", lambda x, y: F.bit_count(x.bitwiseXOR(y)))  # terms for each long would not be compiled by the JVM
+    differ = F.aggregate(unequal, F.lit(0), lambda count, x: count + x)
+    exact = (F.col("na") + F.col("nb")) * ((1 - similarity) / (1 + similarity)) + 1e-9
     return (
-        (F.col("mosta") >= similarity * F.col("leastb") - 1e-9) & (F.col("mostb") >= similarity * F.col("leasta") - 1e-9)
-        & (differ <= (F.col("mosta") + F.col("mostb")) * ((1 - similarity) / (1 + similarity)) + 1e-9)
+        (F.col("na") >= similarity * F.col("nb") - 1e-9) & (F.col("nb") >= similarity * F.col("na") - 1e-9)
+        & (differ <= F.when(F.greatest("na", "nb") >= MARKED, F.lit(float(LOOSE))).otherwise(exact))
     )
 
 
-def _marked_alike() -> Column:
-    """False for lines of many shingles whose minima differ too often; true where one of them has no marks."""
-
-    def unequal(i: int) -> Column:  # each byte that is not zero carries into its seventh bit
-        x = F.get("marksa", F.lit(i)).bitwiseXOR(F.get("marksb", F.lit(i)))
-        return F.bit_count((x + F.lit(0x3F3F3F3F3F3F3F3F)).bitwiseAND(F.lit(0x4040404040404040)))
-
-    count = BANDS * BAND_ROWS
-    return F.coalesce(sum(unequal(i) for i in range(count // 8)) <= count - LEAST_MARKS, F.lit(True))
-
-
 def _both(df: DataFrame, shared: str) -> tuple[DataFrame, DataFrame]:
     """``df`` twice, all columns but ``shared`` named for the line a and the line b."""
     return tuple(
@@ -214,7 +200,7 @@ def _common_shingles(lines: DataFrame) -> DataFrame:
 
 
 def _rare_shingles(lines: DataFrame, similarity: float) -> DataFrame:
-    """(h, component, most, least, bits, x): the shingles by which a line can meet a similar one, with its folded bitmap.
+    """(h, component, n, bits, x): the shingles by which a line can meet a similar one, with its folded bitmap.
 
     Under any common order of shingles, two lines of at least this similarity share one among the
     first n - ceil(similarity * n) + 1 of each. The order puts rare shingles first, so lines that have
@@ -223,67 +209,108 @@ def _rare_shingles(lines: DataFrame, similarity: float) -> DataFrame:
 
     Lines are dealt out by their hash before they fall into shingles, so only the first ones are shuffled.
     """
-    total = lines.agg(F.sum("most")).first()[0] or 0
+    total = lines.agg(F.sum("n")).first()[0] or 0
     folded = [
         F.expr(" | ".join(f"bits[{j}]" for j in range(k, BITMAP_LONGS, FOLDED_LONGS))) for k in range(FOLDED_LONGS)
     ]
-    kept = ["h", "component", "most", "least", "bits"]
+    kept = ["h", "component", "n", "bits"]
     dealt = lines.withColumn("bits", F.array(*folded)).select(*kept, "line").repartition(1 + total // SORTED_SHINGLES, "h")
     exploded = dealt.select(*kept, F.explode(_shingle_set(F.col("line"))).alias("x"))
     ranked = exploded.join(F.broadcast(_common_shingles(lines)), "x", "left")
     order = Window.partitionBy("h").orderBy(F.coalesce("times", F.lit(0)), "x")
-    n = F.count(F.lit(1)).over(Window.partitionBy("h"))
     last = F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9) + 1
-    return ranked.withColumn("n", n).withColumn("at", F.row_number().over(order)).filter(F.col("at") <= last).select(*kept, "x")
+    return ranked.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= last).select(*kept, "x")
+
+
+def _alike(pairs: DataFrame, sketches: DataFrame, fits: Column) -> DataFrame:
+    """The rows of ``pairs`` whose lines a and b may be similar by their sketches."""
+    named = pairs
+    for x in ("a", "b"):
+        named = named.join(sketches.select(F.col("h").alias(x), *[F.col(c).alias(c + x) for c in ("n", "bits")]), x)
+    return named.filter(fits).select(*pairs.columns)
+
+
+def _joined(members: DataFrame, joins: DataFrame) -> DataFrame:
+    """``members`` with the components that result from joining components a and b."""
+    merged = connected_components(joins, "componenta", "componentb").select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    return members.join(merged, "component", "left").withColumn("component", F.coalesce("whole", "component")).drop("whole")
+
+
+def _still_open(members: DataFrame) -> DataFrame:
+    """Rows of buckets that hold several components."""
+    bucket = Window.partitionBy("key")
+    return (
+        members.withColumn("low", F.min("component").over(bucket)).withColumn("high", F.max("component").over(bucket))
+        .filter("low <> high").drop("low", "high")
+    )
 
 
-def line_components(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def _apart(members: DataFrame) -> tuple[int, int]:
+    """Rows of ``members``, and pairs of them that share a bucket but not a component."""
+    sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    all_, within = F.sum("n"), F.sum(F.col("n") * F.col("n"))
+    found = sizes.groupBy("key").agg(all_.alias("n"), ((all_ * all_ - within) / 2).alias("pairs")).agg(F.sum("n"), F.sum("pairs")).first()
+    return int(found[0] or 0), int(found[1] or 0)
+
+
+def line_components(lines: DataFrame, places: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(h, component) of hashes of different lines that hang together by verified links.
 
-    Each member of a bucket is first compared with the bucket's most central line only. Where that
-    leaves several components among the other members, these meet, across components: in pairs told by
+    Each member of a bucket is first compared with the bucket's most central line only. While that
+    leaves many pairs of members in different components, and fewer each time, they are compared with another member, drawn by hash.
+    Those left meet, across components: in pairs told by
     their bitmaps if they are few, else by their rare shingles. Both find every similar pair. So neither a family of near copies nor a
     crowd of lines around one passage is compared pair by pair.
     """
-    before = step_copies()
-    signed = _signed_in_turn(lines)
-    whole = step_copies()
-    banded = settled(_banded(signed), whole)
-    whole -= before
-    sketches = cut_lineage(_only(signed.drop("keys"), banded.select("h").distinct()), compression="zstd")
-    drop_steps(lines.sparkSession, step_copies() - whole)
+    hashed = _hashed(lines, places)
+    banded = settled(_banded(_signed(hashed)), step_copies())
+    shared = _only(hashed, banded.select("h").distinct())
+    sketches = cut_lineage(_sketched(shared).dropDuplicates(["h"]), compression="zstd")
     kept = step_copies()
-    fits = _may_fit(similarity, BITMAP_LONGS) & _marked_alike()
+    fits = _may_fit(similarity)
     star = banded.filter("h <> head").select(F.least("h", "head").alias("a"), F.greatest("h", "head").alias("b")).distinct()
-    for x in ("a", "b"):
-        star = star.join(sketches.select(F.col("h").alias(x), *[F.col(c).alias(c + x) for c in ("most", "least", "bits", "marks")]), x)
-    star = cut_lineage(star.filter(fits).select("a", "b"))
-    first = settled(connected_components(_verified(star, lines, similarity), "a", "b"), kept)
+    first = settled(connected_components(_verified(cut_lineage(_alike(star, sketches, fits)), lines, similarity), "a", "b"), kept)
     grouped = first.select(F.col("node").alias("h"), "component")
 
-    bucket = Window.partitionBy("key")
-    open_ones = cut_lineage(
-        banded.filter("h <> head").join(grouped, "h", "left").select("key", "h", "size", F.coalesce("component", "h").alias("component"))
-        .withColumn("low", F.min("component").over(bucket)).withColumn("high", F.max("component").over(bucket))
-        .filter("low <> high").select("key", "h", "size", "component")
-    )
-    small = open_ones.filter(F.col("size") <= PAIRED).select("key", "h", "component")
+    known = banded.filter("h <> head").join(grouped, "h", "left")  # a bucket's head has met all its members
+    members = cut_lineage(_still_open(known.select("key", "h", "size", F.coalesce("component", "h").alias("component"))))
+    rows, pairs_apart = _apart(members)
+    all_joins = []
+    for turn in range(ROUNDS):
+        if pairs_apart <= 16 * rows:
+            break
+        drawn = F.struct(F.xxhash64(F.lit(turn), "h").alias("x"), F.col("h"), F.col("component"))
+        met = members.withColumn("head", F.min(drawn).over(Window.partitionBy("key")))
+        tried = met.filter("component <> head.component").select(
+            F.least("h", "head.h").alias("a"), F.greatest("h", "head.h").alias("b"),
+            F.least("component", "head.component").alias("componenta"), F.greatest("component", "head.component").alias("componentb"),
+        ).distinct()
+        joins = cut_lineage(
+            _verified(cut_lineage(_alike(tried, sketches, fits)), lines, similarity).select("componenta", "componentb").distinct()
+        )
+        all_joins.append(joins)
+        members = cut_lineage(_still_open(_joined(met.filter("h <> head.h").drop("head"), joins)))
+        last, (rows, pairs_apart) = pairs_apart, _apart(members)
+        if pairs_apart > 0.7 * last:
+            break
+
+    small = members.filter(F.col("size") <= PAIRED).select("key", "h", "component")
     one, other = _both(small.join(sketches, "h"), "key")
     apart = F.col("componenta") < F.col("componentb")
     close = cut_lineage(
         one.join(other, "key").filter(apart & fits).select("a", "b", "componenta", "componentb").distinct()
     )
-    large = cut_lineage(open_ones.filter(F.col("size") > PAIRED).select("h", "component").distinct())
+    large = cut_lineage(members.filter(F.col("size") > PAIRED).select("h", "component").distinct())
     pairs = close
     if not large.isEmpty():
         texts = cut_lineage(_texts(lines, large.select("h")))
-        rare = _rare_shingles(texts.join(large, "h").join(sketches.drop("marks"), "h"), similarity)
+        rare = _rare_shingles(texts.join(large, "h").join(sketches, "h"), similarity)
         meeting = Window.partitionBy("x")
         met = rare.withColumn("low", F.min("component").over(meeting)).withColumn("high", F.max("component").over(meeting))
         one, other = _both(cut_lineage(met.filter("low <> high").drop("low", "high")), "x")
-        close_by = one.join(other, "x").filter(apart & _may_fit(similarity, FOLDED_LONGS)).select("a", "b", "componenta", "componentb")
+        close_by = one.join(other, "x").filter(apart & _may_fit(similarity)).select("a", "b", "componenta", "componentb")
         pairs = cut_lineage(close_by.union(close).distinct())
-    joins = _verified(pairs, lines, similarity).select("componenta", "componentb").distinct()
+    joins = reduce(DataFrame.union, all_joins, _verified(pairs, lines, similarity).select("componenta", "componentb")).distinct()
     merged = connected_components(joins, "componenta", "componentb").withColumnRenamed("component", "whole")
     # A line that was alone, but joins a component now, is a component of itself so far.
     known = grouped.union(merged.select("node", "node")).distinct()
@@ -309,7 +336,7 @@ def dedup_lines(
     lines = _lines(docs, id_col, text_col, min_chars)
     places = cut_lineage(lines.select("doc", "id", "line_no", F.xxhash64("line").alias("h")))
     before = step_copies()
-    grouped = settled(line_components(lines, similarity), before)
+    grouped = settled(line_components(lines, places, similarity), before)
     classed = places.join(grouped, "h", "left").select(
         "doc", F.struct("id", "doc", "line_no").alias("place"), F.coalesce("component", "h").alias("class")
     )

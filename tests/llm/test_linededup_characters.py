@@ -94,3 +94,23 @@ def test_texts_are_read_for_likely_pairs_only(spark, monkeypatch):
 
     monkeypatch.setattr(linededup, "_texts", counted)
     assert _dropped(spark, lines) == {80} and 2 <= sum(asked) <= 8
+
+
+def test_near_misses_of_a_family_are_told_by_bitmaps(spark, monkeypatch):
+    """Copies of one line that differ too much to be linked share buckets; few of their pairs reach the texts."""
+    rng = random.Random(13)
+    base = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=420))
+    lines = []
+    for _ in range(40):
+        at = rng.randrange(len(base) - 30)
+        lines.append(base[:at] + "".join(rng.choices("0123456789", k=30)) + base[at + 30 :])
+    alike = [(i, j) for i in range(40) for j in range(i) if _similar(lines[i], lines[j])]
+    compared, verified = [], linededup._verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(linededup, "_verified", counted)
+    assert _dropped(spark, lines) <= {i for pair in alike for i in pair}
+    assert sum(compared) < 780 / 4
