@@ -6,6 +6,7 @@ decimals and are exact; ratios are doubles.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
@@ -14,6 +15,9 @@ from lamina.functions.exprs import (
     as_of_date, days_between, label, mean_of, money, packed_text, present, share_percent, unpacked_text,
 )
 from lamina.operators.skew import safe_join
+from lamina.session import broadcast_limit
+
+NAMES_BYTES = 16 << 20  # names of projects, by Catalyst's estimate, that a session with broadcasts may send to all tasks
 
 
 def revenue_metrics(
@@ -22,6 +26,7 @@ def revenue_metrics(
     partners: DataFrame,
     projects: DataFrame,
     grain: str = "line",
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Revenue per day, customer, project and sales employee.
 
@@ -32,6 +37,9 @@ def revenue_metrics(
     factor instead of rows: an invoice with a million lines is one row per project.
     Partner and project codes are unique in the silver layer, so their names join last, to the
     finished groups, and travel as bytes through the joins and the sort.
+
+    ``stage`` takes the groups with their partners' names and gives the same rows back. ``cut_lineage`` there
+    ends the shuffles of lines, headers and groups before those of the projects' names and the sort begin.
     """
     if grain not in ("line", "invoice"):
         raise ValueError(f"Unknown grain {grain}")
@@ -80,11 +88,15 @@ def revenue_metrics(
         ["customer_code"],
         counted_from=invoices.select(F.col("CardCode").alias("customer_code")),
     )
+    if stage is not None:
+        named = stage(named)
+    most = broadcast_limit(invoices.sparkSession)
     # No project has an empty code: as NULL these rows need no partner and can be spread.
     named = safe_join(
         named.withColumn("PrjCode", F.when(F.col("project_code") != "", F.col("project_code"))),
         projects.select("PrjCode", packed_text(F.col("PrjName_Hash")).alias("project_name_hash")),
         ["PrjCode"],
+        limit=max(most, NAMES_BYTES) if most >= 0 else None,
         counted_from=lines.select(F.col("Project").alias("PrjCode")),
     )
     return named.orderBy(F.desc("metric_date"), F.desc("total_revenue")).select(

@@ -24,7 +24,7 @@ from lamina.plans.transforms import Function, Input, Transform, run_transform
 from lamina.sources import catalogue, files
 from lamina.sources.commitlog import Commit, CommitLog
 from lamina.sources.landing import Source, compact, current_rows, land_all, read_loads
-from lamina.session import drop_steps, step_copies
+from lamina.session import cut_lineage, drop_steps, step_copies
 from lamina.sources.layout import DERIVED_SOURCE, layer_path, load_path
 
 STAGES = ("bronze", "silver", "gold")
@@ -297,13 +297,17 @@ def delivered_silver(erp: str, crm: str | None = None) -> list[Transform]:
     return out
 
 
+def _staged(df: DataFrame) -> DataFrame:
+    return cut_lineage(df, compression="zstd")
+
+
 def delivered_gold(as_of: Any = None) -> list[Transform]:
     """Gold transformations over the delivered silver datasets."""
     return [
         Transform(
             "sap_revenue_metrics_gold",
             _refined(oinv="silver_oinv", inv1="silver_inv1", ocrd="sap_ocrd_silver", oprj="sap_oprj_silver"),
-            lambda _, t: gold.revenue_metrics(t["oinv"], t["inv1"], t["ocrd"], t["oprj"]),
+            lambda _, t: gold.revenue_metrics(t["oinv"], t["inv1"], t["ocrd"], t["oprj"], stage=_staged),
             checks=["contract:sap_revenue_metrics_gold"],
         ),
         Transform(

@@ -7,6 +7,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from lamina.session import shuffles_dropped
+
 
 def read_parquet(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None,
@@ -78,9 +80,11 @@ def write_parquet(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
     **options: Any,
 ) -> str:
-    """Parquet sink. Rows keep the partitioning the plan gave them; zstd, unless the options name another codec."""
+    """Parquet sink. Rows keep the partitioning the plan gave them; zstd, unless the options name another codec.
+    Shuffle files go with the end of the write."""
     writer = df.write.mode(mode).options(**{"compression": "zstd"} | options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        writer.parquet(path)
     return path

@@ -11,6 +11,7 @@ from lamina.contracts.gate import ContractViolation, DatasetsRefused
 from lamina.operators import linkage
 from lamina.plans import gold, jobs, kpi, silver
 from lamina.plans.transforms import Input, Transform, map_batches, run_transform
+from lamina.session import cut_lineage, drop_steps, step_copies
 from lamina.sources import files
 from lamina.sources.landing import Source
 
@@ -174,6 +175,30 @@ def test_revenue_metrics_deals_out_by_invoice_once(spark, monkeypatch):
     assert len(keyed) == 2 and not any("project_code" in line for line in keyed)
 
 
+def test_revenue_metrics_moves_rows_once_for_names(spark):
+    """Beyond the session's threshold the names of projects still go to all tasks, up to a bound; a staged run
+    sorts what it has read back, so earlier shuffles have ended, and gives the same rows."""
+    inv = invoices(spark, *[(i, i, f"c{i % 3}", 7, date(2024, 1, 1 + i % 9), D(10 * i), "C") for i in range(40)])
+    det = lines(spark, *[(i % 40, "i", ("p1", "p2", None)[i % 3], D(1)) for i in range(100)])
+    partners = silver.partners(spark.createDataFrame([partner("c1"), partner("c2")], OCRD))
+    projects = silver.projects(spark.createDataFrame([project("p1"), project("p2")], OPRJ))
+    want = sorted(map(str, gold.revenue_metrics(inv, det, partners, projects).collect()))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    before, copies = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), step_copies()
+    partners, projects = cut_lineage(partners), cut_lineage(projects)
+    made = step_copies()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        out = gold.revenue_metrics(inv, det, partners, projects)
+        staged = gold.revenue_metrics(inv, det, partners, projects, stage=cut_lineage)
+        assert "hashpartitioning(PrjCode" not in plan(out) and "hashpartitioning(customer_code" in plan(out)
+        assert "hashpartitioning" not in plan(staged) and len(step_copies() - made) == 1
+        assert sorted(map(str, out.collect())) == sorted(map(str, staged.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        drop_steps(spark, copies)
+
+
 def test_layers_are_written_with_zstd(spark, folder):
     files.write_parquet(spark.range(10), f"{folder}/a")
     files.write_parquet(spark.range(10), f"{folder}/b", compression="snappy")
