@@ -96,3 +96,60 @@ def test_scoring_rows_do_not_grow_with_the_parts(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, part boolean").coalesce(1)
     assert py.score_texts(docs, F.col("part")).count() == 100
     assert made["parts"] > 40 and made["rows"] <= made["parts"]
+
+
+def test_every_word_is_a_context_of_its_own():
+    """Not one of a fixed number of classes, in which unrelated words would share a restaurant."""
+    vocabulary = [f"w{i}" for i in range(80_000)]
+    words, contexts, _ = py.tokens([" ".join(vocabulary).encode()])
+    assert len(set(words.tolist())) == len(set(contexts.tolist())) == len(vocabulary) + 1
+    assert (contexts[1:] == words[:-1]).all() and contexts[0] == py.END
+
+
+def test_totals_of_contexts_come_from_all_parts(spark, monkeypatch):
+    """Customers and tables of a context as every part sees them, against counting all texts."""
+    monkeypatch.setattr(py, "PART_BYTES", 1500)
+    monkeypatch.setattr(py, "COMMON_WORDS", 3)
+    monkeypatch.setattr(py, "BLOCK_DOCS", 9)
+    seen, context_totals = {}, py._context_totals
+
+    def kept(sent, swept):
+        out = context_totals(sent, swept)
+        seen["sent"], seen["sums"] = sent.collect(), {r["part"]: r for r in out.collect()}
+        seen["swept"] = {k: v.filter("shard >= 0").collect() for k, v in swept.items()}
+        return out
+
+    monkeypatch.setattr(py, "_context_totals", kept)
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"v{min(rng.randrange(150), rng.randrange(150))}" for _ in range(40)), i % 5 == 2) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, part boolean").repartition(3)
+    many = {r["doc_id"]: r["score"] for r in py.score_texts(docs, F.col("part")).collect()}
+
+    customers, pairs = Counter(), Counter()
+    for _, text, held in rows:
+        words, contexts, _ = py.tokens([text.encode()])
+        if not held:
+            customers.update(contexts.view(np.int64).tolist())
+            pairs.update(zip(contexts.view(np.int64).tolist(), words.tolist()))
+    extra = {k: Counter() for k in seen["swept"]}
+    for k, found in seen["swept"].items():
+        for r in found:
+            extra[k].update(dict(zip(r["contexts"], r["extra"])))
+    single = Counter(u for u, _ in pairs)
+    own = {}
+    for r in sorted(seen["sent"], key=lambda r: r["shard"]):
+        own.setdefault(r["part"], []).extend(r["contexts"])
+    assert len(own) > 5 and max(r["shard"] for r in seen["sent"]) > 0
+    for part, contexts in own.items():
+        sums = seen["sums"][part]
+        assert sums["customers"] == [customers[u] for u in contexts]
+        for k in extra:
+            tables = sums[f"tables{k}"]
+            assert tables == [single[u] + extra[k][u] for u in contexts]
+            assert all(t <= c for t, c in zip(tables, sums["customers"]))
+    assert any(extra[k] != extra[k + 1] for k in list(extra)[:-1]) and sum(extra[py.SWEEPS].values()) > 0
+
+    # One part, which holds every word, gives the same model but for the draws.
+    monkeypatch.setattr(py, "PART_BYTES", 1 << 30)
+    one = {r["doc_id"]: r["score"] for r in py.score_texts(docs, F.col("part")).collect()}
+    assert max(abs(one[i] - many[i]) / abs(one[i]) for i in one) < 0.03
